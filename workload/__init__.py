@@ -1 +1,6 @@
 """The feed tables derived from the driver's tables, the queries over them, and their SQL oracles."""
+
+from workload import card
+from workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "card"]
