@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -271,10 +272,17 @@ def refresh_cohorts(
     details: DataFrame,
     id_map: DataFrame,
     as_of: datetime,
+    stage: Callable[[DataFrame, str], DataFrame],
 ) -> DataFrame:
-    """The whole match step: old state in, new state out, with one clock reading."""
+    """The whole match step: old state in, new state out, with one clock reading.
+
+    Every step compares the state with itself, which would multiply the lineage at
+    each one; ``stage`` writes a named intermediate table and reads it back.
+    """
+    cands = stage(cands, "candidates")
     matched = lookup_cohort(hash_address(match_unambiguous(cands, paf)), cohorts, as_of)
-    grown = add_unmatched(state, cands, matched, details, id_map, as_of)
-    grown = add_matched(grown, matched, details, id_map)
-    settled = drop_duplicate_ids(expire_previous(grown))
+    matched = stage(matched, "matched")
+    grown = stage(add_unmatched(state, cands, matched, details, id_map, as_of), "with-unmatched")
+    grown = stage(add_matched(grown, matched, details, id_map), "with-matched")
+    settled = stage(drop_duplicate_ids(expire_previous(grown)), "settled")
     return apply_postcode_default(settled, details, defaults)

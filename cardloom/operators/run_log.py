@@ -50,7 +50,8 @@ def error_summary(
     tail = tail.where(F.col("_place") <= max_len)
     end = F.replace(F.lit(pointer), F.lit("{run}"), F.col("RunID").cast("string"))
     room = F.lit(max_len) - F.length(end)
-    joined = tail.groupBy("RunID").agg(F.listagg("Msg", F.lit(" ")).withinGroup(F.col("LogID")).alias("_text"))
+    in_order = F.expr("listagg(Msg, ' ') WITHIN GROUP (ORDER BY LogID)")
+    joined = tail.groupBy("RunID").agg(in_order.alias("_text"))
     whole = joined.withColumns({"_end": end, "_room": room})
     return whole.select("RunID", F.concat(F.right("_text", "_room"), "_end").alias("Summary"))
 

@@ -217,7 +217,7 @@ def _(r: Roles):
 
 @query(
     "enrich_card_salted_b5",
-    "WITH tx AS (SELECT h.*, NULL AS InputModeID, 2 AS PaymentTypeID, t.TranTime"
+    "WITH tx AS (SELECT h.*, CAST(NULL AS INTEGER) AS InputModeID, 2 AS PaymentTypeID, t.TranTime"
     " FROM {credit_history} h LEFT JOIN {tran_time} t USING (FileID, RowNum))" + enriched_sql("tx", "p.inprogram = 1"),
 )
 def _(r: Roles):
