@@ -45,32 +45,61 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str | N
     return kept.where(empty | (F.col(column).isNotNull() & ~holds_null))
 
 
+ROWS_PER_SPLIT = 2_000_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Keys with more than ``rows_per_split`` rows and the number of pieces to cut them into.
+
+    At most ``rows / rows_per_split`` keys can qualify: half a million for 10^12 rows.
+    """
+    pieces = F.ceil(F.col("count") / rows_per_split).cast("int").alias("_splits")
+    return df.groupBy(*keys).count().where(F.col("count") > rows_per_split).select(*keys, pieces)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    rows_per_split: int,
     salt_by: Sequence[str],
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi join that spreads keys with more than ``rows_per_split`` left rows.
+    """Equi join in which hot keys of the left side are cut into pieces.
 
-    Each hot key gets ``ceil(rows / rows_per_split)`` salts; its left rows are dealt
-    out by a hash of ``salt_by`` and only its right rows are repeated.  The hot
-    list has at most ``left rows / rows_per_split`` entries.
+    For right sides that are aggregated on the join key: they come out partitioned,
+    Spark adds no shuffle there, and adaptive execution then does not split the left
+    side.  Hot left rows are dealt out by a hash of ``salt_by`` and only the right
+    rows of hot keys are repeated.  The hot list is bounded (see :func:`hot_keys`),
+    so it is broadcast.  Rows with a NULL key have no partner and are spread too.
     """
     keys = list(keys)
-    hot = (
-        left.groupBy(*keys)
-        .count()
-        .where(F.col("count") > rows_per_split)
-        .select(*keys, F.ceil(F.col("count") / rows_per_split).cast("int").alias("_splits"))
+    hot = F.broadcast(hot_keys(left, keys) if hot is None else hot)
+    dice = F.xxhash64(*salt_by)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salt = (
+        F.when(no_key, F.pmod(dice, F.lit(1024)))
+        .when(F.col("_splits").isNull(), F.lit(0))
+        .otherwise(F.pmod(dice, F.col("_splits")))
     )
-    dealt = F.when(F.col("_splits").isNull(), 0).otherwise(F.pmod(F.xxhash64(*salt_by), F.col("_splits")))
-    spread = left.join(hot, keys, "left").withColumn("_salt", dealt.cast("int")).drop("_splits")
+    spread = left.join(hot, keys, "left").select(*left.columns, salt.cast("int").alias("_salt"))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
-    repeated = right.join(hot, keys, "left").withColumn("_salt", copies).drop("_splits")
-    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    repeated = right.join(hot, keys, "left").select(*right.columns, copies.alias("_salt"))
+    joined = spread.join(repeated, [*keys, "_salt"], how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return joined.select(*left.columns, *added)
+
+
+def with_group_values(
+    df: DataFrame, keys: Sequence[str], salt_by: Sequence[str], **values: Column
+) -> DataFrame:
+    """Rows with aggregate values of their group.
+
+    Like a window without an order, but aggregated before the shuffle and joined
+    back, so a group of any size is spread over tasks.
+    """
+    groups = df.groupBy(*keys).agg(*[v.alias(name) for name, v in values.items()])
+    return salted_join(df, groups, keys, "left", salt_by)
 
 
 def neighbour(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions.compat import sha256_hex, text_key
-from cardloom.functions.joins import anti, semi
+from cardloom.functions.joins import anti, salted_join, semi, with_group_values
 from cardloom.functions.keys import address_text, digits
 
 ADDRESS = ("Postcode", "BuildingNumber", "SubBuildingName", "BuildingName")
@@ -22,7 +22,8 @@ KEEPS_REPEATS = 6
 def address_candidates(customers: DataFrame, pii: DataFrame, cohorts: DataFrame) -> DataFrame:
     """Customers of covered postal sectors with the numbers in their two address lines."""
     sectors = cohorts.select(text_key("postcode_sector").alias("_sector")).distinct()
-    covered = semi(customers.withColumn("_sector", text_key("PostalSector")), sectors, ["_sector"])
+    keyed = customers.withColumn("_sector", text_key("PostalSector"))
+    covered = salted_join(keyed, sectors, ["_sector"], "left_semi", ["FanID"])
     lines = pii.select("FanID", "Address1", "Address2")
     return covered.join(lines, "FanID").select(
         "FanID",
@@ -104,7 +105,8 @@ def cascade_match(cands: DataFrame, paf: DataFrame) -> DataFrame:
     counted = hits.groupBy("rule", *MATCH).count()
     repeats = F.when(F.col("rule") == KEEPS_REPEATS, F.col("count")).otherwise(F.lit(1).cast("long"))
     rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
-    found = semi(candidate_probes(cands), address_lookups(paf).select(*LOOKUP).distinct(), LOOKUP)
+    known = address_lookups(paf).select(*LOOKUP).distinct()
+    found = salted_join(candidate_probes(cands), known, LOOKUP, "left_semi", ["FanID"])
     best = found.groupBy("FanID").agg(F.min("rule").alias("rule"))
     return semi(rows, best, ["FanID", "rule"]).select("rule", *MATCH)
 
@@ -130,7 +132,7 @@ def match_unambiguous(cands: DataFrame, paf: DataFrame) -> DataFrame:
         .groupBy(*LOOKUP)
         .agg(F.min(address).alias("_low"), F.max(address).alias("_high"), F.count(F.lit(1)).alias("_rows"))
     )
-    hits = candidate_probes(cands).join(reduced, list(LOOKUP))
+    hits = salted_join(candidate_probes(cands), reduced, LOOKUP, "inner", ["FanID"])
     lines = ("Address1", "Address2")
     per_fan = hits.groupBy("FanID").agg(
         F.min(F.struct("rule", *lines, "_low")).alias("_first"),
@@ -212,10 +214,10 @@ def add_matched(state: DataFrame, matched: DataFrame, details: DataFrame, id_map
 
 def expire_previous(state: DataFrame) -> DataFrame:
     """Current flag 0 on rows older than the newest of their customer."""
-    newest = state.groupBy("FanID").agg(F.max("loadDate").alias("_newest"))
+    dated = with_group_values(state, ["FanID"], ["CINID", "loadDate"], _newest=F.max("loadDate"))
     old = (F.col("loadDate") != F.col("_newest")) & (F.col("isCurrentCohort") == 1)
     flag = F.when(old, 0).otherwise(F.col("isCurrentCohort"))
-    return state.join(newest, "FanID", "left").withColumn("isCurrentCohort", flag).select(*state.columns)
+    return dated.withColumn("isCurrentCohort", flag).select(*state.columns)
 
 
 def drop_duplicate_ids(state: DataFrame, whole_customer: bool = True) -> DataFrame:
@@ -237,11 +239,11 @@ def drop_duplicate_ids(state: DataFrame, whole_customer: bool = True) -> DataFra
     )
     tops = tops.where(F.col("_held") > 1)
     if not whole_customer:
-        ranked = state.join(tops.drop("_held"), "CINID", "left")
+        ranked = salted_join(state, tops.drop("_held"), ["CINID"], "left", ["FanID"])
         best = F.col("_top").isNull() | place.eqNullSafe(F.col("_top"))
         return ranked.where(best).select(*state.columns)
     lower = (F.col("_rows") > 1) | ~F.col("FanID").eqNullSafe(F.col("_top.FanID"))
-    losers = owned.join(tops, "CINID").where(lower).select("FanID").distinct()
+    losers = salted_join(owned, tops, ["CINID"], "inner", ["FanID"]).where(lower).select("FanID").distinct()
     return anti(state, losers, ["FanID"])
 
 
@@ -255,12 +257,13 @@ def apply_postcode_default(state: DataFrame, details: DataFrame, defaults: DataF
     missing = state.where(F.col("microcell_id") == NO_COHORT).select("FanID", "CINID")
     chosen = (
         missing.join(places, "FanID")
-        .join(by_postcode.groupBy("_pc").agg(F.min("cohort_ID").alias("cohort_ID")), "_pc")
+        .join(by_postcode, "_pc")
         .groupBy("CINID")
         .agg(F.min("cohort_ID").alias("_default"))
     )
     cohort = F.coalesce(F.col("_default"), F.col("microcell_id"))
-    return state.join(chosen, "CINID", "left").withColumn("microcell_id", cohort).select(*state.columns)
+    joined = salted_join(state, chosen, ["CINID"], "left", ["FanID"])
+    return joined.withColumn("microcell_id", cohort).select(*state.columns)
 
 
 def refresh_cohorts(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import load_date
 from cardloom.functions.compat import half_hour
-from cardloom.functions.joins import salted_join, union_all
+from cardloom.functions.joins import hot_keys, salted_join, union_all
 from cardloom.functions.keys import tran_sequence_id, without_commas
 from cardloom.operators.incremental import ROW_KEY, exclude_logged
 
@@ -30,23 +30,33 @@ def attach_time(
     return timed.withColumn("TranTime", half_hour("TranTime")) if round_down else timed
 
 
-def select_new(
+def unlogged_rows(
     debit: DataFrame,
     credit: DataFrame,
-    times: DataFrame,
     logs: Sequence[DataFrame],
     backfill: DataFrame | None = None,
-    round_down: bool = True,
     prune_by: str | None = None,
 ) -> DataFrame:
-    """Staged rows not delivered yet (and not in the backfill, where one is given), with time."""
+    """Staged rows not delivered yet and, where a backfill is given, not in it."""
     staged = union_all(
         debit.withColumn("PaymentTypeID", F.lit(1)),
         credit.withColumn("PaymentTypeID", F.lit(2)),
     )
     known = [*logs, backfill] if backfill is not None else list(logs)
-    fresh = exclude_logged(staged, *known, prune_by=prune_by)
-    return attach_time(fresh, times, round_down=round_down)
+    return exclude_logged(staged, *known, prune_by=prune_by)
+
+
+def select_new(
+    debit: DataFrame,
+    credit: DataFrame,
+    times: DataFrame,
+    logs: Sequence[DataFrame],
+    backfill: DataFrame | None = None,
+    round_down: bool = True,
+    prune_by: str | None = None,
+) -> DataFrame:
+    """The same rows with their time of day."""
+    return attach_time(unlogged_rows(debit, credit, logs, backfill, prune_by), times, round_down=round_down)
 
 
 def subscription_flag(tx: DataFrame, periods: DataFrame) -> DataFrame:
@@ -87,7 +97,9 @@ def enrich_card(
     later run tries again).  ``in_program_for`` is "all", or "backfill" to ask the
     programme flag only of rows whose ``IsBackfill`` is true.  The category is
     joined to the merchants first, which saves a join of the transactions.
-    ``rows_per_split`` salts customers and merchants with more rows than that.
+    Both big joins have plain tables on the right, so adaptive execution splits hot
+    customers and merchants; ``rows_per_split`` salts those with more rows than that
+    instead, for clusters that run without it.
     """
     people = customers.select(
         F.col("cinid").alias("CINID"), "inprogram", F.col("insight_ageband").alias("currentagebandtext")
@@ -103,8 +115,10 @@ def enrich_card(
     if rows_per_split is None:
         joined = tx.join(people, "CINID").join(shops, "ConsumerCombinationID")
     else:
-        joined = salted_join(tx, people, ["CINID"], "inner", rows_per_split, ROW_KEY)
-        joined = salted_join(joined, shops, ["ConsumerCombinationID"], "inner", rows_per_split, ROW_KEY)
+        by_customer = hot_keys(tx, ["CINID"], rows_per_split)
+        by_merchant = hot_keys(tx, ["ConsumerCombinationID"], rows_per_split)
+        joined = salted_join(tx, people, ["CINID"], "inner", ROW_KEY, by_customer)
+        joined = salted_join(joined, shops, ["ConsumerCombinationID"], "inner", ROW_KEY, by_merchant)
     if in_program_for == "backfill":
         joined = joined.where(~F.col("IsBackfill") | (F.col("inprogram") == 1))
     return subscription_flag(joined, periods).select(

@@ -44,7 +44,7 @@ def dd_merchant_details(
     merchants: DataFrame, brands: DataFrame, mask: DataFrame, tx: DataFrame, customers: DataFrame
 ) -> DataFrame:
     """Distinct masked merchants with at least one transaction of a known customer."""
-    theirs = semi(tx.select("ConsumerCombinationID_DD", "FanID"), customers.select("FanID").distinct(), ["FanID"])
+    theirs = semi(tx.select("ConsumerCombinationID_DD", "FanID"), customers, ["FanID"])
     used = semi(merchants, theirs.select("ConsumerCombinationID_DD").distinct(), ["ConsumerCombinationID_DD"])
     named = used.join(brands.select("BrandID", F.col("BrandName").alias("_name")), "BrandID")
     named = mask_brand(named, mask, BrandName="_name", MerchantNarrative="Narrative_RBS")
@@ -120,7 +120,7 @@ def proxy_mapping(
         .join(accounts.select("BankAccountID", "BankAccountGUID"), "BankAccountID")
         .select(*shape)
     )
-    guids = accounts.select("BankAccountGUID").distinct()
+    guids = accounts.select("BankAccountGUID")
     held = cards.select("CustomerGUID", F.col("AccountGUID").alias("BankAccountGUID"))
     held = held.join(guids.withColumn("_known", F.lit(True)), "BankAccountGUID", "left")
     held = held.withColumn("BankAccountGUID", F.when(F.col("_known"), F.col("BankAccountGUID"))).drop("_known")
@@ -152,12 +152,11 @@ def dd_eligible(tx: DataFrame, customers: DataFrame, log: DataFrame, config: Dir
     """Undelivered transactions before the limit date of their customer.
 
     The limit is the deactivation date, less the grace days from the cutover on; a
-    customer without one has no limit.  The latest limit per customer decides, so
-    each transaction meets one customer row.
+    customer without one has no limit.
     """
     left = F.col("DeactivatedDate")
     shifted = F.when(left >= F.lit(config.cutover), F.date_sub(left, config.grace_days)).otherwise(left)
-    limits = customers.groupBy("FanID").agg(F.max(F.coalesce(shifted, F.lit(NO_LIMIT))).alias("_limit"))
+    limits = customers.select("FanID", F.coalesce(shifted, F.lit(NO_LIMIT)).alias("_limit"))
     in_time = (tx["FanID"] == limits["FanID"]) & (tx["TranDate"] < limits["_limit"])
     return exclude_logged(tx.join(limits, in_time, "left_semi"), log)
 

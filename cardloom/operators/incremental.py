@@ -27,12 +27,15 @@ def exclude_logged(
     """Rows whose key is in none of the logs.
 
     All logs go into one anti join, so ``df`` is shuffled once however many there
-    are.  A log keeps every row ever delivered; ``prune_by`` (a key column with few
-    values per batch, such as the file id) first cuts it to the files of the batch.
+    are.  A log keeps every row ever delivered; ``prune_by`` names a key column that
+    rises over time, such as the file id, and cuts the logs to its range in ``df``
+    before they are shuffled (two scalars, no join).
     """
     seen = union_all(*[log.select(*keys) for log in logs])
     if prune_by is not None:
-        seen = semi(seen, df.select(prune_by).distinct(), [prune_by])
+        first = df.agg(F.min(prune_by)).scalar()
+        last = df.agg(F.max(prune_by)).scalar()
+        seen = seen.where(F.col(prune_by).between(first, last))
     return anti(df, seen, keys)
 
 

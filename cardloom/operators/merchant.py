@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import MerchantScope, NarrativeRules
 from cardloom.functions.compat import blank_to_null, like_any, text30, text_in, text_key
-from cardloom.functions.joins import anti, semi
+from cardloom.functions.joins import anti, salted_join, semi
 from cardloom.functions.keys import (
     clean_narrative,
     combo_id,
@@ -138,9 +138,8 @@ def merchant_scope(
         .join(groups, "SectorID")
         .where(F.col("SectorGroupID").isin(list(scope.sector_groups)) | F.col("BrandID").isin(list(scope.brands)))
         .select("BrandID", F.lit(True).alias("_brand"))
-        .distinct()
     )
-    by_mcc = mcc.where(F.col("MCCID").isin(list(scope.mccs))).select("MCCID", F.lit(True).alias("_mcc")).distinct()
+    by_mcc = mcc.where(F.col("MCCID").isin(list(scope.mccs))).select("MCCID", F.lit(True).alias("_mcc"))
     flagged = merchants.join(by_brand, "BrandID", "left").join(by_mcc, "MCCID", "left")
     wanted = F.col("_brand").isNotNull() | F.col("_mcc").isNotNull()
     return flagged.where(wanted).select(*merchants.columns).distinct()
@@ -182,7 +181,7 @@ def expand_by_combo(scope: DataFrame, all_merchants: DataFrame) -> DataFrame:
     """
     combined = with_combo(all_merchants)
     scoped = semi(combined, scope, ["ConsumerCombinationID"]).select("comboid_generated").distinct()
-    return semi(combined, scoped, ["comboid_generated"]).select(
+    return salted_join(combined, scoped, ["comboid_generated"], "left_semi", ["ConsumerCombinationID"]).select(
         "ConsumerCombinationID",
         "BrandID",
         "LocationCountry",

@@ -33,8 +33,7 @@ HELD = (
 
 def hold_debit(pending: DataFrame, customers: DataFrame, log: DataFrame) -> DataFrame:
     """Pending debit rows of known customers that are not logged."""
-    known = customers.select("CINID").distinct()
-    return exclude_logged(semi(pending.select(*HELD), known, ["CINID"]), log)
+    return exclude_logged(semi(pending.select(*HELD), customers, ["CINID"]), log)
 
 
 def hold_credit(pending: DataFrame, customers: DataFrame, log: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardloom.functions.compat import has_error_text
-from cardloom.functions.joins import semi
+from cardloom.functions.joins import semi, with_group_values
 
 
 def flag_error_runs(log: DataFrame) -> DataFrame:
@@ -18,8 +18,7 @@ def flag_error_runs(log: DataFrame) -> DataFrame:
     The flag per run is aggregated before the shuffle and joined back; a run of any
     length never sits in one task.
     """
-    runs = log.groupBy("RunID").agg(F.max(has_error_text("Msg")).alias("isError"))
-    return log.join(runs, "RunID").select(*log.columns, "isError")
+    return with_group_values(log, ["RunID"], ["LogID"], isError=F.max(has_error_text("Msg")))
 
 
 def error_summary(

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from cardloom.config import RunContext
 from cardloom.functions.joins import union_all
-from cardloom.operators.card import attach_time, card_feed, enrich_card, select_new
+from cardloom.operators.card import attach_time, card_feed, enrich_card, unlogged_rows
 from cardloom.operators.incremental import (
-    append_extra_backfill,
     append_load_date,
     backfill_history,
+    exclude_logged,
     log_rows,
     newly_eligible,
     purge_on_weekday,
@@ -46,45 +46,38 @@ def eligible_customers(t: CardTables, run: RunContext) -> DataFrame:
     return newly_eligible(t.customers, t.archive, run.as_of)
 
 
-def standard_backfill(t: CardTables, run: RunContext, eligible: DataFrame) -> DataFrame:
+def backfill_rows(t: CardTables, run: RunContext, eligible: DataFrame) -> DataFrame:
     """History of newly eligible customers that the standard feed has not delivered."""
-    history = backfill_history(t.debit_history, t.credit_history, eligible, [t.row_log], run.as_of)
-    return attach_time(history, t.times)
+    return backfill_history(t.debit_history, t.credit_history, eligible, [t.row_log], run.as_of)
 
 
 def standard_rows(t: CardTables, backfill: DataFrame, prune_by: str | None = None) -> DataFrame:
-    """New and backfilled rows of the standard feed, enriched in one pass."""
-    fresh = select_new(t.debit_holding, t.credit_holding, t.times, [t.row_log], backfill, prune_by=prune_by)
-    return enrich_card(union_all(fresh, backfill), t.customers, t.merchants, t.periods, t.mcc)
+    """New and backfilled rows of the standard feed.
 
-
-def detailed_backfill(t: CardTables, run: RunContext, eligible: DataFrame) -> DataFrame:
-    """As the standard backfill (and against the standard log), with raw times and the extra source."""
-    history = backfill_history(t.debit_history, t.credit_history, eligible, [t.row_log], run.as_of)
-    timed = attach_time(history, t.times, round_down=False)
-    if t.extra_backfill is None:
-        return timed
-    return append_extra_backfill(timed, t.extra_backfill, [t.detailed_row_log, t.row_log])
+    The two are put together before the time and the dimensions are joined, so the
+    transactions and the time table pass through each join once.
+    """
+    fresh = unlogged_rows(t.debit_holding, t.credit_holding, [t.row_log], backfill, prune_by)
+    timed = attach_time(union_all(fresh, backfill), t.times)
+    return enrich_card(timed, t.customers, t.merchants, t.periods, t.mcc)
 
 
 def detailed_rows(t: CardTables, backfill: DataFrame, prune_by: str | None = None) -> DataFrame:
-    """Rows of the detailed feed.
+    """Rows of the detailed feed, with the time as it is.
 
     New rows are checked against this feed's own log only, so a row can be both new
-    and backfilled; the programme flag is asked of backfilled rows only.
+    and backfilled; the programme flag is asked of backfilled rows only.  Rows of the
+    extra source come without a time.
     """
-    fresh = select_new(
-        t.debit_holding,
-        t.credit_holding,
-        t.times,
-        [t.detailed_row_log],
-        round_down=False,
-        prune_by=prune_by,
-    )
+    fresh = unlogged_rows(t.debit_holding, t.credit_holding, [t.detailed_row_log], prune_by=prune_by)
     rows = union_all(
         fresh.withColumn("IsBackfill", F.lit(False)),
         backfill.withColumn("IsBackfill", F.lit(True)),
     )
+    rows = attach_time(rows, t.times, round_down=False)
+    if t.extra_backfill is not None:
+        extra = exclude_logged(t.extra_backfill, t.detailed_row_log, t.row_log, backfill)
+        rows = union_all(rows, extra.withColumn("IsBackfill", F.lit(True)))
     return enrich_card(rows, t.customers, t.merchants, t.periods, t.mcc, in_program_for="backfill")
 
 
@@ -105,8 +98,7 @@ def run_card_feed(
     """
     name = "detailed" if detailed else "standard"
     eligible = staged(eligible_customers(t, run), f"{name}-eligible", run.run_id, work)
-    make_backfill = detailed_backfill if detailed else standard_backfill
-    backfill = staged(make_backfill(t, run, eligible), f"{name}-backfill", run.run_id, work)
+    backfill = staged(backfill_rows(t, run, eligible), f"{name}-backfill", run.run_id, work)
     make_rows = detailed_rows if detailed else standard_rows
     rows = staged(make_rows(t, backfill, prune_by="FileID"), f"{name}-rows", run.run_id, work)
 

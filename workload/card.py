@@ -178,7 +178,7 @@ FEED_INPUTS = "WITH eligible AS (" + ELIGIBLE + "), history AS (" + HISTORY + ")
 @query("select_new_b3", FEED_INPUTS + SELECT_NEW)
 def _(r: Roles):
     t = tables(r)
-    backfill = plan.standard_backfill(t, RUN, plan.eligible_customers(t, RUN))
+    backfill = plan.backfill_rows(t, RUN, plan.eligible_customers(t, RUN))
     return card.select_new(t.debit_holding, t.credit_holding, t.times, [t.row_log], backfill)
 
 
@@ -257,7 +257,7 @@ FEED = """
 )
 def _(r: Roles):
     t = tables(r)
-    backfill = plan.standard_backfill(t, RUN, plan.eligible_customers(t, RUN))
+    backfill = plan.backfill_rows(t, RUN, plan.eligible_customers(t, RUN))
     return card.card_feed(plan.standard_rows(t, backfill), AS_OF)
 
 
@@ -278,5 +278,5 @@ def _(r: Roles):
 )
 def _(r: Roles):
     t = tables(r)
-    backfill = plan.detailed_backfill(t, RUN, plan.eligible_customers(t, RUN))
+    backfill = plan.backfill_rows(t, RUN, plan.eligible_customers(t, RUN))
     return card.card_feed(plan.detailed_rows(t, backfill), AS_OF, detailed=True)

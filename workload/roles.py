@@ -149,7 +149,7 @@ ROLES: dict[str, str] = {
         FROM {nation}""",
     "narrative_cache": """
         SELECT min(Narrative) AS Narrative, upper(min(trim(Narrative))) AS NarrativeCleaned
-        FROM {merchants} WHERE MCCID < 30 AND rtrim(Narrative) <> '' GROUP BY upper(rtrim(Narrative))""",
+        FROM {merchants} WHERE Narrative NOT LIKE '%*' AND rtrim(Narrative) <> '' GROUP BY upper(rtrim(Narrative))""",
     "mcc": """
         SELECT DISTINCT p_size AS MCCID, CAST(5000 + p_size AS STRING) AS MCC FROM {part} WHERE p_size <= 45""",
     "brands": f"""
