@@ -46,10 +46,10 @@ def external_id_map(ids: DataFrame, sources: Sequence[str]) -> DataFrame:
     )
 
 
-def history_rows(intervals: DataFrame, external: DataFrame, id_map: DataFrame) -> DataFrame:
-    """Intervals under the card id of their customer."""
+def history_rows(events: DataFrame, external: DataFrame, id_map: DataFrame) -> DataFrame:
+    """Changed rows or intervals under the card id of their customer."""
     ids = external.join(id_map.select(F.col("CIN").alias("SourceUID"), "CINID"), "SourceUID")
-    return intervals.join(ids.drop("SourceUID"), "CustomerGUID")
+    return events.join(ids.drop("SourceUID"), "CustomerGUID")
 
 
 def missing_from_history(
@@ -63,6 +63,8 @@ def missing_from_history(
 ) -> DataFrame:
     """Current address of customers that have no address event, with an open interval.
 
+    Of ``history`` only the card ids matter, so the changed rows will do in place of
+    their intervals.
     A customer whose events all have a short postcode has events but no history and
     appears on neither side; ``cover_short_postcodes`` takes their current address.
     """

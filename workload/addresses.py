@@ -243,14 +243,18 @@ def changed(r: Roles) -> DataFrame:
     return h.changed_rows(r.address_events, EVENTS_FROM, tie=TIE)
 
 
+def external(r: Roles) -> DataFrame:
+    return h.external_id_map(r.external_ids, SOURCES)
+
+
 def history(r: Roles) -> DataFrame:
-    intervals = h.validity_intervals(changed(r), tie=TIE)
-    return h.history_rows(intervals, h.external_id_map(r.external_ids, SOURCES), r.id_map)
+    return h.history_rows(h.validity_intervals(changed(r), tie=TIE), external(r), r.id_map)
 
 
 def missing(r: Roles) -> DataFrame:
     base = h.base_events(r.address_events, EVENTS_FROM)
-    return h.missing_from_history(r.pii, r.id_map, base, history(r), r.duplicate_ids, r.excluded_ids)
+    kept = h.history_rows(changed(r), external(r), r.id_map)
+    return h.missing_from_history(r.pii, r.id_map, base, kept, r.duplicate_ids, r.excluded_ids)
 
 
 @query("changed_rows_i1", CHANGED + " SELECT * FROM changed")

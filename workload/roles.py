@@ -13,6 +13,9 @@ import re
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from cardloom.sources.tables import read_table
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -305,6 +308,16 @@ def _sha(sql: str, spark: bool) -> str:
     return re.sub(r"<sha:([^>]+)>", r"sha2(\1, 256)" if spark else r"sha256(\1)", sql)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_driver_table(spark: SparkSession, path: str) -> DataFrame:
+    """A driver table; its footer is read for the schema once per process."""
+    frame = read_table(spark, path, _SCHEMAS.get(path))
+    _SCHEMAS[path] = frame.schema
+    return frame
+
+
 class Roles:
     """The roles of one data directory as DataFrames, built on first use."""
 
@@ -318,7 +331,7 @@ class Roles:
             raise AttributeError(name)
         if name not in self._frames:
             if name in TABLES:
-                frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                frame = read_driver_table(self.spark, f"{self.sf_dir}/{name}.parquet")
             else:
                 sql = _sha(ROLES[name], spark=True)
                 frame = self.spark.sql(sql, **{ref: getattr(self, ref) for ref in set(_REF.findall(sql))})
