@@ -35,14 +35,15 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str | N
 
     A NULL in the list removes every row, and a NULL on the left removes that row
     unless the list is empty.  The planner's own null-aware anti join always
-    broadcasts the list; here only two scalars about it are needed.
+    broadcasts the list; here one scalar says whether it is empty (0), free of NULL
+    (1) or not (2).
     """
     name = listed_column or column
     values = listed.select(F.col(name).alias(column))
-    empty = values.agg((F.count(F.lit(1)) == 0).alias("empty")).scalar()
-    holds_null = values.agg((F.count_if(F.col(column).isNull()) > 0).alias("holds_null")).scalar()
+    nulls = F.count_if(F.col(column).isNull())
+    state = F.when(F.count(F.lit(1)) == 0, 0).when(nulls == 0, 1).otherwise(2)
     kept = anti(df, values.where(F.col(column).isNotNull()), [column])
-    return kept.where(empty | (F.col(column).isNotNull() & ~holds_null))
+    return kept.where(values.agg(state).scalar() <= F.when(F.col(column).isNotNull(), 1).otherwise(0))
 
 
 ROWS_PER_SPLIT = 2_000_000

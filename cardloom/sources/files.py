@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -32,3 +33,24 @@ def import_files(
 ) -> DataFrame:
     """Partner files with a stated schema; nothing is inferred from the data."""
     return spark.read.format(file_format).schema(schema).options(**options).load(path)
+
+
+def read_run_output(spark: SparkSession, path: str, run_id: int) -> DataFrame:
+    """Console output of a run, saved as text, as log lines ``(RunID, LogID, Msg)``.
+
+    LogID rises with the line: the start of the file block plus the place in the
+    block.  A line takes at least one byte, so blocks cannot overlap, and no task
+    sees more than one block of a file.  An empty line becomes a NULL message.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_order"),
+    )
+    place = F.row_number().over(Window.partitionBy("_file", "_start").orderBy("_order"))
+    return lines.select(
+        F.lit(run_id).alias("RunID"),
+        (F.col("_start") + place).alias("LogID"),
+        F.when(F.col("value") != "", F.col("value")).alias("Msg"),
+    )

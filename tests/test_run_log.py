@@ -8,6 +8,7 @@ from datetime import date, datetime
 import pytest
 
 from cardloom.operators import run_log as log
+from cardloom.sources.files import read_run_output
 from tests.conftest import rows
 
 LINES = "RunID int, LogID long, Msg string"
@@ -44,3 +45,20 @@ def test_residual_lines_and_append(frame):
     flagged = log.flag_error_runs(df)
     earlier = frame("LogID long, RunID int, Msg string, CreatedDateTime timestamp_ntz, isError boolean", (1, 0, "x", datetime(2024, 2, 1), False))
     assert log.append_run_log(earlier, flagged, datetime(2024, 3, 1)).count() == 4
+
+
+def test_run_output_keeps_line_order(spark, tmp_path):
+    """Blocks are made tiny so that one file is read by many tasks."""
+    lines = [f"line {i} " + "x" * (i % 17) for i in range(300)] + [""]
+    (tmp_path / "out.txt").write_text("\n".join([*lines, "Error: last"]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        got = read_run_output(spark, str(tmp_path), 7)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 3
+        ordered = [r["Msg"] for r in got.orderBy("LogID").collect()]
+        assert ordered == [*lines[:-1], None, "Error: last"]
+        assert got.select("LogID").distinct().count() == len(ordered)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    summary = log.error_summary(log.flag_error_runs(got), pointer="!", max_len=30)
+    assert rows(summary) == [(7, " ".join([*lines[:-1], "Error: last"])[-29:] + "!")]

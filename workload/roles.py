@@ -29,7 +29,7 @@ _AREA = f"concat({_LETTER}, 'X')"
 _DISTRICT = f"concat({_AREA}, CAST(CAST(FLOOR(c_custkey / 200) AS BIGINT) + 1 AS STRING))"
 _POSTCODE = f"concat({_DISTRICT}, ' ', CAST(c_custkey % 9 + 1 AS STRING), 'AB')"
 _PACKED = f"concat({_DISTRICT}, CAST(c_custkey % 9 + 1 AS STRING), 'AB')"
-_ROW = "(l_partkey * 1000000 + l_suppkey) * 10 + l_linenumber"
+_ROW = "(l_partkey * 1000000000 + l_suppkey) * 10 + l_linenumber"
 _BRAND = "CAST(substr(p_brand, 7) AS INT)"
 _HOUSE = "CAST(c_custkey % 40 + 1 AS STRING)"
 _BORN = (
@@ -227,13 +227,13 @@ ROLES: dict[str, str] = {
                CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'Rose Cottage' ELSE '' END AS BuildingName
         FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey""",
     "paf_text": """
-        SELECT upper(replace(concat('"', coalesce(SubBuildingName, ''), '","',
-                     CASE WHEN BuildingNumber <> '' THEN BuildingNumber ELSE BuildingName END, '","', Postcode, '"'), ' ', '')) AS line,
-               Postcode FROM {paf} WHERE SubBuildingName IS NOT NULL""",
+        SELECT DISTINCT upper(replace(concat('"', SubBuildingName, '","', CASE WHEN BuildingNumber <> '' THEN BuildingNumber
+                     ELSE BuildingName END, '","', Postcode, '"'), ' ', '')) AS line, Postcode
+        FROM {paf} WHERE SubBuildingName IS NOT NULL""",
     "cohort_addresses": """
         SELECT upper(<sha:line>) AS hashed_address, substr(Postcode, 1, length(Postcode) - 2) AS postcode_sector,
                CAST(length(line) % 7 AS INT) AS cohort_id FROM {paf_text}
-        UNION
+        UNION ALL
         SELECT upper(<sha:line>) AS hashed_address, substr(Postcode, 1, length(Postcode) - 2) AS postcode_sector,
                CAST(length(line) % 7 + 3 AS INT) AS cohort_id FROM {paf_text} WHERE length(line) % 2 = 0""",
     "cohort_state": """

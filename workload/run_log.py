@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -26,8 +27,7 @@ def _(r: Roles):
     spark = r.spark
     root = work_dir(spark, fallback=tempfile.gettempdir())
     feed = r.card_tx.select("FileID", "RowNum", "CINID", "Amount", "TranDate")
-    path = f"{root}/card_export_{spark.sparkContext.applicationId}_{abs(hash(r.sf_dir))}"
-    target = export_feed(feed, path, AS_OF.date(), rows_per_file=5000, file_format="csv", header="true")
+    target = export_feed(feed, f"{root}/card-export-{uuid.uuid4().hex}", AS_OF.date(), rows_per_file=5000, file_format="csv", header="true")
     return import_files(spark, target, feed.schema, file_format="csv", header="true")
 
 
