@@ -33,8 +33,10 @@ def exclude_logged(
     """
     seen = union_all(*[log.select(*keys) for log in logs])
     if prune_by is not None:
+        # Over different inputs, since two scalars of one input are merged into a struct
+        # and then filter rows but no longer skip row groups.
         first = df.agg(F.min(prune_by)).scalar()
-        last = df.agg(F.max(prune_by)).scalar()
+        last = df.where(F.col(prune_by).isNotNull()).agg(F.max(prune_by)).scalar()
         seen = seen.where(F.col(prune_by).between(first, last))
     return anti(df, seen, keys)
 
