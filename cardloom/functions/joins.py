@@ -72,10 +72,12 @@ def salted_join(
     Spark adds no shuffle there, and adaptive execution then does not split the left
     side.  Hot left rows are dealt out by a hash of ``salt_by`` and only the right
     rows of hot keys are repeated.  The hot list is bounded (see :func:`hot_keys`),
-    so it is broadcast.  Rows with a NULL key have no partner and are spread too.
+    so it is broadcast; it may be over some of the join keys only.  Rows with a NULL
+    key have no partner and are spread too.
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(left, keys) if hot is None else hot)
+    hot_by = [c for c in hot.columns if c != "_splits"]
     dice = F.xxhash64(*salt_by)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salt = (
@@ -83,9 +85,9 @@ def salted_join(
         .when(F.col("_splits").isNull(), F.lit(0))
         .otherwise(F.pmod(dice, F.col("_splits")))
     )
-    spread = left.join(hot, keys, "left").select(*left.columns, salt.cast("int").alias("_salt"))
+    spread = left.join(hot, hot_by, "left").select(*left.columns, salt.cast("int").alias("_salt"))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_splits"), F.lit(1)) - 1))
-    repeated = right.join(hot, keys, "left").select(*right.columns, copies.alias("_salt"))
+    repeated = right.join(hot, hot_by, "left").select(*right.columns, copies.alias("_salt"))
     joined = spread.join(repeated, [*keys, "_salt"], how)
     added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions.compat import sha256_hex, text_key
-from cardloom.functions.joins import anti, salted_join, semi, with_group_values
+from cardloom.functions.joins import anti, hot_keys, salted_join, semi, with_group_values
 from cardloom.functions.keys import address_text, digits
 
 ADDRESS = ("Postcode", "BuildingNumber", "SubBuildingName", "BuildingName")
@@ -95,6 +95,11 @@ def address_lookups(paf: DataFrame) -> DataFrame:
 LOOKUP = ("_pc", "field", "first", "second")
 
 
+def _hot_postcodes(cands: DataFrame) -> DataFrame:
+    """Postcodes with very many candidates: a lookup key can only be hot within one."""
+    return hot_keys(cands.select(text_key("PostCode").alias("_pc")), ["_pc"])
+
+
 def cascade_match(cands: DataFrame, paf: DataFrame) -> DataFrame:
     """Address-file matches of each customer under the first rule that finds any.
 
@@ -106,7 +111,7 @@ def cascade_match(cands: DataFrame, paf: DataFrame) -> DataFrame:
     repeats = F.when(F.col("rule") == KEEPS_REPEATS, F.col("count")).otherwise(F.lit(1).cast("long"))
     rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
     known = address_lookups(paf).select(*LOOKUP).distinct()
-    found = salted_join(candidate_probes(cands), known, LOOKUP, "left_semi", ["FanID"])
+    found = salted_join(candidate_probes(cands), known, LOOKUP, "left_semi", ["FanID"], _hot_postcodes(cands))
     best = found.groupBy("FanID").agg(F.min("rule").alias("rule"))
     return semi(rows, best, ["FanID", "rule"]).select("rule", *MATCH)
 
@@ -132,7 +137,7 @@ def match_unambiguous(cands: DataFrame, paf: DataFrame) -> DataFrame:
         .groupBy(*LOOKUP)
         .agg(F.min(address).alias("_low"), F.max(address).alias("_high"), F.count(F.lit(1)).alias("_rows"))
     )
-    hits = salted_join(candidate_probes(cands), reduced, LOOKUP, "inner", ["FanID"])
+    hits = salted_join(candidate_probes(cands), reduced, LOOKUP, "inner", ["FanID"], _hot_postcodes(cands))
     lines = ("Address1", "Address2")
     per_fan = hits.groupBy("FanID").agg(
         F.min(F.struct("rule", *lines, "_low")).alias("_first"),

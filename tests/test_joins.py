@@ -43,6 +43,13 @@ def test_salted_join_equals_plain_join(spark, frame, how):
     assert rows(salted_join(df, right, ["k"], how, ["i"], hot)) == rows(plain)
 
 
+def test_hot_list_over_some_of_the_keys(frame):
+    df = frame("a int, b int, i int", *[(1, i % 2, i) for i in range(50)], (2, 0, 99))
+    right = frame("a int, b int, v string", (1, 0, "x"), (1, 1, "y"), (2, 0, "z"))
+    got = salted_join(df, right, ["a", "b"], "inner", ["i"], hot_keys(df, ["a"], rows_per_split=10))
+    assert rows(got) == rows(df.join(right, ["a", "b"]).select("a", "b", "i", "v"))
+
+
 def test_group_values_equal_a_window(frame):
     rng = random.Random(6)
     df = frame("g int, i int", *[(rng.choice([1, 1, 2, 3]), i) for i in range(200)])
