@@ -17,10 +17,11 @@ from cardloom.operators.incremental import (
     log_rows,
     newly_eligible,
     purge_on_weekday,
+    save_eligible_flag,
     snapshot_overwrite,
 )
 from cardloom.sources.files import export_feed
-from cardloom.sources.tables import append_rows, staged, write_version
+from cardloom.sources.tables import append_run, refuse_repeat, staged, write_version
 
 
 @dataclass(frozen=True)
@@ -93,25 +94,27 @@ def run_card_feed(
     """One run of a card feed; returns the paths of the new table versions.
 
     The backfill and the enriched rows each feed several outputs and are written
-    once.  The row log grows only after the export has succeeded, so a failed run is
-    repeated in full.
+    once.  The row log comes last: a run that fails before is repeated in full, and a
+    run that is in the log is not repeated at all.
     """
     name = "detailed" if detailed else "standard"
+    log_path = f"{out}/{name}_row_log"
+    refuse_repeat(spark, log_path, run.run_id)
     eligible = staged(eligible_customers(t, run), f"{name}-eligible", run.run_id, work)
     backfill = staged(backfill_rows(t, run, eligible), f"{name}-backfill", run.run_id, work)
     make_rows = detailed_rows if detailed else standard_rows
     rows = staged(make_rows(t, backfill, prune_by="FileID"), f"{name}-rows", run.run_id, work)
 
     feed = card_feed(rows, run.as_of, detailed=detailed)
-    paths = {"feed": export_feed(feed, f"{out}/{name}_feed", run.load_date, rows_per_file)}
-    append_rows(log_rows(rows), f"{out}/{name}_row_log")
+    paths = {"feed": export_feed(feed, f"{out}/{name}_feed/run={run.run_id}", run.load_date, rows_per_file)}
     if detailed:
-        paths["eligible_flag"] = write_version(eligible, f"{out}/eligible_flag", run.run_id)
-        return paths
-    dates = spark.createDataFrame([], "LoadDate date")
-    append_rows(append_load_date(dates, run.as_of), f"{out}/load_dates")
-    paths["archive"] = write_version(snapshot_overwrite(t.customers), f"{out}/archive", run.run_id)
-    for kind, table in (("debit_holding", t.debit_holding), ("credit_holding", t.credit_holding)):
-        if run.as_of.strftime("%A") == "Saturday":
-            paths[kind] = write_version(purge_on_weekday(table, run.as_of), f"{out}/{kind}", run.run_id)
+        paths["eligible_flag"] = write_version(save_eligible_flag(eligible), f"{out}/eligible_flag", run.run_id)
+    else:
+        dates = spark.createDataFrame([], "LoadDate date")
+        append_run(append_load_date(dates, run.as_of), f"{out}/load_dates", run.run_id)
+        paths["archive"] = write_version(snapshot_overwrite(t.customers), f"{out}/archive", run.run_id)
+        for kind, table in (("debit_holding", t.debit_holding), ("credit_holding", t.credit_holding)):
+            if run.as_of.strftime("%A") == "Saturday":
+                paths[kind] = write_version(purge_on_weekday(table, run.as_of), f"{out}/{kind}", run.run_id)
+    append_run(log_rows(rows), log_path, run.run_id)
     return paths

@@ -19,7 +19,7 @@ from cardloom.operators.direct_debit import (
 )
 from cardloom.operators.incremental import log_rows
 from cardloom.sources.files import export_feed
-from cardloom.sources.tables import append_rows, staged, write_version
+from cardloom.sources.tables import append_run, refuse_repeat, staged, write_version
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,8 @@ def run_direct_debit(
     work: str | None = None,
 ) -> dict[str, str]:
     """One direct-debit run; rows are logged only after the export has succeeded."""
+    log_path = f"{out}/dd_row_log"
+    refuse_repeat(t.row_log.sparkSession, log_path, run.run_id)
     tx = staged(dd_eligible(t.transactions, t.customers, t.row_log, config), "dd-tx", run.run_id, work)
     feed = staged(direct_debit_rows(t, tx, config, run), "dd-feed", run.run_id, work)
     details = dd_merchant_details(t.merchants, t.brands, t.merchant_mask, t.transactions, known_customers)
@@ -70,6 +72,6 @@ def run_direct_debit(
         "dd_merchants_by_id": dd_merchants(t.merchants, t.brands, t.merchant_mask, keyed_by_id=True),
     }
     paths = {name: write_version(df, f"{out}/{name}", run.run_id) for name, df in tables.items()}
-    paths["feed"] = export_feed(feed, f"{out}/dd_feed", run.today)
-    append_rows(log_rows(feed, processed_at=run.as_of), f"{out}/dd_row_log")
+    paths["feed"] = export_feed(feed, f"{out}/dd_feed/run={run.run_id}", run.today)
+    append_run(log_rows(feed, processed_at=run.as_of), log_path, run.run_id)
     return paths

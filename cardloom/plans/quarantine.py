@@ -17,7 +17,7 @@ from cardloom.operators.affinity import (
 from cardloom.operators.incremental import log_rows
 from cardloom.operators.quarantine import hold_credit, hold_debit, normalise_quarantine, quarantine_feed
 from cardloom.sources.files import export_feed
-from cardloom.sources.tables import append_rows, staged, write_version
+from cardloom.sources.tables import append_run, refuse_repeat, staged, write_version
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,8 @@ def run_quarantine(
     work: str | None = None,
 ) -> str:
     """One quarantine run; every held row is logged once the feed is written."""
+    log_path = f"{out}/quarantine_row_log"
+    refuse_repeat(t.row_log.sparkSession, log_path, run.run_id)
     debit = staged(hold_debit(t.pending_debit, affinity, t.row_log), "held-debit", run.run_id, work)
     credit = staged(hold_credit(t.pending_credit, affinity, t.row_log), "held-credit", run.run_id, work)
     feed = quarantine_feed(
@@ -70,8 +72,8 @@ def run_quarantine(
         unbranded_brand,
         run.as_of,
     )
-    path = export_feed(feed, f"{out}/quarantine_feed", run.load_date)
-    append_rows(log_rows(debit, credit), f"{out}/quarantine_row_log")
+    path = export_feed(feed, f"{out}/quarantine_feed/run={run.run_id}", run.load_date)
+    append_run(log_rows(debit, credit), log_path, run.run_id)
     return path
 
 

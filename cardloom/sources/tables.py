@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -24,9 +25,25 @@ def write_version(df: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
-def append_rows(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Append to an accumulating table such as a row log."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Add the rows of one run to an accumulating table such as a row log.
+
+    They get a folder of their own, so an interrupted attempt is replaced and not
+    doubled.  Reading ``path`` gives all runs, with the run id as column ``run``.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def refuse_repeat(spark: SparkSession, path: str, run_id: str) -> None:
+    """Stop a run that has already logged its rows.
+
+    Its own log would exclude everything and its feed would be replaced by an empty one.
+    """
+    try:
+        spark.read.parquet(f"{path}/run={run_id}")
+    except AnalysisException:
+        return
+    raise ValueError(f"run {run_id} is already in {path}")
 
 
 def work_dir(spark: SparkSession, fallback: str | None = None) -> str:

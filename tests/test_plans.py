@@ -53,10 +53,13 @@ def test_card_feed_run_is_idempotent(spark, r, tmp_path):
     assert feed.count() == pure.count() > 0
     log = read_table(spark, f"{out}/standard_row_log")
     assert log.count() == feed.count() and set(first) == {"feed", "archive"}
-    grown = dataclasses.replace(t, row_log=t.row_log.union(log))
+    grown = dataclasses.replace(t, row_log=t.row_log.union(log.select("FileID", "RowNum")))
     again = card_plan.run_card_feed(spark, grown, RunContext("two", datetime(2001, 8, 3, 3)), out)
     assert read_table(spark, again["feed"]).count() == 0
     assert read_table(spark, f"{out}/load_dates").count() == 2
+    with pytest.raises(ValueError, match="already"):
+        card_plan.run_card_feed(spark, t, RunContext("one", AS_OF), out)
+    assert read_table(spark, first["feed"]).count() == feed.count()
 
 
 def test_detailed_run_and_saturday_purge(spark, r, tmp_path):
@@ -90,7 +93,7 @@ def test_quarantine_run(spark, r, tmp_path):
     feed = q_plan.run_quarantine(t, r.affinity_customers, 9, run, out)
     held = read_table(spark, f"{out}/quarantine_row_log")
     assert held.count() >= read_table(spark, feed).count() > 0
-    done = dataclasses.replace(t, row_log=t.row_log.union(held))
+    done = dataclasses.replace(t, row_log=t.row_log.union(held.select("FileID", "RowNum")))
     again = q_plan.run_quarantine(done, r.affinity_customers, 9, RunContext("two", AS_OF), str(tmp_path / "again"))
     assert read_table(spark, again, feed_schema(spark, feed)).count() == 0
 

@@ -35,6 +35,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("NestedLoop", "Cartesian", "Python", "Pandas"))
     result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
