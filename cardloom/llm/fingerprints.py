@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardloom.llm.shared import ROWS_PER_PIECE, same_text
+from cardloom.llm.shared import ROWS_PER_PIECE, key_cells, same_text, small_table
 
 K = 128
 WORDS = 5
-CELLS = 1 << 14
 
 
 def let(value: Column, use) -> Column:
@@ -102,32 +101,17 @@ def in_order(docs: DataFrame, key: str, per_bucket: int = ROWS_PER_PIECE) -> Dat
 
     ``_copy`` marks the copies: the first row of a bucket stands at the end of the bucket
     before, the very first at the end of the last, so each row finds its successor
-    within its bucket.  Cells of equal width between the outer permilles are merged into buckets;
-    their number, and so what is broadcast, is at most ``CELLS + 3``.  NULL keys come first.
+    within its bucket.  NULL keys come first.
     """
-    ids = docs.select(F.col(key).alias("_k"))
-    stats = ids.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_k", F.array(F.lit(0.001), F.lit(0.999))).alias("q")).first()
-    if not stats["n"]:
-        return docs.withColumn("_bucket", F.lit(0)).withColumn("_copy", F.lit(False))
-    low, high = stats["q"] or (0, 0)
-    width = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.greatest(F.lit(-1), F.least(F.lit(CELLS), F.floor((F.col("_k") - low) / width)))
-    cell = F.coalesce(cell, F.lit(-2)).alias("_cell")
-    cells = ids.groupBy(cell).agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("first")).collect()
-    buckets, held = [], 0
-    for c in sorted(cells, key=lambda r: r["_cell"]):
-        if not buckets or held >= per_bucket:
-            buckets.append((len(buckets), c["_cell"]))
-            held = 0
-        held += c["n"]
-    starts = [b for _, b in buckets]
-    table, at = [], -1
-    for c in sorted(cells, key=lambda r: r["_cell"]):
-        first = at + 1 < len(starts) and c["_cell"] == starts[at + 1]
-        at += first
-        table.append((c["_cell"], at, (at - 1) % len(starts) if first else None, c["first"]))
-    bounds = docs.sparkSession.createDataFrame(table, "_cell long, _bucket int, _before int, _first long")
-    rows = docs.withColumn("_k", F.col(key)).select(*docs.columns, "_k", cell)
+    cells = key_cells(docs, key, F.lit(1), per_bucket)
+    count = len({c.bucket for c in cells.rows})
+    table, seen = [], set()
+    for c in cells.rows:
+        first = c.bucket not in seen
+        seen.add(c.bucket)
+        table.append((c.cell, c.bucket, (c.bucket - 1) % count if first else None, c.first))
+    bounds = small_table(docs.sparkSession, table, "_cell long, _bucket int, _before int, _first long")
+    rows = docs.select(*docs.columns, F.col(key).alias("_k"), cells.column(F.col(key)).alias("_cell"))
     rows = rows.join(F.broadcast(bounds), "_cell")
     is_first = F.col("_before").isNotNull() & F.col("_k").eqNullSafe(F.col("_first"))
     own = F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("c"))

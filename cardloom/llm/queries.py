@@ -3,20 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm import fingerprints, secret_scan, sharding
+from cardloom.llm import embedding_dedup, fingerprints, language_id, ngram_join, packing, quality, secret_scan, segmentation, sharding, warc
+from cardloom.llm.shared import new_folder
+from cardloom.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, python: bool = False):
+    """Register a query; ``python`` for those whose tasks import this package."""
+
     def add(f):
-        QUERIES[name] = f
-        return f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if python:
+                ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
+        return run
 
     return add
 
@@ -59,3 +70,71 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     rows = found.select(F.col("path").alias("doc_id"), *counts, listed.alias("spans"))
     return rows.withColumn("base_sha256", F.sha2(F.encode("spans", "UTF-8"), 256))
+
+
+@query("op5_packing", python=True)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_warc", python=True)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    rows = warc.read_archive(spark, folder, with_payload=False)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS digest,
+    max(page_id) OVER (PARTITION BY html) AS last
+  FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM d
+"""
+
+
+def remainder(column: str, by: int):
+    return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % by
+
+
+@query("op1_language_id", python=True)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(remainder("doc_id", 4) != 2))
+    rows = docs.select("doc_id", "text", (remainder("doc_id", 4) == 2).alias("held_out"))
+    return language_id.identify(rows, model).drop("text")
+
+
+@query("op4_quality", python=True)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(remainder("doc_id", 5) != 0))
+    rows = docs.select("doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
+    return quality.score(rows, model).drop("text").withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op2_embedding_dedup", python=True)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_ngram_join", python=True)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@query("op7_segmentation", python=True)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return segmentation.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

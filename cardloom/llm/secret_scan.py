@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.shared import same_text, staged
+from cardloom.llm.shared import free_name, same_text, staged
 
 
 @dataclass(frozen=True)
@@ -139,6 +139,7 @@ def mask(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "te
     Overlapping spans are masked once.  ``found`` has (path, spans), one row per key.
     """
     width = F.char_length(text)
+    path, spans = free_name(docs, "_path"), free_name(docs, "_spans")
 
     def step(acc: Column, x: Column) -> Column:
         start = F.greatest(acc["at"], x["start"])
@@ -147,8 +148,8 @@ def mask(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "te
         return F.struct(end.alias("at"), F.concat(acc["out"], kept, F.repeat(F.lit(mark), end - start)).alias("out"))
 
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(F.col("_spans"), first, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, width)))
-    hits = found.where(F.size("spans") > 0).select(F.col("path").alias("_path"), F.col("spans").alias("_spans"))
-    joined = docs.join(hits, docs[key] == hits["_path"], "left")
-    masked = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(done).alias(text)
+    done = F.aggregate(F.col(spans), first, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, width)))
+    hits = found.where(F.size("spans") > 0).select(F.col("path").alias(path), F.col("spans").alias(spans))
+    joined = docs.join(hits, docs[key] == hits[path], "left")
+    masked = F.when(F.col(spans).isNull(), F.col(text)).otherwise(done).alias(text)
     return joined.select(*[masked if c == text else F.col(c) for c in docs.columns])

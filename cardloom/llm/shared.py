@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_PIECE = 20_000
+CELLS = 1 << 14
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -112,3 +116,74 @@ def chunk_pairs(df: DataFrame, group: str, key: str, weight: str, most: int) ->
     alone = F.concat(F.lit("b"), F.pmod(F.xxhash64(group), F.lit(bins)))
     named = F.concat_ws("-", F.lit("c"), F.col(group), F.col("_low"), F.col("_high"))
     return rows.withColumn("_task", F.when(F.col("_chunks") == 1, alone).otherwise(named)).drop("_chunks", "_other")
+
+
+class Cell(NamedTuple):
+    cell: int
+    bucket: int
+    first: int | None
+
+
+class Cells(NamedTuple):
+    """Ranges of a key: ``rows`` deals at most ``CELLS + 3`` cells out to consecutive buckets."""
+
+    low: int
+    width: int
+    rows: list[Cell]
+
+    def column(self, key: Column) -> Column:
+        cell = F.floor((key - F.lit(self.low)) / F.lit(self.width))
+        cell = F.greatest(F.lit(-1), F.least(F.lit(CELLS), cell))
+        return F.when(key.isNull(), F.lit(-2)).otherwise(cell).cast("long")
+
+
+def key_cells(df: DataFrame, key: str, weight: Column, per_bucket: int) -> Cells:
+    """Cells of equal width over an integer key, merged to buckets of about ``per_bucket`` weight.
+
+    The cells lie between the outer permilles and start and end at multiples of a power of two,
+    so the same keys give the same cells.  What lies beyond goes to one cell on each side, NULL keys to
+    one before all.  Only counts per cell reach the driver.
+    """
+    ends = df.agg(F.percentile_approx(key, F.array(F.lit(0.001), F.lit(0.999))).alias("q")).first()["q"]
+    low, high = (int(x) for x in ends) if ends else (0, 0)
+    width = 1
+    while width * (CELLS - 1) < high - low + 1:
+        width *= 2
+    cells = Cells(low // width * width, width, [])
+    counts = df.groupBy(cells.column(F.col(key)).alias("cell")).agg(F.sum(weight).alias("w"), F.min(key).alias("first"))
+    held, bucket = 0, 0
+    for r in sorted(counts.collect(), key=lambda r: r["cell"]):
+        if held >= per_bucket:
+            held, bucket = 0, bucket + 1
+        cells.rows.append(Cell(r["cell"], bucket, r["first"]))
+        held += r["w"] or 0
+    return cells
+
+
+def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest position that each of ``n`` positions reaches over the pairs (i, j)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[i], root[j])
+        before = root.copy()
+        np.minimum.at(root, before[i], low)
+        np.minimum.at(root, before[j], low)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table from a bounded list of tuples of numbers, by a JSON literal: no Python runs in tasks."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    parsed = F.from_json(F.lit(text), f"array<struct<{', '.join(c.replace(' ', ':') for c in schema.split(', '))}>>")
+    return spark.range(1).select(F.explode(parsed).alias("r")).select("r.*")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
