@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardloom.llm.shared import ROWS_PER_PIECE, key_cells, same_text, small_table
+from cardloom.llm.shared import key_cells, same_text, small_table
 
 K = 128
 WORDS = 5
+ROWS_PER_BUCKET = 4_000
 
 
 def let(value: Column, use) -> Column:
@@ -96,7 +97,7 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
-def in_order(docs: DataFrame, key: str, per_bucket: int = ROWS_PER_PIECE) -> DataFrame:
+def in_order(docs: DataFrame, key: str, per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Rows with ``_bucket``, ranges of ``key`` of about ``per_bucket`` rows, each with a copy of the row after it.
 
     ``_copy`` marks the copies: the first row of a bucket stands at the end of the bucket

@@ -25,7 +25,7 @@ HIDDEN = 24
 ATTENTION = 16
 PER_LABEL = 1000
 EPOCHS = 14
-_LAGS = (1, 2, 3, 4, 5, 6, 8)
+_LAGS = tuple(range(1, 21))
 
 
 def _classes() -> np.ndarray:
@@ -54,7 +54,7 @@ def _classes() -> np.ndarray:
 
 _CLASS = _classes()
 CLASSES = int(_CLASS.max()) + 1
-STATS = CLASSES - 1 + len(_LAGS) + 3
+STATS = CLASSES - 1 + 7
 
 
 def pair_codes(x: np.ndarray) -> np.ndarray:
@@ -66,18 +66,21 @@ def pair_codes(x: np.ndarray) -> np.ndarray:
 
 
 def statistics(x: np.ndarray) -> np.ndarray:
-    """Shares of byte classes, of bytes repeated at small distances, and of distinct runs of four; fill and case changes."""
+    """Shares of byte classes, of bytes repeated at distances up to a word, and of distinct runs of four; class changes and fill."""
     rows, width = x.shape
     filled = np.maximum((x > 0).sum(1), 1)
     flat = _CLASS[x] + np.arange(rows)[:, None] * CLASSES
     share = np.bincount(flat.ravel(), minlength=rows * CLASSES).reshape(rows, CLASSES)[:, 1:] / filled[:, None]
-    same = [((x[:, k:] == x[:, :-k]) & (x[:, k:] > 0)).sum(1) / filled for k in _LAGS]
+    same = np.stack([((x[:, k:] == x[:, :-k]) & (x[:, k:] > 0)).sum(1) for k in _LAGS], 1) / filled[:, None]
+    # One letter over and over, words over and over, and how much that stands out.
+    again = np.sort(same[:, 2:], axis=1)
+    repeats = np.column_stack([same[:, 0], same[:, 1], again[:, -1], again[:, -1] - again[:, len(_LAGS) // 2]])
     y = x.astype(np.uint32)
     four = np.sort(y[:, :-3] | y[:, 1:-2] << np.uint32(8) | y[:, 2:-1] << np.uint32(16) | y[:, 3:] << np.uint32(24), axis=1)
     distinct = ((four[:, 1:] != four[:, :-1]) & (four[:, 1:] > 0)).sum(1) / np.maximum(filled - 3, 1)
     kinds = np.minimum(_CLASS[x], 8)
     changes = ((kinds[:, 1:] != kinds[:, :-1]) & (x[:, 1:] > 0)).sum(1) / filled
-    out = np.column_stack([np.sqrt(share), *same, distinct, changes, np.log1p(filled) / np.log1p(width)])
+    out = np.column_stack([np.sqrt(share), 3 * repeats, 2 * distinct, changes, np.log1p(filled) / np.log1p(width)])
     return out.astype(np.float32)
 
 

@@ -8,7 +8,6 @@ back to every path that holds the blob.  Built-in functions only.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,19 +109,27 @@ def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules: t
     return staged(scan_blobs(blobs, rules), "secret-ledger")
 
 
-def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(path, spans): all spans of a path as array<struct<start, kind order, end, kind>>, sorted.
+def findings(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, spans): all spans of a blob as array<struct<start, kind order, end, kind>>, sorted, on shared storage.
 
-    Spans of rules outside ``rules`` are ignored; a path without findings has an empty array.
-    A repeated path gives a row for each of its versions.
+    Spans of rules outside ``rules`` are ignored.
     """
-    order = reduce(lambda a, i: a.when(F.col("rule") == rules[i].id, F.lit(i)), range(1, len(rules)), F.when(F.col("rule") == rules[0].id, F.lit(0)))
+    order = F.when(F.col("rule") == rules[0].id, F.lit(0))
+    for i, rule in enumerate(rules[1:], 1):
+        order = order.when(F.col("rule") == rule.id, F.lit(i))
     kind = F.substring_index("rule", "@", 1)
     rows = ledger.select("blob", "spans", order.alias("_order"), kind.alias("_kind")).where("_order is not null")
     spans = F.expr("transform(spans, x -> struct(x.start as start, _order as n, x.end as end, _kind as kind))")
     held = rows.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_list(spans))).alias("spans"))
-    held = staged(held, "secret-findings")
-    return versions.select("path", "blob").join(held, "blob").select("path", "spans")
+    return staged(held, "secret-findings")
+
+
+def findings_by_path(versions: DataFrame, found: DataFrame) -> DataFrame:
+    """(path, spans) for every version; a path without findings has an empty array.
+
+    A repeated path gives a row for each of its versions.
+    """
+    return versions.select("path", "blob").join(found, "blob").select("path", "spans")
 
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, path: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
@@ -130,26 +137,25 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, path: str = "doc_id",
     versions = address(docs, path, text)
     added = update_ledger(versions, ledger, rules)
     whole = added if ledger is None else ledger.select("blob", "rule", "spans").unionByName(added)
-    return findings_by_path(versions, whole, rules), whole
+    return findings_by_path(versions, findings(whole, rules)), whole
 
 
-def mask(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "*") -> DataFrame:
-    """Documents with every code point of a span replaced by ``mark``; columns and lengths stay.
+def mask(docs: DataFrame, found: DataFrame, text: str = "text", sign: str = "*") -> DataFrame:
+    """Documents with every code point of a span replaced by ``sign``; columns, rows and lengths stay.
 
-    Overlapping spans are masked once.  ``found`` has (path, spans), one row per key.
+    ``found`` has (blob, spans) with the spans sorted; overlapping ones are masked once.  NULL texts stay NULL.
     """
-    width = F.char_length(text)
-    path, spans = free_name(docs, "_path"), free_name(docs, "_spans")
+    blob, spans = free_name(docs, "_blob"), free_name(docs, "_spans")
+    hits = found.where(F.size("spans") > 0).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    rows = docs.withColumn(blob, F.sha2(F.encode(same_text(text), "UTF-8"), 256)).join(hits, blob, "left")
 
     def step(acc: Column, x: Column) -> Column:
         start = F.greatest(acc["at"], x["start"])
         end = F.greatest(start, x["end"])
         kept = F.substring(F.col(text), acc["at"] + 1, start - acc["at"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], kept, F.repeat(F.lit(mark), end - start)).alias("out"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], kept, F.repeat(F.lit(sign), end - start)).alias("out"))
 
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(F.col(spans), first, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, width)))
-    hits = found.where(F.size("spans") > 0).select(F.col("path").alias(path), F.col("spans").alias(spans))
-    joined = docs.join(hits, docs[key] == hits[path], "left")
-    masked = F.when(F.col(spans).isNull(), F.col(text)).otherwise(done).alias(text)
-    return joined.select(*[masked if c == text else F.col(c) for c in docs.columns])
+    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.char_length(text)))
+    masked = F.when(F.col(spans).isNull(), F.col(text)).otherwise(F.aggregate(F.col(spans), first, step, rest)).alias(text)
+    return rows.select(*[masked if c == text else F.col(c) for c in docs.columns])

@@ -21,17 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLES = 2
-MOST_STATES = 500_000
+MOST_RUNS = 200_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = re.compile("▁+[^▁]*|[^▁]+")
 
 
 class Lattice:
-    """Edges of the lattice of any text, by what is left of a run between blanks.
+    """Edges of the lattices of runs between blanks.
 
-    No piece spans a blank in its middle, so the lattice falls apart into runs, and a place in
-    a run is known by the rest of it: equal endings share their states.  A vocabulary whose
-    scores are merge ranks gets weights by Zipf's law, ``-log(rank + 10)``; other scores are log probabilities.
-    Characters without a piece are their bytes.
+    No piece spans a blank in its middle, so the lattice of a text falls apart into runs, and the
+    lattice of a run is built once, with many others together, and kept up to ``MOST_RUNS`` runs.  A
+    state is a place in a run; its edges stand together, shortest piece first.  A vocabulary
+    whose scores are merge ranks gets weights by Zipf's law, ``-log(rank + 10)``; other scores are log
+    probabilities.  Characters without a piece are their bytes.
     """
 
     def __init__(self, path: str, temperature: float = 1.0):
@@ -40,7 +42,8 @@ class Lattice:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = sp.get_piece_size()
         ranked = all(float(sp.get_score(i)).is_integer() for i in range(size))
-        self.piece, self.byte, self.raw = {}, {}, []
+        names, weights, kept = [], [], []
+        self.byte, self.raw = {}, []
         for i in range(size):
             name = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -51,105 +54,126 @@ class Lattice:
             else:
                 score = sp.get_score(i)
                 # Runs of blanks have no rank: they stand behind all others.
-                weight = -math.log(min(-score, size) + 10) if ranked else score
-                self.piece[name] = (i, weight / temperature)
+                weights.append((-math.log(min(-score, size) + 10) if ranked else score) / temperature)
+                names.append(name)
+                kept.append(i)
                 self.raw.append(name.replace("▁", " ").encode())
-        if any("▁" in p.lstrip("▁") for p in self.piece):
+        if any("▁" in name.lstrip("▁") for name in names):
             raise ValueError("a piece spans a blank")
-        self.longest = max(map(len, self.piece))
         self.per_byte = -math.log(size) / temperature
+        # For each length all beginnings of pieces, which of them are pieces, and their weights.
+        self.by_length = []
+        for n in range(1, max(map(len, names)) + 1):
+            begun = {name[:n]: (-1, 0.0) for name in names if len(name) >= n}
+            begun |= {name: (i, weight) for name, i, weight in zip(names, kept, weights) if len(name) == n}
+            code = self.codes("".join(begun)).reshape(-1, n)
+            hashed = np.zeros(len(begun), np.uint64)
+            for k in range(n):
+                hashed = hashed * _BASE + code[:, k]
+            order = np.argsort(hashed)
+            if len(np.unique(hashed)) < len(hashed):
+                raise ValueError("two pieces share a hash")
+            ids, of = zip(*begun.values())
+            self.by_length.append((hashed[order], np.array(ids)[order], np.array(of)[order]))
         self.reset()
 
+    @staticmethod
+    def codes(text: str) -> np.ndarray:
+        return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
     def reset(self) -> None:
-        self.state: dict[str, int] = {}
-        self.total: list[float] = []
-        self.filled = self.used = self.written = 0
+        self.runs: dict[str, int] = {}
+        self.filled = self.used = 0
         self.first = np.zeros(1 << 12, np.int64)
-        self.key, self.logp, self.rest = (np.zeros(1 << 14) for _ in range(3))
-        self.next, self.out, self.size = (np.zeros(1 << 14, np.int64) for _ in range(3))
-        self.ids = np.zeros(1 << 14, np.int32)
+        self.key, self.logp = np.zeros(1 << 14), np.zeros(1 << 14)
+        self.next, self.piece = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def learn(self, runs: list[str]) -> None:
-        """States for the runs and all endings that they can reach."""
-        logp, rest, following, out, size, ids, key, first = [], [], [], [], [], [], [], []
-        state, total, piece = self.state, self.total, self.piece
-        for run in runs:
-            n = len(run)
-            reach = bytearray(n + 1)
-            reach[0] = 1
-            edges: list[list] = [[] for _ in range(n)]
-            for a in range(n):
-                if not reach[a]:
-                    continue
-                if run[a:] in state:
-                    continue
-                here = edges[a]
-                for b in range(a + 1, min(n, a + self.longest) + 1):
-                    found = piece.get(run[a:b])
-                    if found:
-                        here.append((b, found[1], (found[0],)))
-                        reach[b] = 1
-                if not here or here[0][0] != a + 1:
-                    data = run[a].encode("utf-8", "replace")
-                    here.append((a + 1, len(data) * self.per_byte, tuple(self.byte[x] for x in data)))
-                    reach[a + 1] = 1
-            for a in range(n - 1, -1, -1):
-                if not edges[a]:
-                    continue
-                sums, targets = [], []
-                for b, weight, _ in edges[a]:
-                    target = -1 if b == n else state[run[b:]]
-                    targets.append(target)
-                    sums.append(weight + (0.0 if b == n else total[target]))
-                top = max(sums)
-                whole = top + math.log(sum(math.exp(s - top) for s in sums))
-                me = len(total)
-                state[run[a:]] = me
-                total.append(whole)
-                first.append(self.used + len(logp))
-                cut = 0.0
-                for (_, _, named), target, s in zip(edges[a], targets, sums):
-                    p = math.exp(s - whole)
-                    cut += p
-                    key.append(me + min(cut, 1.0))
-                    logp.append(s - whole)
-                    rest.append(math.log1p(-p) if p < 1 - 1e-12 and len(sums) > 1 else -math.inf)
-                    following.append(target)
-                    out.append(self.written + len(ids))
-                    size.append(len(named))
-                    ids.extend(named)
-                key[-1] = me + 1.0
-        for name, new, at in (
-            ("first", first, self.filled),
-            ("key", key, self.used),
-            ("logp", logp, self.used),
-            ("rest", rest, self.used),
-            ("next", following, self.used),
-            ("out", out, self.used),
-            ("size", size, self.used),
-            ("ids", ids, self.written),
-        ):
-            array = getattr(self, name)
-            if at + len(new) > len(array):
-                array = np.resize(array, max(at + len(new), 2 * len(array)))
-                setattr(self, name, array)
-            array[at : at + len(new)] = new
-        self.filled += len(first)
-        self.used += len(logp)
-        self.written += len(ids)
-
-    def entries(self, text: str) -> np.ndarray:
-        """The states in which the runs of a text begin."""
-        if not text:
-            return np.zeros(0, np.int64)
-        runs = _CHUNK.findall("▁" + text.replace(" ", "▁"))
-        unseen = {r for r in runs if r not in self.state}
+        """Lattices of all the runs, with the exact probability of each edge given its state."""
+        size = np.array([len(r) for r in runs])
+        code = self.codes("".join(runs))
+        places = len(code)
+        end = np.repeat(np.cumsum(size), size)
+        where, widths, pieces, weights = [], [], [], []
+        here, hashed = np.arange(places), np.zeros(places, np.uint64)
+        alone = np.ones(places, bool)
+        for n, (known, ids, weight) in enumerate(self.by_length, 1):
+            fits = here + n <= end[here]
+            here, hashed = here[fits], hashed[fits]
+            hashed = hashed * _BASE + code[here + n - 1]
+            spot = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+            begun = known[spot] == hashed
+            here, hashed, spot = here[begun], hashed[begun], spot[begun]
+            hit = ids[spot] >= 0
+            if n == 1:
+                alone[here[hit]] = False
+            where.append(here[hit])
+            widths.append(np.full(int(hit.sum()), n))
+            pieces.append(ids[spot[hit]])
+            weights.append(weight[spot[hit]])
+        lost = np.flatnonzero(alone)
+        if len(lost):
+            # A character as its bytes: the id of a single one, and minus the code, less one, for more.
+            c = code[lost].astype(np.int64)
+            single = np.array([self.byte[b] for b in range(128)])
+            where.append(lost)
+            widths.append(np.ones(len(lost), np.int64))
+            pieces.append(np.where(c < 128, single[np.minimum(c, 127)], -c - 1))
+            weights.append(self.per_byte * (1 + (c > 0x7F) + (c > 0x7FF).astype(int) + (c > 0xFFFF)))
+        where, widths = np.concatenate(where), np.concatenate(widths)
+        pieces, weights = np.concatenate(pieces), np.concatenate(weights)
+        order = np.lexsort((widths, where))
+        where, widths, pieces, weights = where[order], widths[order], pieces[order], weights[order]
+        target = where + widths
+        last = target == end[where]
+        # The sum over all ways to finish, from the ends of all runs backwards together.
+        total = np.zeros(places + 1)
+        left = end[where] - where
+        back = np.argsort(left, kind="stable")
+        bounds = np.searchsorted(left[back], np.arange(1, int(left.max()) + 2))
+        goes_on = np.where(last, places, target)
+        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if i == j:
+                continue
+            e = back[i:j]
+            sums = weights[e] + total[goes_on[e]]
+            start = np.flatnonzero(np.diff(where[e], prepend=-1))
+            top = np.maximum.reduceat(sums, start)
+            count = np.diff(np.append(start, len(e)))
+            total[where[e[start]]] = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, count)), start))
+        logp = np.minimum(weights + total[goes_on] - total[where], 0.0)
+        first = np.searchsorted(where, np.arange(places))
+        p = np.exp(logp)
+        whole = np.cumsum(p)
+        cut = whole - np.repeat((whole - p)[first], np.diff(np.append(first, len(where))))
+        cut[np.append(first[1:], len(where)) - 1] = 1.0
+        self.append("first", self.used + first, self.filled)
+        self.append("key", self.filled + where + np.minimum(cut, 1.0), self.used)
+        self.append("logp", logp, self.used)
+        self.append("next", np.where(last, -1, self.filled + target), self.used)
+        self.append("piece", pieces, self.used)
+        for run, at in zip(runs, (self.filled + np.cumsum(size) - size).tolist()):
+            self.runs[run] = at
+        self.filled += places
+        self.used += len(where)
+
+    def append(self, name: str, new: np.ndarray, at: int) -> None:
+        array = getattr(self, name)
+        if at + len(new) > len(array):
+            array = np.resize(array, max(at + len(new), 2 * len(array)))
+            setattr(self, name, array)
+        array[at : at + len(new)] = new
+
+    def entries(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """For each text the states in which its runs begin."""
+        if len(self.runs) > MOST_RUNS:
+            self.reset()
+        split = [_CHUNK.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
+        unseen = list(dict.fromkeys(r for runs in split for r in runs if r not in self.runs))
         if unseen:
-            if len(self.total) > MOST_STATES:
-                self.reset()
-                unseen = set(runs)
-            self.learn(sorted(unseen))
-        return np.fromiter(map(self.state.__getitem__, runs), np.int64, len(runs))
+            self.learn(unseen)
+        for runs in split:
+            yield np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs))
 
     def walk(self, entries: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn by their probabilities from each entry to the end of its run, in order, and their run."""
@@ -158,7 +182,10 @@ class Lattice:
         count = np.zeros(len(entries), np.int64)
         keys = self.key[: self.used]
         while len(at):
-            edge = np.searchsorted(keys, state + rng.random(len(at)), "right")
+            drawn = state + rng.random(len(at))
+            order = np.argsort(drawn)  # neighbours in the table are found together
+            edge = np.empty(len(at), np.int64)
+            edge[order] = np.searchsorted(keys, drawn[order], "right")
             where.append(at)
             edges.append(edge)
             steps.append(np.full(len(at), step))
@@ -175,15 +202,15 @@ class Lattice:
         return out, np.repeat(np.arange(len(entries)), count)
 
     def pieces(self, edges: np.ndarray) -> np.ndarray:
-        size = self.size[edges]
-        ends = np.cumsum(size)
-        source = np.repeat(self.out[edges] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        return self.ids[source]
-
-    def state_of(self, edge: int) -> int:
-        return int(np.searchsorted(self.first[: self.filled], edge, "right")) - 1
-
-    def options(self, state: int) -> range:
+        ids = self.piece[edges]
+        if not len(ids) or ids.min() >= 0:
+            return ids
+        named = [[i] if i >= 0 else [self.byte[b] for b in chr(-i - 1).encode("utf-8", "replace")] for i in ids.tolist()]
+        return np.array([i for part in named for i in part], np.int32)
+
+    def options(self, edge: int) -> range:
+        """All edges of the state of an edge."""
+        state = int(np.searchsorted(self.first[: self.filled], edge, "right")) - 1
         last = self.first[state + 1] if state + 1 < self.filled else self.used
         return range(int(self.first[state]), int(last))
 
@@ -194,13 +221,12 @@ def truncated(place: np.ndarray | float, most: float, u: np.ndarray | float) ->
         return place - np.log(np.exp(place - most) - np.log(u))
 
 
-def sample(lattice: Lattice, text: str, k: int, rng: np.random.Generator) -> list[tuple[np.ndarray, float, float, float]]:
-    """Up to ``k`` distinct segmentations: (ids, log probability, perturbed value, inclusion score), best value first.
+def sample(lattice: Lattice, entries: np.ndarray, k: int, rng: np.random.Generator) -> list[tuple[np.ndarray, float, float, float]]:
+    """Up to ``k`` distinct segmentations of the runs that begin at ``entries``: (ids, log probability, perturbed value, inclusion score), best value first.
 
     The inclusion score is the chance that the value exceeds that of the best one left out: 1 where none is
     left.  An empty text has the empty segmentation alone.
     """
-    entries = lattice.entries(text)
     paths, queue, found, serial = [], [], [], 0
 
     def add(edges: np.ndarray, run: np.ndarray, value: float, since: int) -> None:
@@ -209,7 +235,9 @@ def sample(lattice: Lattice, text: str, k: int, rng: np.random.Generator) -> lis
         before = np.cumsum(logp) - logp
         paths.append((edges, run, before))
         found.append((edges, float(logp.sum()), value))
-        place = before[since:] + lattice.rest[edges[since:]]
+        with np.errstate(divide="ignore"):
+            place = before[since:] + np.log(-np.expm1(np.minimum(logp[since:], -1e-15)))
+        place = np.where(logp[since:] > -1e-12, -np.inf, place)
         values = truncated(place, value, 1.0 - rng.random(len(place)))
         best = np.argsort(-values, kind="stable")[:k] if len(values) <= 4 * k else np.argpartition(-values, k - 1)[:k]
         for i in best.tolist():
@@ -223,7 +251,7 @@ def sample(lattice: Lattice, text: str, k: int, rng: np.random.Generator) -> lis
         negative, _, parent, i, taken = heapq.heappop(queue)
         value = -negative
         edges, run, before = paths[parent]
-        left = [e for e in lattice.options(lattice.state_of(taken[0])) if e not in taken]
+        left = [e for e in lattice.options(taken[0]) if e not in taken]
         p = np.exp(lattice.logp[left])
         chosen = left[min(int(np.searchsorted(np.cumsum(p), rng.random() * p.sum(), "right")), len(left) - 1)]
         if len(left) > 1:
@@ -268,14 +296,16 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, temperature: float = 1
         held = lattice(model, temperature)
         for batch in batches:
             rows, size = [], 0
-            for doc, body in zip(batch["key"], batch["text"]):
-                rng = np.random.Generator(np.random.PCG64(xxh64_intdigest(str(doc), seed)))
-                for n, (ids, logp, value, score) in enumerate(sample(held, body or "", k, rng)):
-                    rows.append((doc, n, ids, logp, value, score))
-                    size += len(ids)
-                if size > 1 << 20:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, size = [], 0
+            texts = [t or "" for t in batch["text"]]
+            for at in range(0, len(texts), 500):
+                for doc, entries in zip(batch["key"].iloc[at : at + 500], held.entries(texts[at : at + 500])):
+                    rng = np.random.Generator(np.random.PCG64(xxh64_intdigest(str(doc), seed)))
+                    for n, (ids, logp, value, score) in enumerate(sample(held, entries, k, rng)):
+                        rows.append((doc, n, ids, logp, value, score))
+                        size += len(ids)
+                    if size > 1 << 20:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
             yield pd.DataFrame(rows, columns=names)
 
     names = ["key", "sample", "ids", "log_prob", "value", "inclusion"]

@@ -169,8 +169,9 @@ def test_only_unseen_pairs_are_scanned(spark, docs):
 
 
 def test_masking_keeps_lengths(spark, docs):
-    found, _ = secret_scan.scan(docs)
-    out = secret_scan.mask(docs, found.dropDuplicates(["path"]))
+    found = secret_scan.findings(secret_scan.update_ledger(secret_scan.address(docs)))
+    out = secret_scan.mask(docs, found)
+    assert out.count() == docs.count()
     assert out.columns == docs.columns
     before = {(r["doc_id"], r["text"]) for r in docs.collect()}
     for r in out.collect():
