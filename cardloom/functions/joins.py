@@ -47,15 +47,56 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str | N
 
 
 ROWS_PER_SPLIT = 2_000_000
+MOST_HOT_KEYS = 100_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Keys with more than ``rows_per_split`` rows and the number of pieces to cut them into.
 
-    At most ``rows / rows_per_split`` keys can qualify: half a million for 10^12 rows.
+    At most ``rows / rows_per_split`` keys can qualify: half a million for 10^12 rows.  Below
+    ``ROWS_PER_SPLIT`` a key must also hold a ``MOST_HOT_KEYS``-th of all rows, so the list,
+    which is broadcast, is bounded whatever the caller asks for.
     """
+    counts = df.groupBy(*keys).count()
+    least = F.lit(rows_per_split)
+    if rows_per_split < ROWS_PER_SPLIT:
+        least = F.greatest(least, df.agg(F.count(F.lit(1)) / MOST_HOT_KEYS).scalar())
     pieces = F.ceil(F.col("count") / rows_per_split).cast("int").alias("_splits")
-    return df.groupBy(*keys).count().where(F.col("count") > rows_per_split).select(*keys, pieces)
+    return counts.where(F.col("count") > least).select(*keys, pieces)
+
+
+def within(table: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """Rows of ``table`` in the range that ``column`` has in ``batch``: two scalars, which skip row groups."""
+    # Over different inputs, since two scalars of one input are merged into a struct
+    # and then filter rows but no longer skip row groups.
+    first = batch.agg(F.min(column)).scalar()
+    last = batch.where(F.col(column).isNotNull()).agg(F.max(column)).scalar()
+    return table.where(F.col(column).between(first, last))
+
+
+MOST_RANGES = 64
+
+
+def key_ranges(batch: DataFrame, column: str, most: int = MOST_RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges that hold every value of an integer ``column``, in order.
+
+    The span is cut into equal widths and each is narrowed to the values in it, so what
+    reaches the driver is bounded.  Empty without values.
+    """
+    ends = batch.agg(F.min(column).alias("low"), F.max(column).alias("high")).first()
+    if ends is None or ends["low"] is None:
+        return []
+    width = (ends["high"] - ends["low"]) // most + 1
+    part = F.floor((F.col(column) - F.lit(ends["low"])) / width)
+    found = batch.where(F.col(column).isNotNull()).groupBy(part.alias("_part"))
+    rows = found.agg(F.min(column).alias("low"), F.max(column).alias("high")).collect()
+    return sorted((r["low"], r["high"]) for r in rows)
+
+
+def in_ranges(table: DataFrame, column: str, ranges: Sequence[tuple[int, int]]) -> DataFrame:
+    """Rows whose ``column`` lies in one of the ranges, as literals that skip files and row groups."""
+    inside = [F.col(column).between(low, high) for low, high in ranges]
+    return table.where(reduce(lambda a, b: a | b, inside, F.lit(False)))
 
 
 def salted_join(
@@ -123,7 +164,7 @@ def neighbour(
     """
     rank = F.struct(*[F.col(c) for c in order])
     base = df.where(F.col(key).isNotNull()).withColumn(
-        "_slice", F.coalesce(slice_of.cast("date"), F.lit("0001-01-01").cast("date"))
+        "_slice", F.coalesce(slice_of.cast("timestamp"), F.lit("0001-01-01").cast("timestamp"))
     )
     ordering = [F.col(c).desc() if following else F.col(c).asc() for c in order]
     inside = Window.partitionBy(key, "_slice").orderBy(*ordering)

@@ -95,25 +95,35 @@ def address_lookups(paf: DataFrame) -> DataFrame:
 LOOKUP = ("_pc", "field", "first", "second")
 
 
-def _hot_postcodes(cands: DataFrame) -> DataFrame:
+def hot_postcodes(cands: DataFrame) -> DataFrame:
     """Postcodes with very many candidates: a lookup key can only be hot within one."""
     return hot_keys(cands.select(text_key("PostCode").alias("_pc")), ["_pc"])
 
 
-def cascade_match(cands: DataFrame, paf: DataFrame) -> DataFrame:
+def _same_address() -> list[Column]:
+    """Address columns as they are compared: without case and trailing spaces."""
+    return [text_key(c).alias(f"_key_{c}") for c in ADDRESS]
+
+
+def cascade_match(cands: DataFrame, paf: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Address-file matches of each customer under the first rule that finds any.
 
     The rules run in order and each sees only customers without a match so far,
-    which is the lowest matching rule number per customer.
+    which is the lowest matching rule number per customer.  That rule is found from the
+    distinct lookup keys first, and only its probes meet the addresses.  Addresses that differ in
+    case or trailing spaces only are one, in the smallest spelling; rule 6 still counts rows.
+    ``hot`` lists hot postcodes, where the caller has them from a stored table.
     """
-    hits = candidate_probes(cands).join(address_lookups(paf), list(LOOKUP))
-    counted = hits.groupBy("rule", *MATCH).count()
-    repeats = F.when(F.col("rule") == KEEPS_REPEATS, F.col("count")).otherwise(F.lit(1).cast("long"))
-    rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
+    hot = hot_postcodes(cands) if hot is None else hot
     known = address_lookups(paf).select(*LOOKUP).distinct()
-    found = salted_join(candidate_probes(cands), known, LOOKUP, "left_semi", ["FanID"], _hot_postcodes(cands))
+    found = salted_join(candidate_probes(cands), known, LOOKUP, "left_semi", ["FanID"], hot)
     best = found.groupBy("FanID").agg(F.min("rule").alias("rule"))
-    return semi(rows, best, ["FanID", "rule"]).select("rule", *MATCH)
+    hits = semi(found, best, ["FanID", "rule"]).join(address_lookups(paf), list(LOOKUP))
+    same = hits.groupBy("rule", "FanID", "Address1", "Address2", *_same_address())
+    counted = same.agg(F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*ADDRESS)).alias("_spelt"))
+    repeats = F.when(F.col("rule") == KEEPS_REPEATS, F.col("_rows")).otherwise(F.lit(1).cast("long"))
+    rows = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats)))
+    return rows.select("rule", "FanID", "Address1", "Address2", "_spelt.*")
 
 
 def drop_ambiguous(matches: DataFrame) -> DataFrame:
@@ -123,7 +133,7 @@ def drop_ambiguous(matches: DataFrame) -> DataFrame:
     return single.where(F.col("_n") == 1).select("FanID", "_row.*").select(*matches.columns)
 
 
-def match_unambiguous(cands: DataFrame, paf: DataFrame) -> DataFrame:
+def match_unambiguous(cands: DataFrame, paf: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """``drop_ambiguous(cascade_match(...))`` without listing the ambiguous matches.
 
     Only customers with a single match survive, so each lookup key is first reduced
@@ -131,13 +141,15 @@ def match_unambiguous(cands: DataFrame, paf: DataFrame) -> DataFrame:
     shuffle).  A probe then meets at most one row, also where thousands of address
     rows share a blank name or a postcode.
     """
-    address = F.struct(*ADDRESS)
+    hot = hot_postcodes(cands) if hot is None else hot
+    same = F.struct(*_same_address())
+    address = F.struct(same.alias("key"), F.struct(*ADDRESS).alias("spelt"))
     reduced = (
         address_lookups(paf)
         .groupBy(*LOOKUP)
-        .agg(F.min(address).alias("_low"), F.max(address).alias("_high"), F.count(F.lit(1)).alias("_rows"))
+        .agg(F.min(address).alias("_low"), F.max(same).alias("_high"), F.count(F.lit(1)).alias("_rows"))
     )
-    hits = salted_join(candidate_probes(cands), reduced, LOOKUP, "inner", ["FanID"], _hot_postcodes(cands))
+    hits = salted_join(candidate_probes(cands), reduced, LOOKUP, "inner", ["FanID"], hot)
     lines = ("Address1", "Address2")
     per_fan = hits.groupBy("FanID").agg(
         F.min(F.struct("rule", *lines, "_low")).alias("_first"),
@@ -147,11 +159,11 @@ def match_unambiguous(cands: DataFrame, paf: DataFrame) -> DataFrame:
     same = (
         F.col("_first.Address1").eqNullSafe(F.col("_last.Address1"))
         & F.col("_first.Address2").eqNullSafe(F.col("_last.Address2"))
-        & F.col("_first._low").eqNullSafe(F.col("_last._high"))
+        & F.col("_first._low.key").eqNullSafe(F.col("_last._high"))
     )
     once = (F.col("_first.rule") != KEEPS_REPEATS) | (F.col("_repeats") == 1)
     return per_fan.where(same & once).select(
-        "_first.rule", "FanID", "_first.Address1", "_first.Address2", "_first._low.*"
+        "_first.rule", "FanID", "_first.Address1", "_first.Address2", "_first._low.spelt.*"
     )
 
 
@@ -288,7 +300,8 @@ def refresh_cohorts(
     each one; ``stage`` writes a named intermediate table and reads it back.
     """
     cands = stage(cands, "candidates")
-    matched = lookup_cohort(hash_address(match_unambiguous(cands, paf)), cohorts, as_of)
+    hot = stage(hot_postcodes(cands), "hot-postcodes")
+    matched = lookup_cohort(hash_address(match_unambiguous(cands, paf, hot)), cohorts, as_of)
     matched = stage(matched, "matched")
     grown = stage(add_unmatched(state, cands, matched, details, id_map, as_of), "with-unmatched")
     grown = stage(add_matched(grown, matched, details, id_map), "with-matched")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import load_date
 from cardloom.functions.compat import half_hour
-from cardloom.functions.joins import hot_keys, salted_join, union_all
+from cardloom.functions.joins import hot_keys, salted_join, union_all, within
 from cardloom.functions.keys import tran_sequence_id, without_commas
 from cardloom.operators.incremental import ROW_KEY, exclude_logged
 
@@ -19,13 +19,20 @@ OPEN_END = date(2100, 1, 1)
 
 
 def attach_time(
-    tx: DataFrame, times: DataFrame, keys: Sequence[str] = ROW_KEY, round_down: bool = True
+    tx: DataFrame,
+    times: DataFrame,
+    keys: Sequence[str] = ROW_KEY,
+    round_down: bool = True,
+    prune_by: str | None = None,
 ) -> DataFrame:
     """Transactions with the time of day, rounded down to the half hour unless told otherwise.
 
     Joined on the row key, like the log, so that Spark reuses one shuffle for both.
+    ``prune_by`` cuts the times, which keep every row ever loaded, to the range of the batch.
     """
     known = times.select(*keys, "TranTime")
+    if prune_by is not None:
+        known = within(known, tx, prune_by)
     timed = tx.join(known, list(keys), "left").select(*tx.columns, "TranTime")
     return timed.withColumn("TranTime", half_hour("TranTime")) if round_down else timed
 
@@ -56,7 +63,11 @@ def select_new(
     prune_by: str | None = None,
 ) -> DataFrame:
     """The same rows with their time of day."""
-    return attach_time(unlogged_rows(debit, credit, logs, backfill, prune_by), times, round_down=round_down)
+    rows = unlogged_rows(debit, credit, logs, backfill, prune_by)
+    if prune_by is not None:
+        # All staged rows have the range of the new ones or a wider one, and cost no join to look at.
+        times = within(times, union_all(debit.select(prune_by), credit.select(prune_by)), prune_by)
+    return attach_time(rows, times, round_down=round_down)
 
 
 def subscription_flag(tx: DataFrame, periods: DataFrame) -> DataFrame:

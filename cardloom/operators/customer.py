@@ -122,12 +122,13 @@ def customer_profile(
     )
 
 
-def customer_feed(id_map: DataFrame, profile: DataFrame) -> DataFrame:
+def customer_feed(id_map: DataFrame, profile: DataFrame, detailed: bool = False) -> DataFrame:
     """Every known id with its profile, blanks as NULL, without duplicates.
 
     Comparing a number with '' compares with 0, so band number 0 and cohort 0
-    become NULL as well.
+    become NULL as well.  The detailed feed also has the whole postcode.
     """
+    postcode = [blank_to_null("PostCode").alias("postcode")] if detailed else []
     ids = id_map.select("CIN", F.col("CINID").alias("cinid"))
     known = profile.drop("CINID").withColumn("_found", F.lit(True))
     active = F.col("_found").isNotNull() & F.col("DeactivatedDate").isNull()
@@ -139,6 +140,7 @@ def customer_feed(id_map: DataFrame, profile: DataFrame) -> DataFrame:
             blank_to_null("PostalSector").alias("postalsector"),
             blank_to_null("PostCodeDistrict").alias("postcodedistrict"),
             blank_to_null("PostArea").alias("postarea"),
+            *postcode,
             blank_to_null("Region").alias("region"),
             zero_to_null("AgeCurrentBandNumber").alias("agecurrentbandnumber"),
             blank_to_null("AgeGroup").alias("agegroup"),

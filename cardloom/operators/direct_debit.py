@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from cardloom.config import DirectDebitConfig
 from cardloom.functions.bands import AGE_DETAILED, band
 from cardloom.functions.compat import age_in_years, text_key
-from cardloom.functions.joins import anti, semi, union_all
+from cardloom.functions.joins import anti, semi, union_all, within
 from cardloom.functions.keys import dd_oin_base64, dd_tuple_key, without_commas
 from cardloom.operators.incremental import exclude_logged
 
@@ -96,10 +97,12 @@ def proxy_mapping(
     historic: DataFrame,
     overrides: DataFrame,
     duplicates: DataFrame,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Customer, pseudonym and account triples of four sources, plus customers in none of them.
 
-    Transactions are reduced to distinct (customer, account) pairs first.  The
+    Transactions are reduced to distinct (customer, account) pairs first, and the four sources to
+    distinct triples, which ``stage`` may write, since they are used twice.  The
     pseudonym is upper-case hex.
     """
     ids = id_map.select(F.col("CIN").alias("SourceUID"), "CINID")
@@ -137,9 +140,9 @@ def proxy_mapping(
         F.col("neonproxyuserid").alias("NeonProxyUserID"),
         F.col("bankaccountguid").alias("ProxyAccountID"),
     )
-    combined = union_all(debited, carded, old, fixed)
+    combined = stage(union_all(debited, carded, old, fixed).distinct(), "triples")
     active = anti(with_id, duplicates, ["SourceUID"]).select(F.col("CINID").alias("ProxyUserID"))
-    absent = anti(active, combined.select("ProxyUserID").distinct(), ["ProxyUserID"])
+    absent = anti(active, combined, ["ProxyUserID"]).distinct()
     return union_all(combined, absent).distinct()
 
 
@@ -148,12 +151,17 @@ def export_file_count(df: DataFrame, rows_per_file: int = 2_000_000) -> DataFram
     return df.agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("filecount"))
 
 
-def dd_eligible(tx: DataFrame, customers: DataFrame, log: DataFrame, config: DirectDebitConfig) -> DataFrame:
+def dd_eligible(
+    tx: DataFrame, customers: DataFrame, log: DataFrame, config: DirectDebitConfig, prune_by: str | None = None
+) -> DataFrame:
     """Undelivered transactions before the limit date of their customer.
 
     The limit is the deactivation date, less the grace days from the cutover on; a
-    customer without one has no limit.
+    customer without one has no limit.  ``prune_by`` cuts the log to the range of all
+    transactions given.
     """
+    if prune_by is not None:
+        log = within(log, tx, prune_by)
     left = F.col("DeactivatedDate")
     shifted = F.when(left >= F.lit(config.cutover), F.date_sub(left, config.grace_days)).otherwise(left)
     limits = customers.select("FanID", F.coalesce(shifted, F.lit(NO_LIMIT)).alias("_limit"))

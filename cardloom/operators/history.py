@@ -72,8 +72,8 @@ def missing_from_history(
     people = not_in(people, "SourceUID", duplicates.where(F.col("EndDate").isNull()))
     people = not_in(people, "CINID", excluded, "cinid")
     if not cover_short_postcodes:
-        people = not_in(people, "CustomerGUID", base.select("CustomerGUID").distinct())
-    people = not_in(people, "CINID", history.select("CINID").distinct())
+        people = not_in(people, "CustomerGUID", base)
+    people = not_in(people, "CINID", history)
     return people.select("CustomerGUID", "Address1", "Address2", "PostCode", "CINID")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.config import load_date
-from cardloom.functions.joins import anti, semi, union_all
+from cardloom.functions.joins import anti, semi, union_all, within
 
 ROW_KEY = ("FileID", "RowNum")
 
@@ -32,13 +32,7 @@ def exclude_logged(
     before they are shuffled (two scalars, no join).
     """
     seen = union_all(*[log.select(*keys) for log in logs])
-    if prune_by is not None:
-        # Over different inputs, since two scalars of one input are merged into a struct
-        # and then filter rows but no longer skip row groups.
-        first = df.agg(F.min(prune_by)).scalar()
-        last = df.where(F.col(prune_by).isNotNull()).agg(F.max(prune_by)).scalar()
-        seen = seen.where(F.col(prune_by).between(first, last))
-    return anti(df, seen, keys)
+    return anti(df, seen if prune_by is None else within(seen, df, prune_by), keys)
 
 
 def incremental_append(
@@ -92,29 +86,40 @@ def history_start(as_of: datetime, years: int = 5) -> date:
     return date(as_of.year - years, as_of.month, 1)
 
 
+def eligible_history(debit: DataFrame, credit: DataFrame, eligible: DataFrame, as_of: datetime) -> DataFrame:
+    """History of newly eligible customers: debit as type 1, credit as type 2.
+
+    The date bound is a literal, so it prunes partitions and reaches the scan.
+    """
+    both = union_all(
+        debit.withColumn("PaymentTypeID", F.lit(1)),
+        credit.withColumn("PaymentTypeID", F.lit(2)),
+    )
+    recent = both.where(F.col("TranDate") > F.lit(history_start(as_of)))
+    return semi(recent, eligible.select(F.col("cinid").alias("CINID")), ["CINID"])
+
+
 def backfill_history(
     debit: DataFrame,
     credit: DataFrame,
     eligible: DataFrame,
     logs: Sequence[DataFrame],
     as_of: datetime,
+    prune_by: str | None = None,
 ) -> DataFrame:
-    """Undelivered history of newly eligible customers: debit as type 1, credit as type 2.
+    """The same rows where they have not been delivered.
 
-    The date bound is a literal, so it prunes partitions and reaches the scan.
+    A backfill spans years, so the range of ``prune_by`` cuts little of the logs; a run
+    stages :func:`eligible_history` and cuts the logs to its file ranges.
     """
-    both = union_all(
-        debit.withColumn("PaymentTypeID", F.lit(1)),
-        credit.withColumn("PaymentTypeID", F.lit(2)),
-    )
-    recent = both.where(F.col("TranDate") > F.lit(history_start(as_of)))
-    theirs = semi(recent, eligible.select(F.col("cinid").alias("CINID")), ["CINID"])
-    return exclude_logged(theirs, *logs)
+    return exclude_logged(eligible_history(debit, credit, eligible, as_of), *logs, prune_by=prune_by)
 
 
-def append_extra_backfill(backfill: DataFrame, extra: DataFrame, logs: Sequence[DataFrame]) -> DataFrame:
+def append_extra_backfill(
+    backfill: DataFrame, extra: DataFrame, logs: Sequence[DataFrame], prune_by: str | None = None
+) -> DataFrame:
     """The backfill plus rows of a further source that are neither logged nor in it already."""
-    return union_all(backfill, exclude_logged(extra, *logs, backfill))
+    return union_all(backfill, exclude_logged(extra, *logs, backfill, prune_by=prune_by))
 
 
 def snapshot_overwrite(customers: DataFrame) -> DataFrame:
@@ -132,6 +137,14 @@ def purge(table: DataFrame) -> DataFrame:
     return table.where(F.lit(False))
 
 
-def purge_on_weekday(table: DataFrame, as_of: datetime, weekday: str = "Saturday") -> DataFrame:
+SATURDAY = 6
+
+
+def is_purge_day(as_of: datetime, weekday: int = SATURDAY) -> bool:
+    """Whether the run date falls on the given day of the week, Monday being 1, in any locale."""
+    return as_of.isoweekday() == weekday
+
+
+def purge_on_weekday(table: DataFrame, as_of: datetime, weekday: int = SATURDAY) -> DataFrame:
     """Empty on the given weekday of the run date, unchanged otherwise."""
-    return purge(table) if as_of.strftime("%A").lower() == weekday.lower() else table
+    return purge(table) if is_purge_day(as_of, weekday) else table

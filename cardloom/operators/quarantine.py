@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardloom.config import load_date
 from cardloom.functions.bands import AGE_INSIGHT, band
 from cardloom.functions.compat import half_hour
-from cardloom.functions.joins import anti, semi, union_all
+from cardloom.functions.joins import anti, semi, union_all, within
 from cardloom.functions.keys import card_type, terminal_type, tran_sequence_id, without_commas
 from cardloom.operators.incremental import ROW_KEY, exclude_logged
 
@@ -31,17 +31,24 @@ HELD = (
 )
 
 
-def hold_debit(pending: DataFrame, customers: DataFrame, log: DataFrame) -> DataFrame:
-    """Pending debit rows of known customers that are not logged."""
+def hold_debit(pending: DataFrame, customers: DataFrame, log: DataFrame, prune_by: str | None = None) -> DataFrame:
+    """Pending debit rows of known customers that are not logged.
+
+    ``prune_by`` cuts the log to the range of all pending rows, known before the join.
+    """
+    if prune_by is not None:
+        log = within(log, pending, prune_by)
     return exclude_logged(semi(pending.select(*HELD), customers, ["CINID"]), log)
 
 
-def hold_credit(pending: DataFrame, customers: DataFrame, log: DataFrame) -> DataFrame:
+def hold_credit(pending: DataFrame, customers: DataFrame, log: DataFrame, prune_by: str | None = None) -> DataFrame:
     """Pending credit rows joined to preferred customers, minus the log.
 
     An inner join: a card id held by two customers gives the row twice.  Two columns
     take their debit names.
     """
+    if prune_by is not None:
+        log = within(log, pending, prune_by)
     known = customers.where(F.col("rw") == 1).select("CINID")
     named = pending.withColumnsRenamed(
         {"OriginatorReference": "OriginatorID", "CardholderPresentMc": "CardholderPresentData"}
@@ -50,7 +57,12 @@ def hold_credit(pending: DataFrame, customers: DataFrame, log: DataFrame) -> Dat
 
 
 def normalise_quarantine(
-    debit: DataFrame, credit: DataFrame, customers: DataFrame, mcc: DataFrame, times: DataFrame
+    debit: DataFrame,
+    credit: DataFrame,
+    customers: DataFrame,
+    mcc: DataFrame,
+    times: DataFrame,
+    prune_by: str | None = None,
 ) -> DataFrame:
     """Held debit and credit rows in one shape, with customer, category and time.
 
@@ -62,6 +74,8 @@ def normalise_quarantine(
     codes = mcc.select("MCCID", "MCC")
     clock = times.select(*ROW_KEY, half_hour("TransactionTime").alias("TranTime"))
     held = union_all(debit.select(*HELD), credit.select(*HELD))
+    if prune_by is not None:
+        clock = within(clock, held, prune_by)
     return (
         held.join(clock, list(ROW_KEY), "left")
         .join(people, "CINID")
@@ -98,7 +112,6 @@ def quarantine_feed(
     normalised: DataFrame,
     id_map: DataFrame,
     customers: DataFrame,
-    mcc: DataFrame,
     locations: DataFrame,
     merchant_zips: DataFrame,
     duplicate_cins: DataFrame,
@@ -117,20 +130,18 @@ def quarantine_feed(
     people = people.join(id_map.select("CIN", "CINID"), "CIN").select(
         "CINID", band("AgeCurrent", AGE_INSIGHT).alias("currentagebandtext")
     )
-    codes = mcc.select("MCCID", F.col("MCC").alias("_mcc"))
     places = locations.select("LocationID", "LocationAddress")
     zips = merchant_zips.select(F.col("merchantid").alias("MID"), "merchantzip")
     day = F.lit(load_date(as_of))
     return (
         normalised.join(people, "CINID")
-        .join(codes, "MCCID")
         .join(places, "LocationID", "left")
         .join(zips, "MID", "left")
         .select(
             "TransSequenceID",
             "CINID",
             "TranDate",
-            F.col("_mcc").alias("MCC"),
+            "MCC",
             without_commas("Narrative").alias("MerchantNarrative"),
             F.col("LocationCountry").alias("CountryCode"),
             F.col("LocationAddress").alias("MerchantLocation"),

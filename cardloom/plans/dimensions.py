@@ -6,7 +6,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cardloom.config import RunContext
 from cardloom.functions.joins import union_all
@@ -22,7 +23,6 @@ from cardloom.operators.history import (
     missing_from_history,
     validity_intervals,
 )
-from cardloom.operators.incremental import purge
 from cardloom.operators.merchant import (
     clean_narratives_incremental,
     merchant_base,
@@ -30,7 +30,8 @@ from cardloom.operators.merchant import (
     merchant_keys,
     upsert_merchants,
 )
-from cardloom.sources.tables import staged, write_version
+from cardloom.sources.files import import_files
+from cardloom.sources.tables import empty_staged, empty_tables, staged, work_dir, write_version
 
 
 @dataclass(frozen=True)
@@ -61,9 +62,17 @@ def run_cohorts(t: CohortTables, run: RunContext, out: str, work: str | None = N
     return write_version(state, f"{out}/cohort_state", run.run_id)
 
 
-def purge_cohorts(state: DataFrame, run: RunContext, out: str) -> str:
-    """Empty the match state once the customer feed has been built, for privacy."""
-    return write_version(purge(state), f"{out}/cohort_state", f"{run.run_id}-purged")
+def purge_cohorts(state: DataFrame, run: RunContext, out: str, work: str | None = None) -> str:
+    """Remove matched addresses once the customer feed has been built, for privacy.
+
+    Every version of the state and the intermediate tables of all cohort runs are replaced by empty
+    ones; ``state`` gives the columns of the new version and is not read.
+    """
+    spark = state.sparkSession
+    path = write_version(spark.createDataFrame([], state.schema), f"{out}/cohort_state", f"{run.run_id}-purged")
+    empty_tables(spark, f"{out}/cohort_state/version=*")
+    empty_tables(spark, f"{work_dir(spark, work)}/*/cohorts-*")
+    return path
 
 
 @dataclass(frozen=True)
@@ -80,7 +89,7 @@ class CustomerTables:
 
 
 def run_customers(t: CustomerTables, run: RunContext, out: str, detailed: bool = False) -> str:
-    """Customer feed; the detailed one takes the postal sector from the postcode."""
+    """Customer feed; the detailed one takes the postal sector from the postcode and has the postcode too."""
     profile = customer_profile(
         t.customers,
         t.id_map,
@@ -94,7 +103,7 @@ def run_customers(t: CustomerTables, run: RunContext, out: str, detailed: bool =
         sector_from_postcode=detailed,
     )
     name = "customers_detailed" if detailed else "customers"
-    return write_version(customer_feed(t.id_map, profile), f"{out}/{name}", run.run_id)
+    return write_version(customer_feed(t.id_map, profile, detailed), f"{out}/{name}", run.run_id)
 
 
 @dataclass(frozen=True)
@@ -126,7 +135,9 @@ def run_merchants(
         "merchant_detail": merchant_detail(t.merchants, t.postcodes, t.alternates, t.locations),
         "merchants": upsert_merchants(t.feed_merchants, t.upstream_merchants),
     }
-    return {name: write_version(df, f"{out}/{name}", run.run_id) for name, df in tables.items()}
+    paths = {name: write_version(df, f"{out}/{name}", run.run_id) for name, df in tables.items()}
+    empty_staged(cache.sparkSession, "narratives", run.run_id, work)
+    return paths
 
 
 @dataclass(frozen=True)
@@ -137,15 +148,21 @@ class AddressTables:
     pii: DataFrame
     duplicates: DataFrame
     excluded: DataFrame
+    tie: tuple[str, ...] | None = None
 
 
 def run_address_history(
     t: AddressTables, sources: Sequence[str], start: date, run: RunContext, out: str, work: str | None = None
 ) -> str:
-    """Address history; the changed rows feed both sides and are written once."""
-    changed = staged(changed_rows(t.events, start), "changed-addresses", run.run_id, work)
+    """Address history; the changed rows feed both sides and are written once.
+
+    Events of equal time are put in order by the ``tie`` columns, by default by all of them, so a
+    repeated task gives the same rows.
+    """
+    tie = list(t.events.columns if t.tie is None else t.tie)
+    changed = staged(changed_rows(t.events, start, tie=tie), "changed-addresses", run.run_id, work)
     external = external_id_map(t.external_ids, sources)
-    history = history_rows(validity_intervals(changed), external, t.id_map)
+    history = history_rows(validity_intervals(changed, tie=tie), external, t.id_map)
     missing = missing_from_history(
         t.pii,
         t.id_map,
@@ -154,4 +171,11 @@ def run_address_history(
         t.duplicates,
         t.excluded,
     )
-    return write_version(address_history(history, missing), f"{out}/address_history", run.run_id)
+    path = write_version(address_history(history, missing), f"{out}/address_history", run.run_id)
+    empty_staged(changed.sparkSession, "changed-addresses", run.run_id, work)
+    return path
+
+
+def run_cohort_ingest(spark: SparkSession, path: str, schema: StructType | str, run: RunContext, out: str, **options: str) -> str:
+    """Read a partner's file of hashed addresses and their cohorts, strictly, as the new cohort table."""
+    return write_version(import_files(spark, path, schema, **options), f"{out}/cohorts", run.run_id)

@@ -16,8 +16,9 @@ from cardloom.operators.affinity import (
 )
 from cardloom.operators.incremental import log_rows
 from cardloom.operators.quarantine import hold_credit, hold_debit, normalise_quarantine, quarantine_feed
+from cardloom.plans.run_log import Deliver, deliver_logged
 from cardloom.sources.files import export_feed
-from cardloom.sources.tables import append_run, refuse_repeat, staged, write_version
+from cardloom.sources.tables import append_run, empty_staged, refuse_repeat, staged, write_version
 
 
 @dataclass(frozen=True)
@@ -55,17 +56,17 @@ def run_quarantine(
     run: RunContext,
     out: str,
     work: str | None = None,
+    deliver: Deliver | None = None,
 ) -> str:
     """One quarantine run; every held row is logged once the feed is written."""
     log_path = f"{out}/quarantine_row_log"
     refuse_repeat(t.row_log.sparkSession, log_path, run.run_id)
-    debit = staged(hold_debit(t.pending_debit, affinity, t.row_log), "held-debit", run.run_id, work)
-    credit = staged(hold_credit(t.pending_credit, affinity, t.row_log), "held-credit", run.run_id, work)
+    debit = staged(hold_debit(t.pending_debit, affinity, t.row_log, "FileID"), "held-debit", run.run_id, work)
+    credit = staged(hold_credit(t.pending_credit, affinity, t.row_log, "FileID"), "held-credit", run.run_id, work)
     feed = quarantine_feed(
-        normalise_quarantine(debit, credit, affinity, t.mcc, t.times),
+        normalise_quarantine(debit, credit, affinity, t.mcc, t.times, "FileID"),
         t.id_map,
         t.customers,
-        t.mcc,
         t.locations,
         t.merchant_zips,
         t.duplicate_cins,
@@ -73,7 +74,9 @@ def run_quarantine(
         run.as_of,
     )
     path = export_feed(feed, f"{out}/quarantine_feed/run={run.run_id}", run.load_date)
+    deliver_logged(t.row_log.sparkSession, deliver, path, 3, run, out, work)
     append_run(log_rows(debit, credit), log_path, run.run_id)
+    empty_staged(t.row_log.sparkSession, "held-", run.run_id, work)
     return path
 
 

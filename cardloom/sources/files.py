@@ -4,9 +4,38 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
+
+# NULL, the empty text and blanks stay apart, quotes are doubled, and a line is a row.
+LOSSLESS_CSV = {
+    "nullValue": "\\N",
+    "emptyValue": "",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+# In this order on the way out, backwards on the way in: each backslash is followed by a letter.
+ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    """``df`` with a change to its text columns."""
+    return df.select(*[change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else f.name for f in df.schema])
+
+
+def escaped(text: Column) -> Column:
+    """Text on one line."""
+    for plain, sign in ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(sign))
+    return text
+
+
+def unescaped(text: Column) -> Column:
+    for plain, sign in reversed(ESCAPES):
+        text = F.replace(text, F.lit(sign), F.lit(plain))
+    return text
 
 
 def export_feed(
@@ -20,25 +49,44 @@ def export_feed(
     """Write a feed for one load date as files of at most ``rows_per_file`` rows.
 
     The partitions are written in parallel and split where they are too long, so no
-    shuffle is needed.  Each date has its own folder and a re-run replaces it.
+    shuffle is needed.  Each date has its own folder and a re-run replaces it.  As CSV, NULL is
+    ``\\N`` and line breaks and backslashes in text are escaped, so the files can be split
+    and :func:`import_files` with ``exported=True`` reads the same rows.
     """
     target = f"{path}/LoadDate={load_day.isoformat()}"
+    if file_format == "csv":
+        df, options = _texts(df, escaped), {**LOSSLESS_CSV, "emptyValue": '""', **options}
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     writer.format(file_format).options(**options).save(target)
     return target
 
 
 def import_files(
-    spark: SparkSession, path: str, schema: StructType | str, file_format: str = "csv", **options: str
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    file_format: str = "csv",
+    exported: bool = False,
+    **options: str,
 ) -> DataFrame:
-    """Partner files with a stated schema; nothing is inferred from the data."""
-    return spark.read.format(file_format).schema(schema).options(**options).load(path)
+    """Partner files with a stated schema; nothing is inferred from the data.
+
+    A value of the wrong type, or a row with more or fewer fields, fails the read; another ``mode``
+    must be asked for.  ``exported`` is for files of :func:`export_feed`.
+    """
+    if file_format in ("csv", "json"):
+        options = {"mode": "FAILFAST", **options}
+    if not exported or file_format != "csv":
+        return spark.read.format(file_format).schema(schema).options(**options).load(path)
+    rows = spark.read.format("csv").schema(schema).options(**{**LOSSLESS_CSV, **options}).load(path)
+    return _texts(rows, unescaped)
 
 
 def read_run_output(spark: SparkSession, path: str, run_id: int) -> DataFrame:
     """Console output of a run, saved as text, as log lines ``(RunID, LogID, Msg)``.
 
-    LogID rises with the line: the start of the file block plus the place in the
+    LogID rises with the line: the bytes of the files before, in order of their names, the
+    start of the file block and the place in the
     block.  A line takes at least one byte, so blocks cannot overlap, and no task
     sees more than one block of a file.  An empty line becomes a NULL message.
     """
@@ -46,11 +94,15 @@ def read_run_output(spark: SparkSession, path: str, run_id: int) -> DataFrame:
         F.col("value"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_size").alias("_size"),
         F.monotonically_increasing_id().alias("_order"),
     )
     place = F.row_number().over(Window.partitionBy("_file", "_start").orderBy("_order"))
-    return lines.select(
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = lines.groupBy("_file").agg(F.max("_size").alias("_size"))
+    files = files.select("_file", F.coalesce(F.sum(F.col("_size") + 1).over(before), F.lit(0)).alias("_before"))
+    return lines.withColumn("_place", place).join(files, "_file").select(
         F.lit(run_id).alias("RunID"),
-        (F.col("_start") + place).alias("LogID"),
+        (F.col("_before") + F.col("_start") + F.col("_place")).alias("LogID"),
         F.when(F.col("value") != "", F.col("value")).alias("Msg"),
     )

@@ -49,11 +49,12 @@ def refuse_repeat(spark: SparkSession, path: str, run_id: str) -> None:
 def work_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for intermediate results: the session's checkpoint directory.
 
-    ``fallback`` is for sessions without the setting, as in tests.
+    Without the setting, ``fallback``, then the context's checkpoint directory, then a folder of the
+    warehouse, which is shared wherever tables are; never a folder of one machine.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    path = spark.conf.get("spark.checkpoint.dir", None) or fallback or spark.sparkContext.getCheckpointDir()
     if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return path.rstrip("/")
 
 
@@ -67,3 +68,28 @@ def staged(df: DataFrame, name: str, run_id: str, fallback: str | None = None) -
     path = f"{work_dir(spark, fallback)}/{run_id}/{name}"
     df.write.mode("overwrite").parquet(path)
     return read_table(spark, path, df.schema)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with ``*``, on whatever file system it is; empty if there are none."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(f.getPath().toString()) for f in found or [])
+
+
+def empty_tables(spark: SparkSession, pattern: str) -> list[str]:
+    """Replace every Parquet table that matches by one with its columns and no rows.
+
+    The schema comes from a footer; no row is read.
+    """
+    paths = folders(spark, pattern)
+    for path in paths:
+        schema = spark.read.parquet(path).schema
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    return paths
+
+
+def empty_staged(spark: SparkSession, names: str, run_id: str, fallback: str | None = None) -> list[str]:
+    """Empty the intermediate tables of a finished run whose names begin with ``names``."""
+    return empty_tables(spark, f"{work_dir(spark, fallback)}/{run_id}/{names}*")

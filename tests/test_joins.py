@@ -50,6 +50,12 @@ def test_hot_list_over_some_of_the_keys(frame):
     assert rows(got) == rows(df.join(right, ["a", "b"]).select("a", "b", "i", "v"))
 
 
+def test_the_hot_list_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr("cardloom.functions.joins.MOST_HOT_KEYS", 5)
+    df = spark.range(1000).selectExpr("if(id < 300, 0, id div 10) k")
+    assert [r["k"] for r in hot_keys(df, ["k"], rows_per_split=2).collect()] == [0]
+
+
 def test_group_values_equal_a_window(frame):
     rng = random.Random(6)
     df = frame("g int, i int", *[(rng.choice([1, 1, 2, 3]), i) for i in range(200)])
@@ -58,7 +64,7 @@ def test_group_values_equal_a_window(frame):
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("unit", ["day", "week", "year"])
+@pytest.mark.parametrize("unit", ["hour", "day", "week", "year"])
 def test_neighbour_equals_a_window(frame, following, unit):
     """One key holds most rows, values and order columns contain NULL."""
     rng = random.Random(7)

@@ -10,12 +10,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardloom.config import RunContext
+from cardloom.functions.joins import in_ranges, key_ranges, within
+from cardloom.operators import direct_debit as dd
+from cardloom.operators.incremental import exclude_logged
+from cardloom.operators.run_log import flag_error_runs
 from cardloom.plans import card as card_plan
 from cardloom.plans import dimensions as dims
 from cardloom.plans import direct_debit as dd_plan
 from cardloom.plans import quarantine as q_plan
-from cardloom.sources.files import export_feed, import_files
-from cardloom.sources.tables import read_table, staged, work_dir, write_version
+from cardloom.plans import run_log as log_plan
+from cardloom.sources.files import export_feed, import_files, read_run_output
+from cardloom.sources.tables import folders, read_table, staged, work_dir, write_version
 from tests.conftest import rows
 from workload import addresses, customers, direct_debit
 from workload.card import tables as card_tables
@@ -51,6 +56,10 @@ def test_card_feed_run_is_idempotent(spark, r, tmp_path):
     feed = read_table(spark, first["feed"])
     pure = card_plan.standard_rows(t, card_plan.backfill_rows(t, RunContext("x", AS_OF), card_plan.eligible_customers(t, RunContext("x", AS_OF))))
     assert feed.count() == pure.count() > 0
+    key = ["FileID", "RowNum", "TranTime", "mid", "subscription_flag"]
+    named = F.concat_ws("-", F.lit("1"), "FileID", "RowNum").alias("TranSequenceID")
+    assert rows(feed.select("TranSequenceID", "TranTime")) == rows(pure.select(named, *key[2:3]))
+    assert not [p for p in folders(spark, f"{work_dir(spark)}/one/standard-*") if spark.read.parquet(p).count()]
     log = read_table(spark, f"{out}/standard_row_log")
     assert log.count() == feed.count() and set(first) == {"feed", "archive"}
     grown = dataclasses.replace(t, row_log=t.row_log.union(log.select("FileID", "RowNum")))
@@ -92,6 +101,12 @@ def test_quarantine_run(spark, r, tmp_path):
     )
     feed = q_plan.run_quarantine(t, r.affinity_customers, 9, run, out)
     held = read_table(spark, f"{out}/quarantine_row_log")
+    pure = q_plan.normalise_quarantine(
+        q_plan.hold_debit(t.pending_debit, r.affinity_customers, t.row_log), q_plan.hold_credit(t.pending_credit, r.affinity_customers, t.row_log),
+        r.affinity_customers, t.mcc, t.times,
+    )
+    whole = q_plan.quarantine_feed(pure, t.id_map, t.customers, t.locations, t.merchant_zips, t.duplicate_cins, 9, AS_OF)
+    assert rows(read_table(spark, feed)) == rows(whole)
     assert held.count() >= read_table(spark, feed).count() > 0
     done = dataclasses.replace(t, row_log=t.row_log.union(held.select("FileID", "RowNum")))
     again = q_plan.run_quarantine(done, r.affinity_customers, 9, RunContext("two", AS_OF), str(tmp_path / "again"))
@@ -104,17 +119,32 @@ def feed_schema(spark, path):
 
 def test_direct_debit_run(spark, r, tmp_path):
     out = str(tmp_path)
+    # Two lists of masked brands and two transaction tables, so that a mix-up shows.
+    other_mask = r.brand_mask.where("BrandID % 2 = 0").withColumn("BrandName", F.lit("another name"))
+    programme = r.dd_tx.where("FileID % 2 = 1")
     t = dd_plan.DirectDebitTables(
-        r.dd_tx, r.dd_log, r.people, r.pii, r.id_map, r.duplicate_ids, r.post_areas, r.bank_accounts, r.dd_merchants,
-        r.brands, r.sectors, r.sector_groups, r.brand_mask, r.brand_mask,
+        r.dd_tx, programme, r.dd_log, r.people, r.pii, r.id_map, r.duplicate_ids, r.post_areas, r.bank_accounts, r.dd_merchants,
+        r.brands, r.sectors, r.sector_groups, r.brand_mask, other_mask, r.earlier_customers, r.affinity_customers, r.cards,
+        r.historic_accounts, r.id_overrides,
+    )
+    paths = dd_plan.run_direct_debit(t, direct_debit.CONFIG, RunContext("one", AS_OF), out)
+    saved = {name: read_table(spark, path) for name, path in paths.items()}
+    details = dd.dd_merchant_details(r.dd_merchants, r.brands, r.brand_mask, programme, r.earlier_customers)
+    assert rows(saved["dd_merchant_details"]) == rows(dd.drop_unbranded_duplicates(details, "ProxyOINTupleID", direct_debit.CONFIG.unbranded_brand))
+    assert rows(saved["dd_merchants_by_id"]) == rows(dd.dd_merchants(r.dd_merchants, r.brands, other_mask, keyed_by_id=True))
+    assert rows(saved["brand_taxonomy"]) == rows(dd.brand_taxonomy(r.dd_merchants, r.brands, r.sectors, r.sector_groups, r.brand_mask))
+    mapping = dd.proxy_mapping(
+        programme, r.people, r.id_map, r.earlier_customers, r.affinity_customers, r.cards, r.bank_accounts, r.historic_accounts,
+        r.id_overrides, r.duplicate_ids,
     )
-    paths = dd_plan.run_direct_debit(t, r.earlier_customers, direct_debit.CONFIG, RunContext("one", AS_OF), out)
+    assert rows(saved["proxy_mapping"]) == rows(mapping)
+    assert saved["proxy_mapping_files"].first()["filecount"] == 1
+    pure = dd_plan.direct_debit_rows(t, dd.dd_eligible(r.dd_tx, r.people, r.dd_log, direct_debit.CONFIG), direct_debit.CONFIG, RunContext("one", AS_OF))
+    assert rows(saved["feed"]) == rows(pure)
     log = read_table(spark, f"{out}/dd_row_log")
     assert log.count() == read_table(spark, paths["feed"]).count() > 0
-    unbranded = read_table(spark, paths["dd_merchants"]).groupBy("ProxyOINTupleID").agg(
-        F.count("*").alias("n"), F.count_if(F.col("BrandID") == 9).alias("u")
-    )
-    assert unbranded.where("n > 1 AND u > 0").count() <= unbranded.where("u > 1").count()
+    by_key = dd.drop_unbranded_duplicates(dd.dd_merchants(r.dd_merchants, r.brands, other_mask), "ProxyOINTupleID", direct_debit.CONFIG.unbranded_brand)
+    assert rows(saved["dd_merchants"]) == rows(by_key)
     done = dataclasses.replace(t, row_log=t.row_log.union(log.select("FileID", "RowNum")))
     assert dd_plan.dd_eligible(done.transactions, done.customers, done.row_log, direct_debit.CONFIG).join(log, ["FileID", "RowNum"], "left_semi").count() == 0
 
@@ -124,13 +154,22 @@ def test_dimension_runs(spark, r, tmp_path):
     cohorts = dims.CohortTables(
         addresses.state(r), r.people, r.pii, r.details, r.id_map, r.paf, r.cohort_addresses, r.cohort_defaults
     )
-    state = read_table(spark, dims.run_cohorts(cohorts, run, out))
-    assert state.count() > 0
-    assert read_table(spark, dims.purge_cohorts(state, run, out)).count() == 0
+    saved = read_table(spark, dims.run_cohorts(cohorts, run, out))
+    assert saved.where("UnhashedAddress IS NOT NULL").count() > 0
+    kept = f"{out}/kept"
+    saved.write.parquet(kept)
+    state = read_table(spark, kept)
+    assert len(folders(spark, f"{work_dir(spark)}/one/cohorts-*")) >= 5
+    assert read_table(spark, dims.purge_cohorts(saved, run, out)).columns == state.columns
+    left = [*folders(spark, f"{out}/cohort_state/version=*"), *folders(spark, f"{work_dir(spark)}/one/cohorts-*")]
+    assert len(left) >= 7 and all(spark.read.parquet(p).count() == 0 for p in left)
     t = dims.CustomerTables(
         r.people, r.details, r.id_map, r.acorn, r.cameo, r.cameo_group, state, r.duplicate_ids, r.excluded_ids
     )
     feed = read_table(spark, dims.run_customers(t, run, out))
+    detailed = read_table(spark, dims.run_customers(t, run, out, detailed=True))
+    assert detailed.where("postcode IS NOT NULL").count() > 0 and set(feed.columns) == set(detailed.columns) - {"postcode"}
+    assert rows(detailed.select("cinid", "hdi_ageband", "inprogram")) == rows(feed.select("cinid", "hdi_ageband", "inprogram"))
     assert feed.select("cinid").distinct().count() == r.id_map.count()
     merchants = dims.MerchantTables(
         r.merchants, r.merchants_before, r.merchants, r.merchant_postcode, r.alternates, r.alternate_locations, r.narrative_cache, r.mcc
@@ -143,3 +182,102 @@ def test_dimension_runs(spark, r, tmp_path):
     events = dims.AddressTables(r.address_events, r.external_ids, r.id_map, r.pii, r.duplicate_ids, r.excluded_ids)
     history = dims.run_address_history(events, addresses.SOURCES, EVENTS_FROM, run, out)
     assert read_table(spark, history).count() > 0
+
+
+def scanned(df) -> int:
+    """Rows that the scans of a plan gave after a run of it."""
+    df.collect()
+
+    def walk(node) -> int:
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.finalPhysicalPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "FileSourceScanExec":
+            return node.metrics().get("numOutputRows").get().value()
+        children = node.children()
+        return sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture
+def files(spark, tmp_path):
+    """A log of 100 files in 100 row groups of their own."""
+    log = spark.range(10_000).select((F.col("id") / 100).cast("int").alias("FileID"), (F.col("id") % 100).cast("int").alias("RowNum"))
+    log.repartitionByRange(100, "FileID").write.parquet(str(tmp_path / "log"))
+    return read_table(spark, str(tmp_path / "log"))
+
+
+def test_only_the_files_of_a_batch_are_read_from_the_log(spark, files, frame):
+    batch = frame("FileID int, RowNum int", (50, 1), (51, 200), (51, 3))
+    cut = exclude_logged(batch, files, prune_by="FileID")
+    assert rows(cut) == [(51, 200)] and scanned(cut) <= 600
+    assert scanned(within(files, batch, "FileID")) <= 600
+
+
+def test_a_backfill_over_years_reads_its_own_files_only(spark, files, frame):
+    batch = frame("FileID int, RowNum int", (1, 1), (1, 500), (98, 7), (None, 3))
+    ranges = key_ranges(batch, "FileID")
+    assert ranges == [(1, 1), (98, 98)]
+    cut = exclude_logged(batch, in_ranges(files, "FileID", ranges))
+    assert rows(cut) == [(1, 500), (None, 3)] and scanned(cut) <= 900
+    assert key_ranges(batch.where("false"), "FileID") == [] and in_ranges(files, "FileID", []).count() == 0
+    many = spark.range(5000).select((F.col("id") * 7).alias("FileID"))
+    found = key_ranges(many, "FileID")
+    assert len(found) <= 64 and in_ranges(many, "FileID", found).count() == 5000
+
+
+def test_text_survives_csv(spark, frame, tmp_path):
+    odd = ["", "line1\nline2", " pad ", None, "\\N", "\\n", 'quo"te,comma', '"', "a\\", "\r", "\\b\n\\"]
+    df = frame("i int, t string, u string", *[(i if i else None, t, t) for i, t in enumerate(odd)])
+    path = export_feed(df, str(tmp_path / "x"), date(2024, 1, 2), file_format="csv")
+    assert sum(len(p.read_text().splitlines()) for p in Path(path).glob("part-*")) == len(odd)
+    assert rows(import_files(spark, path, df.schema, exported=True)) == rows(df)
+
+
+@pytest.mark.parametrize("line", ["foo,x", "1,x,surplus", "1"])
+def test_a_bad_row_fails_the_import(spark, tmp_path, line):
+    (tmp_path / "p.csv").write_text(f"1,a\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        import_files(spark, str(tmp_path), "i int, t string").collect()
+
+
+def test_cohort_ingest_and_staging(spark, r, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("h1,5\nh2,6\n")
+    path = dims.run_cohort_ingest(spark, str(tmp_path / "in"), "hashed_address string, cohort_id int", RunContext("one", AS_OF), str(tmp_path))
+    assert rows(read_table(spark, path)) == [("h1", 5), ("h2", 6)]
+    t = card_plan.StagingTables(r.debit_holding, r.credit_holding, r.debit_holding.where("RowNum % 2 = 0"), r.credit_holding.where("false"))
+    paths = card_plan.run_staging(t, RunContext("one", AS_OF), str(tmp_path))
+    debit = read_table(spark, paths["debit"])
+    assert debit.count() == r.debit_holding.where("RowNum % 2 = 1").count() > 0
+    assert {x["PaymentTypeID"] for x in debit.select("PaymentTypeID").distinct().collect()} == {1}
+    assert read_table(spark, paths["credit"]).count() == r.credit_holding.count()
+
+
+def test_log_ids_do_not_repeat_over_files(spark, tmp_path):
+    for name, text in (("a", "one\n\ntwo\n"), ("b", "three\nfour"), ("c", "five\n")):
+        (tmp_path / f"{name}.txt").write_text(text)
+    got = read_run_output(spark, str(tmp_path), 3).orderBy("LogID").collect()
+    assert [x["Msg"] for x in got] == ["one", None, "two", "three", "four", "five"]
+    assert len({x["LogID"] for x in got}) == 6
+
+
+def test_a_failed_delivery_is_logged_and_the_rows_are_not(spark, r, tmp_path):
+    out, t = str(tmp_path / "out"), card_tables(r)
+    said = tmp_path / "said"
+    said.mkdir()
+    (said / "a.txt").write_text("sent part one\n")
+    (said / "b.txt").write_text("Traceback: no space\nstopped\n")
+    with pytest.raises(log_plan.ExportFailed, match="no space stopped"):
+        card_plan.run_card_feed(spark, t, RunContext("one", AS_OF), out, deliver=lambda path: str(said))
+    assert not folders(spark, f"{out}/standard_row_log/*")
+    lines = spark.read.parquet(f"{out}/run_log")
+    assert lines.where("isError").count() == 3 and spark.read.parquet(f"{out}/error_summaries").count() == 1
+    assert spark.read.parquet(f"{out}/left_over_lines").count() == 3
+    (said / "b.txt").write_text("all sent\n")
+    card_plan.run_card_feed(spark, t, RunContext("two", AS_OF), out, deliver=lambda path: str(said))
+    assert len(folders(spark, f"{out}/standard_row_log/*")) == 1
+    assert flag_error_runs(lines.drop("isError", "CreatedDateTime", "run")).count() == 3

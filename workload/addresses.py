@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
@@ -36,7 +35,7 @@ _RULES = (
 def cascade_sql() -> str:
     ctes = [f"WITH cands AS ({CANDIDATES})"]
     for n, rule in enumerate(_RULES, start=1):
-        distinct = "" if n == a.KEEPS_REPEATS else "DISTINCT"
+        distinct = "" if n == 6 else "DISTINCT"  # the sixth rule keeps repeated address rows
         left_over = " AND ".join(f"c.FanID NOT IN (SELECT FanID FROM rule{m})" for m in range(1, n))
         ctes.append(
             f"""rule{n} AS (SELECT {distinct} {n} AS rule, c.FanID, c.Address1, c.Address2, f.Postcode, f.BuildingNumber,
@@ -97,8 +96,15 @@ def candidates(r: Roles) -> DataFrame:
     return a.address_candidates(r.people, r.pii, r.cohort_addresses)
 
 
+def matching(r: Roles) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidates, address file and hot postcodes, the first and last stored as in a run."""
+    run_id = f"matching-{uuid.uuid4().hex}"
+    cands = staged(candidates(r), "candidates", run_id)
+    return cands, r.paf, staged(a.hot_postcodes(cands), "hot-postcodes", run_id)
+
+
 def found(r: Roles) -> DataFrame:
-    single = a.match_unambiguous(candidates(r), r.paf)
+    single = a.match_unambiguous(*matching(r))
     return a.lookup_cohort(a.hash_address(single), r.cohort_addresses, AS_OF)
 
 
@@ -121,22 +127,22 @@ def _(r: Roles):
 
 @query("cascade_match_g2", CASCADE + " SELECT * FROM matches")
 def _(r: Roles):
-    return a.cascade_match(candidates(r), r.paf)
+    return a.cascade_match(*matching(r))
 
 
 @query("drop_ambiguous_g3", CASCADE + " SELECT * FROM single")
 def _(r: Roles):
-    return a.drop_ambiguous(a.cascade_match(candidates(r), r.paf))
+    return a.drop_ambiguous(a.cascade_match(*matching(r)))
 
 
 @query("match_unambiguous_g3", CASCADE + " SELECT * FROM single")
 def _(r: Roles):
-    return a.match_unambiguous(candidates(r), r.paf)
+    return a.match_unambiguous(*matching(r))
 
 
 @query("hash_address_g4", CASCADE + " SELECT FanID, UnhashedAddress, HashedAddress FROM hashed")
 def _(r: Roles):
-    hashed = a.hash_address(a.match_unambiguous(candidates(r), r.paf))
+    hashed = a.hash_address(a.match_unambiguous(*matching(r)))
     return hashed.select("FanID", "UnhashedAddress", "HashedAddress")
 
 
@@ -218,7 +224,7 @@ def _(r: Roles):
         r.details,
         r.id_map,
         AS_OF,
-        stage=lambda df, name: staged(df, name, run_id, fallback=tempfile.gettempdir()),
+        stage=lambda df, name: staged(df, name, run_id),
     )
 
 
@@ -240,20 +246,22 @@ CHANGED = """
 
 
 def changed(r: Roles) -> DataFrame:
-    return h.changed_rows(r.address_events, EVENTS_FROM, tie=TIE)
+    """Stored, as in a run, since both sides of the history use it."""
+    rows = h.changed_rows(r.address_events, EVENTS_FROM, tie=TIE)
+    return staged(rows, "changed", f"history-{uuid.uuid4().hex}")
 
 
 def external(r: Roles) -> DataFrame:
     return h.external_id_map(r.external_ids, SOURCES)
 
 
-def history(r: Roles) -> DataFrame:
-    return h.history_rows(h.validity_intervals(changed(r), tie=TIE), external(r), r.id_map)
+def history(r: Roles, rows: DataFrame) -> DataFrame:
+    return h.history_rows(h.validity_intervals(rows, tie=TIE), external(r), r.id_map)
 
 
-def missing(r: Roles) -> DataFrame:
+def missing(r: Roles, rows: DataFrame) -> DataFrame:
     base = h.base_events(r.address_events, EVENTS_FROM)
-    kept = h.history_rows(changed(r), external(r), r.id_map)
+    kept = h.history_rows(rows, external(r), r.id_map)
     return h.missing_from_history(r.pii, r.id_map, base, kept, r.duplicate_ids, r.excluded_ids)
 
 
@@ -274,7 +282,7 @@ def _(r: Roles):
 
 @query("missing_from_history_i4", CHANGED + " SELECT * FROM missing")
 def _(r: Roles):
-    return missing(r)
+    return missing(r, changed(r))
 
 
 @query(
@@ -284,4 +292,5 @@ def _(r: Roles):
           UNION ALL SELECT DISTINCT CINID, Address1, Address2, NULL, PostCode, NULL, NULL FROM missing""",
 )
 def _(r: Roles):
-    return h.address_history(history(r), missing(r))
+    rows = changed(r)
+    return h.address_history(history(r, rows), missing(r, rows))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardloom.config import AffinityConfig
-from cardloom.functions import bands
 from cardloom.functions.keys import coded_label, postal_sector, postcode_key
 from cardloom.operators import affinity, customer as cust
 from cardloom.plans.quarantine import affinity_source
@@ -16,17 +15,26 @@ AFFINITY = AffinityConfig(primary_clubs=(11, 12), secondary_clubs=(21, 22, 23),
 KNOWN = "balance > 0"
 
 
-def band_sql(column: str, scheme: bands.BandScheme) -> str:
-    """A scheme as SQL: the label with the highest start not above the value."""
-    cases = " ".join(
-        f"WHEN {column} >= {low} THEN {label!r}" for low, _, label in sorted(scheme.bands, key=lambda b: -b[0])
-    )
-    return f"CASE {cases} ELSE {scheme.unknown!r} END"
+# The four age band schemes, written out here so that a wrong bound in the package shows.
+AGE_NUMBER = """CASE WHEN {0} BETWEEN 18 AND 24 THEN 1 WHEN {0} BETWEEN 25 AND 29 THEN 2 WHEN {0} BETWEEN 30 AND 39 THEN 3
+    WHEN {0} BETWEEN 40 AND 49 THEN 4 WHEN {0} BETWEEN 50 AND 59 THEN 5 WHEN {0} BETWEEN 60 AND 64 THEN 6 WHEN {0} >= 65 THEN 7
+    ELSE 0 END"""
+AGE_GROUP = """CASE WHEN {0} BETWEEN 18 AND 24 THEN '01. 18 to 24' WHEN {0} BETWEEN 25 AND 29 THEN '02. 25 to 29'
+    WHEN {0} BETWEEN 30 AND 39 THEN '03. 30 to 39' WHEN {0} BETWEEN 40 AND 49 THEN '04. 40 to 49'
+    WHEN {0} BETWEEN 50 AND 59 THEN '05. 50 to 59' WHEN {0} BETWEEN 60 AND 64 THEN '06. 60 to 64' WHEN {0} >= 65 THEN '07. 65+'
+    ELSE '99. Unknown' END"""
+AGE_INSIGHT = """CASE WHEN {0} BETWEEN 18 AND 24 THEN '01. 18 to 24' WHEN {0} BETWEEN 25 AND 34 THEN '02. 25 to 34'
+    WHEN {0} BETWEEN 35 AND 44 THEN '03. 35 to 44' WHEN {0} BETWEEN 45 AND 54 THEN '04. 45 to 54'
+    WHEN {0} BETWEEN 55 AND 64 THEN '05. 55 to 64' WHEN {0} >= 65 THEN '06. 65+' ELSE '99. Unknown' END"""
+AGE_DETAILED = """CASE WHEN {0} BETWEEN 18 AND 24 THEN '01. 18 to 24' WHEN {0} BETWEEN 25 AND 34 THEN '02. 25 to 34'
+    WHEN {0} BETWEEN 35 AND 44 THEN '03. 35 to 44' WHEN {0} BETWEEN 45 AND 54 THEN '04. 45 to 54'
+    WHEN {0} BETWEEN 55 AND 64 THEN '05. 55 to 64' WHEN {0} BETWEEN 65 AND 74 THEN '06. 65 to 74' WHEN {0} >= 75 THEN '07. 75+'
+    ELSE '99. Unknown' END"""
 
 
 def all_bands_sql(column: str) -> str:
-    return f"""{band_sql(column, bands.AGE_NUMBER)} AS AgeCurrentBandNumber, {band_sql(column, bands.AGE_GROUP)} AS AgeGroup,
-        {band_sql(column, bands.AGE_INSIGHT)} AS Insight_AgeBand, {band_sql(column, bands.AGE_DETAILED)} AS HDI_AgeBand"""
+    return f"""{AGE_NUMBER.format(column)} AS AgeCurrentBandNumber, {AGE_GROUP.format(column)} AS AgeGroup,
+        {AGE_INSIGHT.format(column)} AS Insight_AgeBand, {AGE_DETAILED.format(column)} AS HDI_AgeBand"""
 
 
 @query(
@@ -126,11 +134,7 @@ def _(r: Roles):
     return joined.select("postcode", coded_label("CAMEO_CODE_GROUP", "CAMEO_CODE_GROUP_Category").alias("label"))
 
 
-@query(
-    "customer_feed_c6",
-    "WITH profile AS ("
-    + PROFILE.replace("{{sector}}", "PostalSector")
-    + """) SELECT DISTINCT i.CINID AS cinid, NULLIF(trim(Gender), '') AS gender, NULLIF(rtrim(PostalSector), '') AS postalsector,
+FEED = """SELECT DISTINCT i.CINID AS cinid, NULLIF(trim(Gender), '') AS gender, NULLIF(rtrim(PostalSector), '') AS postalsector,
            NULLIF(PostCodeDistrict, '') AS postcodedistrict, NULLIF(PostArea, '') AS postarea, NULLIF(Region, '') AS region,
            NULLIF(AgeCurrentBandNumber, 0) AS agecurrentbandnumber, AgeGroup AS agegroup, CAMEO_CODE_GRP AS cameo_code_grp,
            COALESCE(Insight_AgeBand, '99. Unknown') AS insight_ageband, HDI_AgeBand AS hdi_ageband,
@@ -138,12 +142,25 @@ def _(r: Roles):
            CASE WHEN p.CIN IS NULL OR DeactivatedDate IS NOT NULL THEN 0 ELSE 1 END AS inprogram,
            NULLIF(microcell_id, 0) AS microcell_id, NULLIF(RegistrationDate, DATE '1900-01-01') AS RegistrationDate,
            DeactivatedDate
-        FROM {id_map} i LEFT JOIN profile p ON p.CIN = i.CIN""",
-)
+        FROM {id_map} i LEFT JOIN profile p ON p.CIN = i.CIN"""
+
+
+@query("customer_feed_c6", "WITH profile AS (" + PROFILE.replace("{{sector}}", "PostalSector") + ") " + FEED)
 def _(r: Roles):
     return cust.customer_feed(r.id_map, profile(r))
 
 
+@query(
+    "customer_feed_detailed_c6",
+    "WITH profile AS ("
+    + PROFILE.replace("{{sector}}", SECTOR)
+    + ") "
+    + FEED.replace("SELECT DISTINCT", "SELECT DISTINCT NULLIF(p.PostCode, '') AS postcode,"),
+)
+def _(r: Roles):
+    return cust.customer_feed(r.id_map, profile(r, sector_from_postcode=True), detailed=True)
+
+
 @query("postal_sector_c7", "SELECT FanID, " + SECTOR + " AS sector FROM {people} p")
 def _(r: Roles):
     return r.people.select("FanID", postal_sector("PostCode").alias("sector"))

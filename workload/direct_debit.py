@@ -13,7 +13,7 @@ from cardloom.functions.compat import age_in_years
 from cardloom.functions.keys import dd_oin_base64, dd_tuple_key
 from cardloom.operators import direct_debit as dd
 from cardloom.plans.direct_debit import DirectDebitTables, direct_debit_rows
-from workload.customers import band_sql
+from workload.customers import AGE_DETAILED as DETAILED_SQL
 from workload.registry import query
 from workload.roles import AS_OF, Roles
 
@@ -167,7 +167,7 @@ PEOPLE = """
 
 
 def transactions(r: Roles) -> DataFrame:
-    return dd.dd_eligible(r.dd_tx, r.people, r.dd_log, CONFIG)
+    return dd.dd_eligible(r.dd_tx, r.people, r.dd_log, CONFIG, prune_by="FileID")
 
 
 def people(r: Roles) -> DataFrame:
@@ -221,7 +221,7 @@ AGE = "date_diff('year', DOB, TranDate) - CASE WHEN strftime(TranDate, '%m%d') <
 
 @query(
     "age_at_h14",
-    f"""SELECT FileID, RowNum, CAST({AGE} AS INTEGER) AS age, {band_sql("age", AGE_DETAILED)} AS band
+    f"""SELECT FileID, RowNum, CAST({AGE} AS INTEGER) AS age, {DETAILED_SQL.format("age")} AS band
         FROM {{dd_tx}} JOIN {{details}} USING (FanID)""",
 )
 def _(r: Roles):
@@ -240,7 +240,7 @@ def _(r: Roles):
                WHERE d.CustomerGUID = c.CustomerGUID AND d.CINID = c.CINID)),
          aged AS (SELECT t.*, c.CINID, c.UserPostcodeArea, {AGE} AS age FROM tx t JOIN kept c USING (FanID))
          SELECT 1 AS PublisherID, FileID, RowNum, BankAccountGUID, CINID, m.ConsumerCombinationID_DD, OIN, BrandID, TranDate, Amount,
-                UserPostcodeArea, {band_sql("age", AGE_DETAILED)} AS CurrentAgeBandText, 'N' AS UpdateType,
+                UserPostcodeArea, {DETAILED_SQL.format("age")} AS CurrentAgeBandText, 'N' AS UpdateType,
                 CAST(NULL AS DATE) AS UpdateDate, DATE '2001-08-02' AS LoadDate
          FROM aged a JOIN {{bank_accounts}} b ON b.BankAccountID = a.BankAccountID
          JOIN {{dd_merchants}} m ON m.ConsumerCombinationID_DD = a.ConsumerCombinationID_DD""",
@@ -248,6 +248,7 @@ def _(r: Roles):
 def _(r: Roles):
     tables = DirectDebitTables(
         transactions=r.dd_tx,
+        programme_transactions=r.dd_tx,
         row_log=r.dd_log,
         customers=r.people,
         pii=r.pii,
@@ -261,5 +262,10 @@ def _(r: Roles):
         sector_groups=r.sector_groups,
         taxonomy_mask=r.brand_mask,
         merchant_mask=r.brand_mask,
+        earlier_customers=r.earlier_customers,
+        affinity=r.affinity_customers,
+        cards=r.cards,
+        historic_mapping=r.historic_accounts,
+        mapping_overrides=r.id_overrides,
     )
     return direct_debit_rows(tables, transactions(r), CONFIG, RunContext("check", AS_OF))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cardloom.config import MerchantScope, NarrativeRules
 from cardloom.functions.keys import combo_id, combo_id_spaceless
 from cardloom.operators import merchant as m
@@ -34,11 +36,14 @@ def _(r: Roles):
 @query(
     "clean_page_urls_d1",
     """SELECT min(url) AS Narrative, trim(regexp_replace(upper(min(url)), '[^A-Z0-9]+', ' ', 'g')) AS NarrativeCleaned
-       FROM {pages} WHERE trim(url) <> '' GROUP BY upper(rtrim(url))""",
+       FROM {pages} WHERE trim(url) <> ''
+         AND upper(rtrim(url)) NOT IN (SELECT upper(rtrim(url)) FROM {pages} WHERE url LIKE 'https:%')
+       GROUP BY upper(rtrim(url))""",
 )
 def _(r: Roles):
     urls = r.pages.withColumnRenamed("url", "Narrative").select("Narrative")
-    return m.clean_narratives_incremental(urls, r.narrative_cache)
+    known = urls.where("Narrative like 'https:%'").withColumn("NarrativeCleaned", F.lit("known"))
+    return m.clean_narratives_incremental(urls, known)
 
 
 POSTED = """

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from cardloom.functions.bands import AGE_INSIGHT
 from cardloom.functions.keys import terminal_type
 from cardloom.operators import quarantine as q
 from workload.card import ROUNDED
-from workload.customers import band_sql
+from workload.customers import AGE_INSIGHT
 from workload.registry import query
 from workload.roles import AS_OF, Roles
 
@@ -29,16 +28,17 @@ NORMAL = f"""
            {ROUNDED.replace("TranTime", "t.TransactionTime")} AS TranTime
     FROM ({DEBIT} UNION ALL {CREDIT}) h JOIN {{affinity_customers}} c ON c.CINID = h.CINID AND c.rw = 1
     JOIN {{mcc}} m ON m.MCCID = h.MCCID LEFT JOIN {{inbound_times}} t ON t.FileID = h.FileID AND t.RowNum = h.RowNum"""
-TERMINAL = """CASE WHEN {0} IN (2, 3) THEN 'C' WHEN {0} = 0 THEN 'P' WHEN {0} = 1 THEN 'U' WHEN {0} = 4 THEN 'R'
+# Terminal types by code.
+TERMINAL = """CASE WHEN {0} = 0 THEN 'P' WHEN {0} = 1 THEN 'U' WHEN {0} = 2 THEN 'C' WHEN {0} = 3 THEN 'C' WHEN {0} = 4 THEN 'R'
     WHEN {0} = 5 THEN 'E' WHEN {0} = 9 THEN 'N' ELSE 'Unknown' END"""
 
 
 def debit(r: Roles):
-    return q.hold_debit(r.pending_debit, r.affinity_customers, r.quarantine_log)
+    return q.hold_debit(r.pending_debit, r.affinity_customers, r.quarantine_log, "FileID")
 
 
 def credit(r: Roles):
-    return q.hold_credit(r.pending_credit, r.affinity_customers, r.quarantine_log)
+    return q.hold_credit(r.pending_credit, r.affinity_customers, r.quarantine_log, "FileID")
 
 
 def normal(r: Roles):
@@ -80,7 +80,7 @@ def _(r: Roles):
             LocationCountry AS CountryCode, l.LocationAddress AS MerchantLocation, z.merchantzip AS MerchantPostcode, OriginatorID,
             Amount, CurrencyCode, CardholderPresentData AS CardholderPresentFlag,
             {TERMINAL.format("CardholderPresentData")} AS TerminalType, CardType, MID, '9' AS brandid,
-            {band_sql("p.AgeCurrent", AGE_INSIGHT)} AS currentagebandtext, TranTime, CAST(NULL AS VARCHAR) AS UpdateType,
+            {AGE_INSIGHT.format("p.AgeCurrent")} AS currentagebandtext, TranTime, CAST(NULL AS VARCHAR) AS UpdateType,
             DATE '2001-08-01' AS UpdateDate, DATE '2001-08-01' AS LoadDate
         FROM held h JOIN {{id_map}} i ON i.CINID = h.CINID JOIN {{people}} p ON p.SourceUID = i.CIN
         JOIN {{mcc}} m ON m.MCCID = h.MCCID LEFT JOIN {{locations}} l ON l.LocationID = h.LocationID
@@ -92,7 +92,6 @@ def _(r: Roles):
         normal(r),
         r.id_map,
         r.people,
-        r.mcc,
         r.locations,
         r.merchant_zips,
         r.duplicate_cins,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -25,10 +24,28 @@ EXPECTED = ("view done", "purchase done")
 )
 def _(r: Roles):
     spark = r.spark
-    root = work_dir(spark, fallback=tempfile.gettempdir())
+    root = work_dir(spark)
     feed = r.card_tx.select("FileID", "RowNum", "CINID", "Amount", "TranDate")
     target = export_feed(feed, f"{root}/card-export-{uuid.uuid4().hex}", AS_OF.date(), rows_per_file=5000, file_format="csv", header="true")
-    return import_files(spark, target, feed.schema, file_format="csv", header="true")
+    return import_files(spark, target, feed.schema, file_format="csv", exported=True, header="true")
+
+
+@query(
+    "export_import_text_j1_j2",
+    """SELECT doc_id, text, '' AS empty, '  ' || left(text, 20) || ' ' AS padded, '"' || lang || '",\\N' AS quoted,
+              CASE WHEN lang = 'en' THEN NULL ELSE source || chr(10) || '\\n' || chr(13) END AS broken FROM {documents}""",
+)
+def _(r: Roles):
+    text = r.documents.select(
+        "doc_id",
+        "text",
+        F.lit("").alias("empty"),
+        F.concat(F.lit("  "), F.left("text", F.lit(20)), F.lit(" ")).alias("padded"),
+        F.concat(F.lit('"'), "lang", F.lit('",\\N')).alias("quoted"),
+        F.when(F.col("lang") != "en", F.concat("source", F.lit("\n\\n\r"))).alias("broken"),
+    )
+    target = export_feed(text, f"{work_dir(r.spark)}/text-export-{uuid.uuid4().hex}", AS_OF.date(), rows_per_file=300, file_format="csv")
+    return import_files(r.spark, target, text.schema, file_format="csv", exported=True)
 
 
 @query("flag_error_runs_j3", FLAGGED)
