@@ -26,6 +26,20 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = re.compile("▁+[^▁]*|[^▁]+")
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """Well-mixed bits of 64-bit counters."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def uniforms(seed: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
+    """Numbers in (0, 1) that depend on a seed and counters alone."""
+    for c in counters:
+        seed = mix(seed * _BASE + np.asarray(c).astype(np.uint64) + np.uint64(1))
+    return ((seed >> np.uint64(11)) + 0.5) * 2.0**-53
+
+
 class Lattice:
     """Edges of the lattices of runs between blanks.
 
@@ -85,7 +99,7 @@ class Lattice:
         self.runs: dict[str, int] = {}
         self.filled = self.used = 0
         self.first = np.zeros(1 << 12, np.int64)
-        self.key, self.logp = np.zeros(1 << 14), np.zeros(1 << 14)
+        self.cut, self.logp = np.zeros(1 << 14), np.zeros(1 << 14)
         self.next, self.piece = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def learn(self, runs: list[str]) -> None:
@@ -148,7 +162,7 @@ class Lattice:
         cut = whole - np.repeat((whole - p)[first], np.diff(np.append(first, len(where))))
         cut[np.append(first[1:], len(where)) - 1] = 1.0
         self.append("first", self.used + first, self.filled)
-        self.append("key", self.filled + where + np.minimum(cut, 1.0), self.used)
+        self.append("cut", np.minimum(cut, 1.0), self.used)
         self.append("logp", logp, self.used)
         self.append("next", np.where(last, -1, self.filled + target), self.used)
         self.append("piece", pieces, self.used)
@@ -175,17 +189,18 @@ class Lattice:
         for runs in split:
             yield np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs))
 
-    def walk(self, entries: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    def walk(self, entries: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn by their probabilities from each entry to the end of its run, in order, and their run."""
         at, state, step = np.arange(len(entries)), entries, 0
         where, edges, steps = [], [], []
         count = np.zeros(len(entries), np.int64)
-        keys = self.key[: self.used]
         while len(at):
-            drawn = state + rng.random(len(at))
-            order = np.argsort(drawn)  # neighbours in the table are found together
-            edge = np.empty(len(at), np.int64)
-            edge[order] = np.searchsorted(keys, drawn[order], "right")
+            u = uniforms(seeds[at], step)
+            edge = self.first[state]
+            beyond = np.flatnonzero(u > self.cut[edge])
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[u[beyond] > self.cut[edge[beyond]]]
             where.append(at)
             edges.append(edge)
             steps.append(np.full(len(at), step))
@@ -196,9 +211,8 @@ class Lattice:
         if not where:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         run = np.concatenate(where)
-        place = (np.cumsum(count) - count)[run] + np.concatenate(steps)
         out = np.empty(len(run), np.int64)
-        out[place] = np.concatenate(edges)
+        out[(np.cumsum(count) - count)[run] + np.concatenate(steps)] = np.concatenate(edges)
         return out, np.repeat(np.arange(len(entries)), count)
 
     def pieces(self, edges: np.ndarray) -> np.ndarray:
@@ -221,54 +235,106 @@ def truncated(place: np.ndarray | float, most: float, u: np.ndarray | float) ->
         return place - np.log(np.exp(place - most) - np.log(u))
 
 
-def sample(lattice: Lattice, entries: np.ndarray, k: int, rng: np.random.Generator) -> list[tuple[np.ndarray, float, float, float]]:
-    """Up to ``k`` distinct segmentations of the runs that begin at ``entries``: (ids, log probability, perturbed value, inclusion score), best value first.
+class _Text:
+    """The search over one text: its paths so far, and the sets that are still open, best first."""
 
-    The inclusion score is the chance that the value exceeds that of the best one left out: 1 where none is
-    left.  An empty text has the empty segmentation alone.
-    """
-    paths, queue, found, serial = [], [], [], 0
-
-    def add(edges: np.ndarray, run: np.ndarray, value: float, since: int) -> None:
-        nonlocal serial
-        logp = lattice.logp[edges]
-        before = np.cumsum(logp) - logp
-        paths.append((edges, run, before))
-        found.append((edges, float(logp.sum()), value))
-        with np.errstate(divide="ignore"):
-            place = before[since:] + np.log(-np.expm1(np.minimum(logp[since:], -1e-15)))
-        place = np.where(logp[since:] > -1e-12, -np.inf, place)
-        values = truncated(place, value, 1.0 - rng.random(len(place)))
-        best = np.argsort(-values, kind="stable")[:k] if len(values) <= 4 * k else np.argpartition(-values, k - 1)[:k]
-        for i in best.tolist():
-            if values[i] > -np.inf:
-                serial += 1
-                heapq.heappush(queue, (-float(values[i]), serial, len(paths) - 1, since + i, (int(edges[since + i]),)))
-
-    edges, run = lattice.walk(entries, rng)
-    add(edges, run, -math.log(-math.log(1.0 - rng.random())), 0)
-    while queue and len(found) < k:
-        negative, _, parent, i, taken = heapq.heappop(queue)
-        value = -negative
-        edges, run, before = paths[parent]
+    def __init__(self, entries: np.ndarray, key: int):
+        self.entries, self.key = entries, key
+        self.paths: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.found: list[tuple[float, float]] = []
+        self.queue: list[tuple] = []
+
+    def add(self, edges: np.ndarray, run: np.ndarray, before: np.ndarray, logp: float, value: float, open_: list[tuple[float, int]]) -> None:
+        self.paths.append((edges, run, before))
+        self.found.append((logp, value))
+        for v, i in open_:
+            heapq.heappush(self.queue, (-v, len(self.paths), i, (int(edges[i]),)))
+
+    def split(self, lattice: Lattice, number: int) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+        """Take the best open set apart: the path so far with its runs, its value, and where it goes on."""
+        negative, path, i, taken = heapq.heappop(self.queue)
+        edges, run, before = self.paths[path - 1]
         left = [e for e in lattice.options(taken[0]) if e not in taken]
         p = np.exp(lattice.logp[left])
-        chosen = left[min(int(np.searchsorted(np.cumsum(p), rng.random() * p.sum(), "right")), len(left) - 1)]
+        seed = np.array([self.key], np.uint64)
+        spot = int(np.searchsorted(np.cumsum(p), float(uniforms(seed, 1, number)[0]) * p.sum(), "right"))
+        chosen = left[min(spot, len(left) - 1)]
         if len(left) > 1:
-            mass = float(before[i] + np.log(p.sum() - np.exp(lattice.logp[chosen])))
-            serial += 1
-            heapq.heappush(queue, (-float(truncated(mass, value, 1.0 - rng.random())), serial, parent, i, (*taken, chosen)))
+            others = sum(math.exp(lattice.logp[e]) for e in left if e != chosen)
+            if others > 0:
+                v = float(truncated(before[i] + math.log(others), -negative, float(uniforms(seed, 2, number)[0])))
+                heapq.heappush(self.queue, (-v, path, i, (*taken, chosen)))
         target = int(lattice.next[chosen])
-        rest = entries[run[i] + 1 :]
+        rest = self.entries[run[i] + 1 :]
         ahead = rest if target < 0 else np.concatenate([[target], rest])
-        more, of = lattice.walk(ahead, rng)
-        of = of + run[i] + (1 if target < 0 else 0)
-        add(np.concatenate([edges[:i], [chosen], more]), np.concatenate([run[: i + 1], of]), value, i + 1)
-    bound = -queue[0][0] if queue else -math.inf
+        return np.append(edges[:i], chosen), run[: i + 1], -negative, ahead
+
+
+def sample_many(lattice: Lattice, entries: list[np.ndarray], keys: list[int], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """For each text up to ``k`` distinct segmentations of the runs that begin at its entries, best value first.
+
+    A segmentation is (ids, log probability, perturbed value, inclusion score).  The score is the chance that the value
+    exceeds that of the best one left out: 1 where none is left.  A text without runs has the
+    empty segmentation alone.  The texts are searched side by side, a segmentation of each at a time.
+    """
+    texts = [_Text(e, key) for e, key in zip(entries, keys)]
+    seeds = np.array(keys, np.uint64)
+    todo = list(range(len(texts)))
+    none = np.zeros(0, np.int64)
+    heads = [(none, none, float(v), e) for v, e in zip(-np.log(-np.log(uniforms(seeds, 0, 0))), entries)]
+    for number in range(k):
+        size = np.array([len(h[3]) for h in heads], np.int64)
+        doc = np.repeat(np.arange(len(heads)), size)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+        own = mix(seeds[todo] + np.uint64(number))
+        edges, run = lattice.walk(np.concatenate([none, *[h[3] for h in heads]]), mix(own[doc] + place.astype(np.uint64)))
+        drawn = np.bincount(doc[run], minlength=len(heads)) if len(run) else np.zeros(len(heads), np.int64)
+        ends = np.cumsum(drawn)
+        whole, runs = [], []
+        for h, first, end, t in zip(heads, (ends - drawn).tolist(), ends.tolist(), todo):
+            whole.append(np.concatenate([h[0], edges[first:end]]))
+            base = len(texts[t].entries) - len(h[3])
+            shift = run[first:end] - (run[first] if end > first else 0) + base
+            runs.append(np.concatenate([h[1], shift]))
+        every = np.concatenate([none, *whole])
+        count = np.array([len(w) for w in whole], np.int64)
+        bounds = np.cumsum(count)
+        owner = np.repeat(np.arange(len(heads)), count)
+        logp = lattice.logp[every]
+        sums = np.cumsum(logp)
+        before = sums - logp
+        before -= np.repeat(np.concatenate([[0.0], sums])[bounds - count], count)
+        with np.errstate(divide="ignore"):
+            outside = np.where(logp > -1e-12, -np.inf, before + np.log(-np.expm1(np.minimum(logp, -1e-15))))
+        values = truncated(outside, np.array([h[2] for h in heads])[owner], uniforms(own[owner], 3, np.arange(len(every)) - (bounds - count)[owner]))
+        fresh = np.array([len(h[0]) for h in heads], np.int64)
+        values[np.arange(len(every)) < (bounds - count + fresh)[owner]] = -np.inf
+        best: list[list[tuple[float, int]]] = [[] for _ in heads]
+        some = np.flatnonzero(count)
+        for _ in range(k - number if len(some) else 0):
+            top = np.full(len(heads), -np.inf)
+            top[some] = np.maximum.reduceat(values, (bounds - count)[some])
+            at = np.flatnonzero((values == top[owner]) & (values > -np.inf))
+            docs, one = np.unique(owner[at], return_index=True)
+            for d, i in zip(docs.tolist(), at[one].tolist()):
+                best[d].append((float(values[i]), i - int(bounds[d] - count[d])))
+            values[at] = -np.inf
+        for d, (h, t, end, n) in enumerate(zip(heads, todo, bounds.tolist(), count.tolist())):
+            part = slice(end - n, end)
+            texts[t].add(whole[d], runs[d], before[part], float(logp[part].sum()), h[2], best[d])
+        todo = [t for t in todo if texts[t].queue]
+        if number + 1 < k:
+            heads = [texts[t].split(lattice, number) for t in todo]
+            if not heads:
+                break
     out = []
-    for edges, logp, value in found:
-        score = 1.0 if bound == -math.inf else -math.expm1(-math.exp(min(700.0, logp - bound)))
-        out.append((lattice.pieces(edges), logp, value, score))
+    for text in texts:
+        bound = -text.queue[0][0] if text.queue else -math.inf
+        rows = []
+        for (edges, _, _), (logp, value) in zip(text.paths, text.found):
+            score = 1.0 if bound == -math.inf else -math.expm1(-math.exp(min(700.0, logp - bound)))
+            rows.append((lattice.pieces(edges), logp, value, score))
+        out.append(rows)
     return out
 
 
@@ -298,9 +364,11 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, temperature: float = 1
             rows, size = [], 0
             texts = [t or "" for t in batch["text"]]
             for at in range(0, len(texts), 500):
-                for doc, entries in zip(batch["key"].iloc[at : at + 500], held.entries(texts[at : at + 500])):
-                    rng = np.random.Generator(np.random.PCG64(xxh64_intdigest(str(doc), seed)))
-                    for n, (ids, logp, value, score) in enumerate(sample(held, entries, k, rng)):
+                docs = batch["key"].iloc[at : at + 500].tolist()
+                entries = list(held.entries(texts[at : at + 500]))
+                found = sample_many(held, entries, [xxh64_intdigest(str(d), seed) for d in docs], k)
+                for doc, samples in zip(docs, found):
+                    for n, (ids, logp, value, score) in enumerate(samples):
                         rows.append((doc, n, ids, logp, value, score))
                         size += len(ids)
                     if size > 1 << 20:
