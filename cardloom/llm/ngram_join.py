@@ -30,30 +30,10 @@ SHORT = 32
 TASK_SHINGLES = 1_000_000
 #: DivideSkip's weight of a probe against a merge step.
 PROBE = 0.0085
-MOST_WORDS = 500_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
-
-
-class WordHashes:
-    """64-bit hashes of words, remembered up to ``MOST_WORDS``."""
-
-    def __init__(self):
-        from xxhash import xxh64_intdigest
-
-        self.hash, self.known = xxh64_intdigest, {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(known) > MOST_WORDS:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self.hash(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE = np.random.default_rng(17).integers(0, 1 << 64, 256, np.uint64)
 
 
 def spread_bits(x: np.ndarray) -> np.ndarray:
@@ -62,19 +42,53 @@ def spread_bits(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes; of fewer words the whole sequence is one; none without words.
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base), np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
 
-    Words are runs of other than blank and white-space control characters; A-Z are lower-cased.
+_INVERSE = pow(int(_K), -1, 1 << 64)
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, in order, and where each text's words begin and end.
+
+    Words are runs of other than blank and white-space control characters; A-Z are lower-cased.  A word's
+    hash is a polynomial in its bytes, taken from running sums over the bytes of all texts.
     """
-    h = hashes.of((text or "").encode("utf-8", "replace").lower().split())
-    if not len(h):
-        return h
-    width = min(words, len(h))
-    s = h[: len(h) - width + 1].copy()
-    for k in range(1, width):
-        s = s * _K + h[k : len(h) - width + 1 + k]
-    return np.unique(spread_bits(s + np.uint64(width)))
+    data = [(t or "").encode("utf-8", "replace") for t in texts]
+    joined = np.frombuffer(b" ".join([*data, b""]).lower(), np.uint8)
+    ends = np.cumsum([len(d) + 1 for d in data])
+    blank = _BLANK[joined]
+    edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    start, end = edge[::2], edge[1::2]
+    sums = np.zeros(len(joined) + 1, np.uint64)
+    np.cumsum(_BYTE[joined] * powers(int(_K), len(joined)), out=sums[1:])
+    back = powers(_INVERSE, len(joined) + 1)
+    hashes = spread_bits((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    return hashes, np.concatenate([[0], np.searchsorted(start, ends)])
+
+
+def shingles(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text.
+
+    Of fewer words the whole sequence is one; there is none without words.
+    """
+    h, bounds = word_hashes(texts)
+
+    def polynomial(part: np.ndarray, width: int) -> np.ndarray:
+        s = part[: len(part) - width + 1].copy()
+        for k in range(1, width):
+            s = s * _K + part[k : len(part) - width + 1 + k]
+        return spread_bits(s + np.uint64(width))
+
+    runs = polynomial(h, words) if len(h) >= words else h[:0]
+    out = []
+    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        n = j - i
+        out.append(np.unique(runs[i : j - words + 1]) if n >= words else polynomial(h[i:j], n) if n else h[:0])
+    return out
 
 
 def least_overlap(n: int, likeness: Fraction) -> int:
@@ -101,17 +115,16 @@ def least_shared(n: int, likeness: Fraction) -> int:
 
 
 def sets_of(docs: DataFrame, words: int, likeness: Fraction, whole: bool) -> DataFrame:
-    """(doc, text) to (doc, n, least, class, shingles): the set's size, its class, and its counted or all shingles."""
-    schema = "doc long, n long, least long, class string, shingles array<bigint>"
+    """(doc, text) to (doc, n, counted, least, class, shingles): the set's size, its class, and its counted or all shingles."""
+    schema = "doc long, n long, counted long, least long, class string, shingles array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_hexdigest
 
-        hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = [shingles(t, words, hashes) for t in part.column(1).to_pylist()]
+                found = shingles(part.column(1).to_pylist(), words)
                 n = [len(s) for s in found]
                 names = [xxh3_128_hexdigest(s.tobytes()) for s in found]
                 kept = found if whole else [s[: counted(len(s))] for s in found]
@@ -121,11 +134,12 @@ def sets_of(docs: DataFrame, words: int, likeness: Fraction, whole: bool) -> Dat
                     [
                         part.column(0),
                         pa.array(n, pa.int64()),
+                        pa.array([counted(k) for k in n], pa.int64()),
                         pa.array([least_shared(k, likeness) if k else 0 for k in n], pa.int64()),
                         pa.array(names, pa.string()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     ],
-                    ["doc", "n", "least", "class", "shingles"],
+                    ["doc", "n", "counted", "least", "class", "shingles"],
                 )
 
     return docs.mapInArrow(run, schema)
@@ -151,9 +165,8 @@ def divide_skip(sets: list[np.ndarray], queries: np.ndarray, index: np.ndarray,
     left, right = [], []
     for q in queries.tolist():
         n, need = int(size[q]), least_overlap(int(size[q]), likeness)
-        at = np.searchsorted(keys, sets[q])
-        at = at[(at < len(keys))]
-        at = at[np.isin(keys[at], sets[q], assume_unique=True)] if len(at) else at
+        at = np.minimum(np.searchsorted(keys, sets[q]), max(len(keys) - 1, 0))
+        at = at[keys[at] == sets[q]] if len(keys) else at[:0]
         if both:
             at = at[length[at] > 1]
         if len(at) < need or not need:
@@ -240,24 +253,29 @@ def join(docs: DataFrame, likeness: Fraction = LIKENESS, words: int = WORDS, key
     counts = staged(sets_of(rows, words, likeness, False), "join-counted")
     linked = counts.where("n > 0 and doc is not null")
     classes = linked.groupBy("class").agg(
-        F.min("doc").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"), F.any_value("least").alias("least"), F.any_value(F.size("shingles")).alias("counted")
+        F.min("doc").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"), F.any_value("least").alias("least"), F.any_value("counted").alias("counted")
     )
     # Half of the class's name is enough to tell whether two classes hold a shingle.
     half = F.conv(F.substring("class", 1, 15), 16, 10).cast("long")
     held = linked.select(half.alias("c"), F.explode("shingles").alias("s")).groupBy("s").agg(F.min("c").alias("c"), F.max("c").alias("d"))
     own = held.where("c = d").groupBy("c").agg(F.count(F.lit(1)).alias("own"))
     classes = classes.withColumn("c", half).join(own, "c", "left")
-    classes = staged(classes.select("class", "first", "copies", "n", (F.col("counted") - F.coalesce("own", F.lit(0)) >= F.col("least")).alias("open")), "join-classes")
-    wanted = classes.where("open").select(F.col("first").alias("doc"), F.col("class").alias("_class"), "copies")
+    is_open = F.col("counted") - F.coalesce("own", F.lit(0)) >= F.col("least")
+    # Classes are numbered: one key may stand on rows of different texts.
+    numbered = classes.select("class", "first", "copies", is_open.alias("open"), F.monotonically_increasing_id().alias("node"))
+    classes = staged(numbered, "join-classes")
+    wanted = classes.where("open").select(F.col("first").alias("doc"), F.col("class").alias("_class"), "copies", "node")
     again = rows.join(wanted.select("doc").distinct(), "doc", "left_semi")
     sets = sets_of(again, words, likeness, True).join(wanted, "doc").where("class = _class").dropDuplicates(["class"])
-    sets = staged(sets.select("doc", "n", "copies", "shingles"), "join-sets")
+    sets = staged(sets.select(F.col("node").alias("doc"), "n", "copies", "shingles"), "join-sets")
     found = staged(search(sets, likeness), "join-links")
     groups = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("doc").agg(F.sum("links").alias("links"))
-    named = classes.join(groups.withColumnRenamed("node", "first"), "first", "left").join(links.withColumnRenamed("doc", "first"), "first", "left")
+    lowest = groups.join(classes, "node").groupBy("component").agg(F.min("first").alias("lowest"))
+    groups = groups.join(lowest, "component").select("node", "lowest")
+    named = classes.join(groups, "node", "left").join(links.withColumnRenamed("doc", "node"), "node", "left")
     named = staged(
-        named.select("class", F.coalesce("component", "first").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")),
+        named.select("class", F.coalesce("lowest", "first").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")),
         "join-named",
     )
     out = counts.select("doc", "n", F.when(F.col("doc").isNotNull(), F.col("class")).alias("class")).join(named, "class", "left")

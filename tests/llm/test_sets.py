@@ -140,7 +140,7 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
     same = rng.normal(size=16).tolist()
     rows += [(len(rows) + k, same, 1) for k in range(40)]
     rows += [(900, None, 1), (901, [], 1), (902, [0.0] * 16, 1), (903, [1.0, None] + [0.0] * 14, 1), (904, [float("nan")] * 16, 1)]
-    rows += [(905, [float("inf")] + [0.0] * 15, 1), (906, same, None), (None, same, 1), (907, same[:8], 1), (908, [2 * x for x in same], 1), rows[0]]
+    rows += [(905, [float("inf")] + [0.0] * 15, 1), (906, same, None), (None, same, 1), (907, same[:8], 1), (908, [2 * x for x in same], 1), rows[0], (0, same, 1), (0, rows[9][1], rows[9][2])]
     monkeypatch.setattr(embedding_dedup, "ROWS_PER_TASK", 7)
     got = sorted((tuple(r) for r in embedding_dedup.dedup(vectors(spark, rows)).collect()), key=repr)
     assert got == all_pairs(rows, 0.93)
