@@ -25,6 +25,7 @@ HIDDEN = 24
 ATTENTION = 16
 PER_LABEL = 1000
 EPOCHS = 14
+SHORT_EVERY = 4
 _LAGS = tuple(range(1, 21))
 
 
@@ -191,6 +192,11 @@ def fit(sample: list[tuple[int, str]], epochs: int = EPOCHS, batch: int = 64, se
     if not len(y) or y.min() == y.max():
         return Model(None, float(y.mean()) if len(y) else 0.5)
     rng = np.random.default_rng(seed)
+    # In a good document every passage is good, a few words too: short texts are rare in the sample.
+    words = [t.split(" ") for k, t in sample if k == 1 and t]
+    few = [" ".join(w[(i := int(rng.integers(len(w)))) : i + int(rng.integers(1, 12))]) for w in words[:: SHORT_EVERY]]
+    sample = [*sample, *((1, t) for t in few)]
+    y = np.append(y, np.ones(len(few), int))
     x, count = windows([t or "" for _, t in sample], PASSAGE)
     ends = np.cumsum(count)
     w = new_weights(rng)
