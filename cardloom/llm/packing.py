@@ -26,18 +26,25 @@ WINDOW = 2048
 END_ID = 1
 MOST_WORDS = 500_000
 _BLANKS = re.compile("[ \t\r\n]+")
+#: What makes a text odd for the fast path (marks, scripts beyond Latin, a capital that becomes two
+#: characters, apostrophes, which begin contractions, and control tokens), and Latin small letters.
+_ODD = re.compile("[\u02b0-\U0010ffff\u0130']|<\\|")
+_LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u012f\u0131-\u02af"
+_UNITS = re.compile(f"[{_LETTERS}]+|[^ \\t\\r\\n{_LETTERS}]+")
+_WORD = re.compile(f"[{_LETTERS}]+")
 
 
 class WordEncoder:
-    """Token ids of texts by a tokenizer that never joins pieces across white space.
+    """Token ids of texts by a tokenizer that lower-cases and never joins pieces across white space or the end of a word.
 
-    Every word is encoded once and remembered, up to ``MOST_WORDS`` words; then the memory starts anew.
+    Every unit is encoded once and remembered, up to ``MOST_WORDS`` units; then the memory starts anew.  Units are
+    words and what stands between them, or, in texts that are odd, whatever stands between blanks.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.reset()
 
@@ -48,32 +55,40 @@ class WordEncoder:
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        need = self.used + sum(map(len, encoded))
+    def add(self, units: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        need = self.used + len(ids)
         if need > len(self.ids):
             self.ids = np.resize(self.ids, max(need, 2 * len(self.ids)))
-        count = len(self.index) + len(words)
-        if count > len(self.start):
-            self.start = np.resize(self.start, max(count, 2 * len(self.start)))
+        first, last = len(self.index), len(self.index) + len(units)
+        if last > len(self.start):
+            self.start = np.resize(self.start, max(last, 2 * len(self.start)))
             self.size = np.resize(self.size, len(self.start))
-        for word, ids in zip(words, encoded):
-            n = len(self.index)
-            self.index[word] = n
-            self.start[n], self.size[n] = self.used, len(ids)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
+        self.start[first:last] = self.used + np.cumsum(size) - size
+        self.size[first:last] = size
+        self.ids[self.used : need] = ids
+        self.index.update(zip(units, range(first, last)))
+        self.used = need
+
+    def learn(self, units: list[str]) -> None:
+        """Encode units; words are sent many at once, and the tokens tell which word they are of."""
+        words = [u for u in units if _WORD.fullmatch(u)]
+        groups = [words[i : i + 400] for i in range(0, len(words), 400)]
+        for group, e in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            self.add(group, np.array(e.ids, np.uint32), np.bincount(e.word_ids, minlength=len(group)))
+        rest = [u for u in units if not _WORD.fullmatch(u)]
+        found = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
+        self.add(rest, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64))
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 256):
-            split = [_BLANKS.split(t) for t in texts[at : at + 256]]
+            split = [_BLANKS.split(t) if _ODD.search(t) else _UNITS.findall(t.lower()) for t in texts[at : at + 256]]
             if len(self.index) > MOST_WORDS or self.used > 8 * MOST_WORDS:
                 self.reset()
-            unseen = dict.fromkeys(w for words in split for w in words if w not in self.index)
+            unseen = set().union(*split).difference(self.index)
             if unseen:
                 self.learn(list(unseen))
-            for words in split:
-                k = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            for units in split:
+                k = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
                 size = self.size[k]
                 ends = np.cumsum(size)
                 source = np.repeat(self.start[k] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
