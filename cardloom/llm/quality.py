@@ -55,7 +55,7 @@ def _classes() -> np.ndarray:
 
 _CLASS = _classes()
 CLASSES = int(_CLASS.max()) + 1
-STATS = CLASSES - 1 + 7
+STATS = CLASSES - 1 + 8
 
 
 def pair_codes(x: np.ndarray) -> np.ndarray:
@@ -72,10 +72,16 @@ def statistics(x: np.ndarray) -> np.ndarray:
     filled = np.maximum((x > 0).sum(1), 1)
     flat = _CLASS[x] + np.arange(rows)[:, None] * CLASSES
     share = np.bincount(flat.ravel(), minlength=rows * CLASSES).reshape(rows, CLASSES)[:, 1:] / filled[:, None]
-    same = np.stack([((x[:, k:] == x[:, :-k]) & (x[:, k:] > 0)).sum(1) for k in _LAGS], 1) / filled[:, None]
-    # One letter over and over, words over and over, and how much that stands out.
+    same = np.empty((rows, len(_LAGS)))
+    echo = np.zeros(x.shape, bool)
+    for n, k in enumerate(_LAGS):
+        equal = (x[:, k:] == x[:, :-k]) & (x[:, k:] > 0)
+        same[:, n] = equal.sum(1) / filled
+        echo[:, k + 2 :] |= equal[:, 2:] & equal[:, 1:-1] & equal[:, :-2]
+    # One letter over and over, words over and over, how much that stands out, and runs of three heard shortly before.
     again = np.sort(same[:, 2:], axis=1)
-    repeats = np.column_stack([same[:, 0], same[:, 1], again[:, -1], again[:, -1] - again[:, len(_LAGS) // 2]])
+    heard = echo.sum(1) / filled
+    repeats = np.column_stack([same[:, 0], same[:, 1], again[:, -1], again[:, -1] - again[:, len(_LAGS) // 2], heard])
     y = x.astype(np.uint32)
     four = np.sort(y[:, :-3] | y[:, 1:-2] << np.uint32(8) | y[:, 2:-1] << np.uint32(16) | y[:, 3:] << np.uint32(24), axis=1)
     distinct = ((four[:, 1:] != four[:, :-1]) & (four[:, 1:] > 0)).sum(1) / np.maximum(filled - 3, 1)
