@@ -138,3 +138,74 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return segmentation.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _scan(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{kind}' AS kind, {order} AS k, {least} AS least, string_split_regex(t, '{quoted}') AS p,
+        regexp_extract_all(t, '{quoted}', 0) AS m, regexp_extract_all(t, '{quoted}', {group}) AS g FROM d"""
+
+
+ORACLES["op10_secret_scans"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS ({" UNION ALL ".join(_scan(r.kind, k, r.pattern, r.group, r.least) for k, r in enumerate(secret_scan.RULES))}),
+each AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM raw),
+placed AS (
+  SELECT doc_id, kind, k, length(m[i]) AS size,
+    list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM each WHERE length(g[i]) >= least
+),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(concat(kind, ':', CAST(start AS BIGINT), ':', CAST(start + size AS BIGINT)), ',' ORDER BY start, k) AS spans
+  FROM placed GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  coalesce(spans, '') AS spans, sha256(coalesce(spans, '')) AS base_sha256
+FROM d LEFT JOIN listed USING (doc_id)
+"""
+
+_REACH = """
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM ends UNION SELECT r.a, l.b FROM reach r JOIN ends l ON l.a = r.b),
+lowest AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+linked AS (SELECT a, count(*) AS n_links FROM ends GROUP BY a)"""
+
+ORACLES["op3_ngram_join"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+runs AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words
+),
+sets AS (SELECT doc_id, len(s) AS n, s FROM runs),
+flat AS (SELECT doc_id, n, unnest(s) AS x FROM sets),
+often AS (SELECT x FROM flat GROUP BY x HAVING count(*) > 1),
+few AS (SELECT doc_id, n, x FROM flat SEMI JOIN often USING (x)),
+enough AS (SELECT doc_id FROM few GROUP BY doc_id, n HAVING 100 * count(*) >= 85 * n),
+kept AS (SELECT few.* FROM few SEMI JOIN enough USING (doc_id)),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM kept p JOIN kept q ON p.x = q.x AND p.doc_id < q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))
+),{_REACH}
+SELECT s.doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+FROM sets s LEFT JOIN lowest l ON l.a = s.doc_id LEFT JOIN linked k ON k.a = s.doc_id
+"""
+
+ORACLES["op2_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND len(p.e) = len(q.e) AND p.vec_id < q.vec_id
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.93
+),{_REACH}
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN lowest l ON l.a = vec_id LEFT JOIN linked k ON k.a = vec_id
+"""
