@@ -18,23 +18,28 @@ def slices(text: Column, count: int, chars: int) -> Column:
     return F.when(length <= count * chars, text).otherwise(F.array_join(cut, ""))
 
 
-def labelled_sample(rows: DataFrame, label: str, text: str, key: str, per_label: int, count: int, chars: int, labels: int = 256) -> list[tuple]:
-    """At most about ``1.5 * per_label`` (label, slices of text) for each of the ``labels`` commonest labels.
+def drawn(rows: DataFrame, label: str, key: str, per_label: int, labels: int = 256) -> tuple[DataFrame, int]:
+    """About ``per_label`` rows of each of the ``labels`` commonest labels with their draw ``_u``, and a bound on their number.
 
     Rows are chosen by a hash of their key, so the same rows give the same sample; a label with no
-    more than ``per_label`` rows is taken whole.  Labels and their counts, and
-    the bounded sample, are all that reaches the driver.
+    more than ``per_label`` rows is taken whole.
     """
-    rows = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    rows = rows.where(F.col(label).isNotNull())
     sizes = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()
-    if not sizes:
-        return []
     bound = F.lit(-1.0)
     for r in sizes:
         bound = F.when(F.col(label) == r[label], F.lit(1.25 * per_label / r["count"] if r["count"] > per_label else 2.0)).otherwise(bound)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col(key)), 11) / F.lit(float(2**53))
-    chosen = rows.where(draw < bound).select(F.col(label), slices(F.col(text), count, chars).alias("t"), draw.alias("u"))
-    return [(r[0], r[1]) for r in chosen.orderBy("u", "t").limit(2 * per_label * len(sizes)).collect()]
+    return rows.withColumn("_u", draw).where(F.col("_u") < bound), 2 * per_label * len(sizes)
+
+
+def labelled_sample(rows: DataFrame, label: str, text: str, key: str, per_label: int, count: int, chars: int) -> list[tuple]:
+    """A bounded sample of (label, slices of text); labels and their counts, and the sample, are all that reaches the driver."""
+    chosen, most = drawn(rows.select(label, key, text).where(F.col(text).isNotNull()), label, key, per_label)
+    if not most:
+        return []
+    chosen = chosen.select(F.col(label), slices(F.col(text), count, chars).alias("t"), "_u")
+    return [(r[0], r[1]) for r in chosen.orderBy("_u", "t").limit(most).collect()]
 
 
 class Adam:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.language_id import windows
-from cardloom.llm.learning import Adam, labelled_sample, sigmoid
+from cardloom.llm.learning import Adam, drawn, labelled_sample, sigmoid
 
 PASSAGE = 512
 PAIRS = 2048
@@ -223,11 +223,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Fit on about ``per_label`` labelled documents of each label (0 and 1), a bounded sample chosen by key.
 
     Rows of ``labels`` without a label of 0 or 1 are left out; a key labelled more than once
-    takes its smallest label.
+    takes its smallest label.  The keys are chosen first, so that no text is shuffled; they are
+    bounded and broadcast.
     """
     marks = labels.where(F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).alias("_y"))
-    rows = docs.select(key, text).join(marks, key)
-    return fit(labelled_sample(rows, "_y", text, key, per_label, 8, PASSAGE))
+    chosen, most = drawn(docs.select(key).join(marks, key), "_y", key, per_label)
+    keys = chosen.select(key, "_y").distinct().limit(most)
+    rows = docs.select(key, text).join(F.broadcast(keys), key)
+    return fit(labelled_sample(rows, "_y", text, key, 2 * per_label, 8, PASSAGE))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
