@@ -122,8 +122,8 @@ def sets_of(docs: DataFrame, words: int, likeness: Fraction, whole: bool) -> Dat
         from xxhash import xxh3_128_hexdigest
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 found = shingles(part.column(1).to_pylist(), words)
                 n = [len(s) for s in found]
                 names = [xxh3_128_hexdigest(s.tobytes()) for s in found]

@@ -24,7 +24,7 @@ from cardloom.llm.shared import gapless, pieces_for, same_text, staged
 
 WINDOW = 2048
 END_ID = 1
-MOST_WORDS = 500_000
+MOST_WORDS = 150_000
 _BLANKS = re.compile("[ \t\r\n]+")
 #: What makes a text odd for the fast path (marks, scripts beyond Latin, a capital that becomes two
 #: characters, apostrophes, which begin contractions, and control tokens), and Latin small letters.
