@@ -7,6 +7,7 @@ import re
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cardloom.llm import embedding_dedup, ngram_join
@@ -162,6 +163,40 @@ def test_passes_find_most_borderline_pairs(spark):
     assert out.where("n_links > 0").count() / 6000 >= 0.95
 
 
+def planted_pairs(spark, pairs, mean, cosine=0.935, dims=32):
+    """Pairs at a cosine in one label; unrelated vectors have the cosine ``mean``."""
+
+    def make(batches):
+        for batch in batches:
+            rng, n = np.random.default_rng([9, int(batch["id"].iat[0])]), len(batch)
+            a, d = rng.normal(size=(n, dims - 1)), rng.normal(size=(n, dims - 1))
+            a /= np.linalg.norm(a, axis=1)[:, None]
+            d -= (d * a).sum(1)[:, None] * a
+            d /= np.linalg.norm(d, axis=1)[:, None]
+            c = (cosine - mean) / (1 - mean)
+            both = np.stack([a, c * a + np.sqrt(1 - c * c) * d], 1).reshape(2 * n, dims - 1) * np.sqrt(1 - mean)
+            both = np.hstack([both, np.full((2 * n, 1), np.sqrt(mean))])
+            ids = (2 * batch["id"].to_numpy()[:, None] + [0, 1]).ravel()
+            yield pd.DataFrame({"vec_id": ids, "embedding": list(both.astype(np.float32)), "label": 0})
+
+    return spark.range(0, pairs, 1, 8).mapInPandas(make, "vec_id long, embedding array<float>, label int")
+
+
+def test_recall_in_one_large_label(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "ROWS_PER_PASS", 1_000)  # so that passes are taken
+    plans = []
+    made = embedding_dedup.planned
+    monkeypatch.setattr(embedding_dedup, "planned", lambda *a: plans.append(made(*a)) or plans[-1])
+    out = embedding_dedup.dedup(planted_pairs(spark, 50_000, 0.5))
+    assert out.where("n_links > 0").count() / 100_000 >= 0.998
+    assert plans[0].first()["passes"] > 12
+
+
+def test_small_groups_are_compared_in_full(spark):
+    out = embedding_dedup.dedup(planted_pairs(spark, 6_000, 0.7))
+    assert out.where("n_links = 0").count() == 0
+
+
 def test_codes_order_like_sign_strings():
     x = np.random.default_rng(2).normal(size=(50, 8))
     c = embedding_dedup.codes(x, 2, 10)
