@@ -72,7 +72,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star and small-star steps by aggregation and joins until the edges stay the
     same; every round is cut by a checkpoint.  Self loops keep a node with no other edge;
-    edges with a NULL end are ignored.
+    edges with a NULL end are ignored.  Edges that have not settled in ``rounds`` rounds are an error.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = edges.where("a is not null and b is not null").distinct().checkpoint()
@@ -91,6 +91,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == state:
             break
         state = mark
+    else:
+        raise RuntimeError(f"the components have not settled in {rounds} rounds")
     nodes = edges.union(edges.select("b", "b"))
     return nodes.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
 

@@ -203,6 +203,8 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, **{200 + i: 100 for i in range(30)}, 500: 500}
     assert components(edges.limit(0)).count() == 0
+    with pytest.raises(RuntimeError, match="not settled in 2 rounds"):
+        components(edges, rounds=2)
 
 
 def test_chunk_pairs_let_all_rows_meet(spark):
