@@ -2,6 +2,7 @@
 
 1. quality: documents with a score below 0.3 go.
 2. language: documents without a language, or with a score below 0.5, go; a missing ``lang`` is filled in.
+   Where no language can be learned, documents without a letter go.
 3. near copies: of each group of documents linked by a Jaccard likeness of 0.8 of their five-word shingles
    the one with the smallest id stays.
 4. secrets: what the rules find is masked; no document goes.
@@ -39,9 +40,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that is told with a score of at least ``LEAST_LANGUAGE``."""
+    """Documents with a language that is told with a score of at least ``LEAST_LANGUAGE``.
+
+    Where no row to learn from has a language, none can be told: all documents with a letter stay as they are.
+    """
     ship(spark)
     model = language_id.train(docs.where(remainder("doc_id", 4) != 2))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     lang, score = free_name(docs, "_lang"), free_name(docs, "_score")
     rows = language_id.identify(docs, model, lang_out=lang, score_out=score)
     rows = rows.where((F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE))

@@ -59,6 +59,14 @@ def test_stages_equal_plain_python(spark, docs):
     check_packed(last, texts(fourth), 2048)
 
 
+def test_without_languages_every_text_with_a_letter_stays(spark, docs):
+    odd = spark.createDataFrame([(9001, None), (9002, ""), (9003, "123 !? ²"), (9004, "ж"), (None, "a")], "doc_id long, text string")
+    rows = docs.unionByName(odd, allowMissingColumns=True).withColumn("lang", F.lit(None).cast("string"))
+    out = pipe.keep_language(spark, rows, SF)
+    assert out.columns == docs.columns
+    assert texts(out) == [d for d in texts(rows) if language_id.has_letter(d[1])] and out.where("lang is not null").count() == 0
+
+
 def test_run_applies_all_stages(spark):
     out = pipe.run(spark, SF)
     assert out.select("doc_id").distinct().count() > 100
