@@ -198,9 +198,11 @@ def fit(sample: list[tuple[str, str]], hidden: int = HIDDEN, steps: int = STEPS,
     if not languages:
         return Model([], new_weights(1, hidden, np.random.default_rng(seed)))
     rng = np.random.default_rng(seed)
-    by = []
+    by, own = [], {lang: [] for lang in languages}
+    for lang, t in sample:
+        own[lang].append(t)
     for lang in languages:
-        x, _ = windows([t for k, t in sample if k == lang])
+        x, _ = windows(own[lang])
         full = x[_LETTER[x].sum(1) >= WINDOW // 4]
         by.append(full if len(full) else x)
     usable = [k for k, x in enumerate(by) if len(x)]
@@ -215,7 +217,7 @@ def fit(sample: list[tuple[str, str]], hidden: int = HIDDEN, steps: int = STEPS,
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on about ``per_language`` documents of each language, a bounded sample chosen by key."""
+    """Fit on about ``per_language`` documents of each language, fewer of each if there are hundreds; a sample chosen by key."""
     return fit(labelled_sample(docs, lang, text, key, per_language, 6, 128))
 
 

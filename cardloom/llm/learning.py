@@ -6,6 +6,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.llm.shared import staged
+
+LABELS = 256
+#: So many that a label is hardly ever without a drawn row.
+LEAST_ROWS = 16
+
 
 def slices(text: Column, count: int, chars: int) -> Column:
     """The text, or, if it is longer than ``count * chars``, that many evenly spaced slices of it joined.
@@ -18,19 +24,21 @@ def slices(text: Column, count: int, chars: int) -> Column:
     return F.when(length <= count * chars, text).otherwise(F.array_join(cut, ""))
 
 
-def drawn(rows: DataFrame, label: str, key: str, per_label: int, labels: int = 256) -> tuple[DataFrame, int]:
-    """About ``per_label`` rows of each of the ``labels`` commonest labels with their draw ``_u``, and a bound on their number.
+def drawn(rows: DataFrame, label: str, key: str, per_label: int) -> tuple[DataFrame, int]:
+    """About ``per_label`` rows of every label with their draw ``_u``, and a bound on their number.
 
+    With more than ``LABELS`` labels each gets fewer, so that the whole stays as large, but at least ``LEAST_ROWS``.
     Rows are chosen by a hash of their key, so the same rows give the same sample; a label with no
-    more than ``per_label`` rows is taken whole.
+    more rows than that is taken whole.
     """
     rows = rows.where(F.col(label).isNotNull())
-    sizes = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(labels).collect()
-    bound = F.lit(-1.0)
-    for r in sizes:
-        bound = F.when(F.col(label) == r[label], F.lit(1.25 * per_label / r["count"] if r["count"] > per_label else 2.0)).otherwise(bound)
+    sizes = staged(rows.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_rows")), "label-sizes")
+    labels = sizes.count()
+    per_label = min(per_label, max(LEAST_ROWS, per_label * LABELS // max(1, labels)))
+    bound = F.when(F.col("_rows") > per_label, 1.25 * per_label / F.col("_rows")).otherwise(2.0)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col(key)), 11) / F.lit(float(2**53))
-    return rows.withColumn("_u", draw).where(F.col("_u") < bound), 2 * per_label * len(sizes)
+    chosen = rows.withColumn("_u", draw).join(sizes, F.col(label) == F.col("_label")).where(F.col("_u") < bound)
+    return chosen.drop("_label", "_rows"), 2 * per_label * labels
 
 
 def labelled_sample(rows: DataFrame, label: str, text: str, key: str, per_label: int, count: int, chars: int) -> list[tuple]:

@@ -134,3 +134,9 @@ def test_the_sample_is_bounded_and_stable(spark):
     assert a == b and 60 < sum(k == "a" for k, _ in a) < 200 and sum(k == "b" for k, _ in a) == 50
     assert all(len(t) == 200 for _, t in a)
     assert spark.range(1).select(remainder("id", 4)).first()[0] == zlib.crc32(b"0") % 4
+
+
+def test_every_label_is_sampled(spark):
+    rows = spark.range(60_000).select("id", (F.col("id") % 600).cast("string").alias("y"), F.lit("xyz").alias("t"))
+    sample = labelled_sample(rows, "y", "t", "id", 40, 4, 50)
+    assert len({k for k, _ in sample}) == 600 and len(sample) < 2 * 256 * 40
