@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardloom.llm import embedding_dedup, fingerprints, language_id, ngram_join, packing, quality, secret_scan, segmentation, sharding, warc
-from cardloom.llm.shared import new_folder
+from cardloom.llm import (
+    embedding_dedup,
+    filter_audit,
+    fingerprints,
+    language_id,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+    segmentation,
+    sharding,
+    token_counts,
+    vector_codes,
+    warc,
+)
+from cardloom.llm.shared import new_folder, staged
 from cardloom.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +224,112 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) A
   coalesce(component_id, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN lowest l ON l.a = vec_id LEFT JOIN linked k ON k.a = vec_id
 """
+
+
+@query("op11_filter_audit", python=True)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+TOKEN_LIMIT = 1024
+
+
+@query("op12_token_counts", python=True)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    counted = staged(token_counts.prefix_table(docs, public_tokenizers.path("byte_bpe_50k.json")), "token-counts")
+    n_tokens = token_counts.token_count("steps")
+    within = token_counts.chars_within("steps", F.lit(TOKEN_LIMIT))
+    rows = counted.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), within.alias("chars_within_limit"))
+    return rows.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op13_vector_codes", python=True)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def _orders() -> str:
+    rows = []
+    for order in permutations("ABCDE"):
+        for i, letter in enumerate(order):
+            ahead = sum(1 << "ABCDE".index(x) for x in order[:i])
+            rows.append(f"('{''.join(order)}', {i + 1}, {1 << 'ABCDE'.index(letter)}, {ahead})")
+    return ", ".join(rows)
+
+
+ORACLES["op11_filter_audit"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+w AS (
+  SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS lowest FROM d
+),
+f AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > lowest THEN 16 ELSE 0 END AS mask
+  FROM w
+),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask
+),
+o(filter_order, step, own, ahead) AS (VALUES {_orders()})
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(sum(CASE WHEN mask & ahead = 0 AND mask & own = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN mask & ahead = 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN mask & ahead <> 0 AND mask & own <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN mask & ahead = 0 AND mask & own <> 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+  CAST(sum(CASE WHEN mask & ahead = 0 AND mask & own <> 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+  CAST(sum(sum(CASE WHEN mask & ahead = 0 AND mask & own <> 0 THEN n ELSE 0 END)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM m CROSS JOIN o GROUP BY part, filter_order, step, own
+"""
+
+
+def _lloyd(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds as a chain of tables: b0, b1, ... are the codebooks and n0, n1, ... the nearest entries under them."""
+    out = [
+        f"""WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS (SELECT id, pos, x[pos * (len(x) // {parts}) + 1 : (pos + 1) * (len(x) // {parts})] AS part FROM v, range({parts}) r(pos)),
+b0 AS (SELECT pos, id - 1 AS entry, part FROM p WHERE id <= {entries})"""
+    ]
+    far = "list_sum(list_transform(range(1, len(p.part) + 1), lambda i: (p.part[i] - b.part[i]) * (p.part[i] - b.part[i])))"
+    for i in range(rounds + 1):
+        out.append(
+            f"""n{i} AS (
+  SELECT id, pos, min(struct_pack(d := d, entry := entry)) AS best
+  FROM (SELECT p.id, p.pos, b.entry, CAST({far} AS BIGINT) AS d FROM p JOIN b{i} b ON p.pos = b.pos) GROUP BY id, pos
+)"""
+        )
+        if i < rounds:
+            out.append(
+                f"""s{i} AS (
+  SELECT pos, entry, i, sum(x) AS total, count(*) AS n
+  FROM (SELECT p.pos, best.entry AS entry, unnest(range(1, len(part) + 1)) AS i, unnest(part) AS x FROM n{i} JOIN p USING (id, pos)) GROUP BY pos, entry, i
+),
+m{i} AS (
+  SELECT pos, entry, list(CAST((total - ((total % n + n) % n)) // n AS BIGINT) ORDER BY i) AS part FROM s{i} GROUP BY pos, entry
+),
+b{i + 1} AS (SELECT b.pos, b.entry, coalesce(m.part, b.part) AS part FROM b{i} b LEFT JOIN m{i} m ON m.pos = b.pos AND m.entry = b.entry)"""
+            )
+    return (
+        ",\n".join(out)
+        + f""",
+c AS (
+  SELECT id, string_agg(lpad(lower(to_hex(best.entry)), 2, '0'), '' ORDER BY pos) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM n{rounds} GROUP BY id
+),
+k AS (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM c JOIN v USING (id) CROSS JOIN k
+"""
+    )
+
+
+ORACLES["op13_vector_codes"] = _lloyd()

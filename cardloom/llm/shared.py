@@ -32,12 +32,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged_at(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: a lost executor rereads files."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged_at(df, new_folder(df.sparkSession, name))
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that nothing reads any more, on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def same_text(column: str | Column) -> Column:
