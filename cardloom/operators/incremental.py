@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import load_date
 from cardloom.functions.joins import anti, semi, union_all, within
+from cardloom.operators.row_runs import exclude_runs, holds_runs, row_runs
 
 ROW_KEY = ("FileID", "RowNum")
 
@@ -29,9 +30,16 @@ def exclude_logged(
     All logs go into one anti join, so ``df`` is shuffled once however many there
     are.  A log keeps every row ever delivered; ``prune_by`` names a key column that
     rises over time, such as the file id, and cuts the logs to its range in ``df``
-    before they are shuffled (two scalars, no join).
+    before they are shuffled (two scalars, no join).  Logs kept as runs of rows
+    (:mod:`cardloom.operators.row_runs`) are told by their columns and need the row key as ``keys``.
     """
-    seen = union_all(*[log.select(*keys) for log in logs])
+    cut = list(logs) if prune_by is None else [within(log, df, prune_by) for log in logs]
+    runs, rows = [log for log in cut if holds_runs(log)], [log for log in logs if not holds_runs(log)]
+    if runs:
+        df = exclude_runs(df, *runs)
+    if not rows:
+        return df
+    seen = union_all(*[log.select(*keys) for log in rows])
     return anti(df, seen if prune_by is None else within(seen, df, prune_by), keys)
 
 
@@ -55,6 +63,11 @@ def log_rows(*delivered: DataFrame, processed_at: datetime | None = None) -> Dat
     return rows.withColumn("ProcessedDate", F.lit(processed_at).cast("timestamp_ntz"))
 
 
+def log_like(log: DataFrame, *delivered: DataFrame) -> DataFrame:
+    """Log entries of delivered rows in the form of ``log``: rows, or runs of rows."""
+    return row_runs(*delivered) if holds_runs(log) else log_rows(*delivered)
+
+
 def append_row_log(log: DataFrame, *delivered: DataFrame, processed_at: datetime | None = None) -> DataFrame:
     """The log after a delivery."""
     return log.unionByName(log_rows(*delivered, processed_at=processed_at))
