@@ -178,3 +178,19 @@ def neighbour(
     )
     found = F.when(F.col("_place") == 1, F.col("_carried")).otherwise(F.col("_near"))
     return near.join(carried, [key, "_slice"], "inner").select(*df.columns, found.alias(out))
+
+
+def binned(periods: DataFrame, start: str, end: str, batch: DataFrame, day: str, unit: str, out: str) -> DataFrame:
+    """Half-open date periods once for each bin of time they touch, cut to the bins that ``batch`` has days in.
+
+    Joined on their keys and the bin, with the range as residual, a day meets a period in the day's own bin
+    only: each pair comes out once, and a day is compared with the periods of its bin, not with all of its key.  An open
+    end costs no more bins than the batch spans (two scalars).
+    """
+    first = batch.agg(F.min(day)).scalar()
+    last = batch.where(F.col(day).isNotNull()).agg(F.max(day)).scalar()
+    low = F.date_trunc(unit, F.greatest(F.col(start), first)).cast("date")
+    high = F.least(F.date_sub(end, 1), last)
+    step = {"week": "interval 7 days", "month": "interval 1 month", "year": "interval 1 year", "day": "interval 1 day"}[unit]
+    bins = F.when((F.col(start) < F.col(end)) & (low <= high), F.sequence(low, high, F.expr(step)))
+    return periods.withColumn(out, F.explode(bins))

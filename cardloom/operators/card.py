@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import load_date
 from cardloom.functions.compat import half_hour
-from cardloom.functions.joins import hot_keys, salted_join, union_all, within
+from cardloom.functions.joins import binned, hot_keys, salted_join, union_all, within
 from cardloom.functions.keys import tran_sequence_id, without_commas
 from cardloom.operators.incremental import ROW_KEY, exclude_logged
 
@@ -70,11 +70,12 @@ def select_new(
     return attach_time(rows, times, round_down=round_down)
 
 
-def subscription_flag(tx: DataFrame, periods: DataFrame) -> DataFrame:
+def subscription_flag(tx: DataFrame, periods: DataFrame, period_bin: str | None = None) -> DataFrame:
     """Left join to the price periods of the brand; flag 1 when the amount and day fit one.
 
     Brand and exact amount are the hash keys, the half-open date range a residual
-    condition.  A transaction in two overlapping periods comes out twice.
+    condition.  A transaction in two overlapping periods comes out twice.  Where a price has very many periods,
+    ``period_bin`` ("week", "month", "year") adds the bin of the day to the keys, see :func:`binned`.
     """
     p = periods.select(
         F.col("BrandID").alias("_brand"),
@@ -89,7 +90,12 @@ def subscription_flag(tx: DataFrame, periods: DataFrame) -> DataFrame:
         & (tx["TranDate"] < p["_end"])
     )
     flag = F.when(F.col("_brand").isNull(), 0).otherwise(1)
-    return tx.join(p, fits, "left").select(*tx.columns, flag.alias("subscription_flag"))
+    if period_bin is None:
+        return tx.join(p, fits, "left").select(*tx.columns, flag.alias("subscription_flag"))
+    columns, bins = tx.columns, binned(p, "_start", "_end", tx, "TranDate", period_bin, "_period_bin")
+    tx = tx.withColumn("_day_bin", F.date_trunc(period_bin, "TranDate").cast("date"))
+    same_bin = fits & (F.col("_day_bin") == F.col("_period_bin"))
+    return tx.join(bins, same_bin, "left").select(*columns, flag.alias("subscription_flag"))
 
 
 def enrich_card(
@@ -101,6 +107,7 @@ def enrich_card(
     publisher: int = 1,
     in_program_for: str = "all",
     rows_per_split: int | None = None,
+    period_bin: str | None = None,
 ) -> DataFrame:
     """Star join of transactions to customer, merchant, category and subscription.
 
@@ -132,7 +139,7 @@ def enrich_card(
         joined = salted_join(joined, shops, ["ConsumerCombinationID"], "inner", ROW_KEY, by_merchant)
     if in_program_for == "backfill":
         joined = joined.where(~F.col("IsBackfill") | (F.col("inprogram") == 1))
-    return subscription_flag(joined, periods).select(
+    return subscription_flag(joined, periods, period_bin).select(
         *tx.columns,
         "BrandID",
         "subscription_flag",

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cardloom.functions.joins import anti, hot_keys, neighbour, not_in, salted_join, with_group_values
+from cardloom.functions.joins import anti, binned, hot_keys, neighbour, not_in, salted_join, with_group_values
+from cardloom.operators.card import subscription_flag
 from tests.conftest import rows
 
 
@@ -78,3 +79,26 @@ def test_neighbour_equals_a_window(frame, following, unit):
     plain = df.withColumn("n", near("v").over(Window.partitionBy("k").orderBy("at", "i")))
     got = neighbour(df, "v", "k", ["at", "i"], F.date_trunc(unit, "at"), "n", following=following)
     assert rows(got) == rows(plain)
+
+
+@pytest.mark.parametrize("unit", ["day", "week", "month", "year"])
+def test_periods_in_bins_equal_the_plain_join(spark, unit):
+    rnd = random.Random(unit)
+    day = lambda: date(2023, 1, 1) + timedelta(days=rnd.randrange(700))
+    tx = [(i, rnd.choice([1, 2, None]), 5, rnd.choice([None, day(), day()])) for i in range(120)]
+    periods = [(rnd.choice([1, 2, None]), 5, day(), rnd.choice([None, day(), day()])) for _ in range(60)]
+    t = spark.createDataFrame(tx, "id int, BrandID int, Amount int, TranDate date")
+    p = spark.createDataFrame(periods, "BrandID int, Amount int, startdate date, enddate date")
+    assert rows(subscription_flag(t, p, period_bin=unit)) == rows(subscription_flag(t, p))
+    assert subscription_flag(t.limit(0), p, period_bin=unit).count() == 0
+
+
+def test_many_periods_of_a_price_are_spread_over_bins(spark):
+    # 10,000 periods of one price over 27 years: no bin has more than the 31 that touch a month.
+    p = spark.range(10_000).select(F.lit(1).alias("BrandID"), F.lit(5).alias("Amount"), F.expr("date_add(date'1996-01-01', cast(id as int))").alias("startdate"))
+    p = p.withColumn("enddate", F.date_add("startdate", 1))
+    t = p.select(F.monotonically_increasing_id().alias("id"), "BrandID", "Amount", F.col("startdate").alias("TranDate"))
+    bins = binned(p, "startdate", "enddate", t, "TranDate", "month", "bin")
+    assert bins.count() == 10_000 and bins.groupBy("bin").count().agg(F.max("count")).first()[0] == 31
+    found = subscription_flag(t, p, period_bin="month")
+    assert found.count() == 10_000 and found.where("subscription_flag = 0").count() == 0

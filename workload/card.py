@@ -10,7 +10,7 @@ from cardloom.config import RunContext
 from cardloom.functions.compat import half_hour, time_text
 from cardloom.functions.joins import union_all
 from cardloom.functions.keys import tran_sequence_id
-from cardloom.operators import card, incremental as inc
+from cardloom.operators import card, incremental as inc, row_runs
 from cardloom.plans import card as plan
 from workload.registry import query
 from workload.roles import AS_OF, Roles
@@ -71,6 +71,29 @@ def _(r: Roles):
     return inc.exclude_logged(tx, r.row_log, r.row_log_detailed, prune_by="FileID")
 
 
+@query(
+    "exclude_logged_runs_a2",
+    """SELECT FileID, RowNum, CINID, Amount FROM {card_tx} t
+       WHERE NOT EXISTS (SELECT 1 FROM {row_log} l WHERE l.FileID = t.FileID AND l.RowNum = t.RowNum)
+         AND NOT EXISTS (SELECT 1 FROM {row_log_detailed} l WHERE l.FileID = t.FileID AND l.RowNum = t.RowNum)""",
+)
+def _(r: Roles):
+    tx = r.card_tx.select(*KEYS, "CINID", "Amount")
+    return inc.exclude_logged(tx, row_runs.row_runs(r.row_log), row_runs.row_runs(r.row_log_detailed), prune_by="FileID")
+
+
+@query(
+    "append_row_runs_a3",
+    """WITH rows AS (SELECT FileID, RowNum FROM {row_log} UNION SELECT FileID, RowNum FROM {debit_holding}
+            UNION SELECT FileID, RowNum FROM {credit_holding}),
+        numbered AS (SELECT FileID, RowNum, RowNum - row_number() OVER (PARTITION BY FileID ORDER BY RowNum) AS island
+            FROM rows WHERE FileID IS NOT NULL AND RowNum IS NOT NULL)
+       SELECT FileID, CAST(min(RowNum) AS BIGINT) AS FirstRow, CAST(max(RowNum) AS BIGINT) AS LastRow FROM numbered GROUP BY FileID, island""",
+)
+def _(r: Roles):
+    return row_runs.append_runs(row_runs.row_runs(r.row_log), r.debit_holding, r.credit_holding)
+
+
 @query(
     "append_row_log_a3",
     """SELECT FileID, RowNum FROM {row_log} UNION ALL
@@ -238,6 +261,26 @@ def _(r: Roles):
     return card.subscription_flag(branded.select(*KEYS, "BrandID", "Amount", "TranDate"), r.periods)
 
 
+@query(
+    "subscription_flag_binned_b6",
+    """WITH more AS (SELECT BrandID, Amount, startdate, enddate FROM {periods} UNION ALL
+           SELECT BrandID, Amount, startdate + CAST(20 * i AS INTEGER), startdate + CAST(20 * i + 30 AS INTEGER) FROM {periods}, range(60) r(i))
+       SELECT t.FileID, t.RowNum, m.BrandID, t.Amount, t.TranDate, CASE WHEN s.BrandID IS NULL THEN 0 ELSE 1 END AS subscription_flag
+       FROM {card_tx} t JOIN {merchants} m USING (ConsumerCombinationID)
+       LEFT JOIN more s ON s.BrandID = m.BrandID AND s.Amount = t.Amount AND t.TranDate >= s.startdate
+            AND t.TranDate < COALESCE(s.enddate, DATE '2100-01-01')""",
+)
+def _(r: Roles):
+    """Sixty overlapping periods of a month more for each price."""
+    shift = F.explode(F.sequence(F.lit(0), F.lit(59))).alias("i")
+    more = r.periods.select("BrandID", "Amount", "startdate", shift).select(
+        "BrandID", "Amount", F.expr("date_add(startdate, 20 * i)").alias("startdate"), F.expr("date_add(startdate, 20 * i + 30)").alias("enddate")
+    )
+    periods = r.periods.select("BrandID", "Amount", "startdate", "enddate").unionByName(more)
+    branded = r.card_tx.join(r.merchants.select("ConsumerCombinationID", "BrandID"), "ConsumerCombinationID")
+    return card.subscription_flag(branded.select(*KEYS, "BrandID", "Amount", "TranDate"), periods, period_bin="month")
+
+
 FEED = """
     SELECT TranSequenceID, ConsumerCombinationID, CardholderPresentData, CINID, Amount, IsOnline, PaymentTypeID, TranDate,
            BrandID, subscription_flag, publisherid, mcc, {mid} AS mid, currentagebandtext, TranTime, {more}
