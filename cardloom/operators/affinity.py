@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.functions.joins import anti, semi
 from cardloom.functions.keys import proxy_user_hash, row_checksum
+from cardloom.sources.buckets import BucketedState
 
 POPULATION = (
     "FanID",
@@ -92,3 +93,26 @@ def upsert_changed(target: DataFrame, source: DataFrame) -> DataFrame:
     kept = target.join(latest, "FanID", "left").select(*[columns.get(c, F.col(c)) for c in target.columns])
     added = anti(anti(source, target, ["FanID"]), target, ["CINID"]).withColumn("isNew", F.lit(1))
     return kept.unionByName(added.select(*target.columns))
+
+
+def changed_customers(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows of the new state that are not in the old one: known customers with another checksum, and new ones.
+
+    The same as :func:`upsert_changed` without what stays.  Of ``target`` only the ids and the checksum are
+    read before the rows of changed customers are fetched.
+    """
+    latest = source.groupBy("FanID").agg(F.min(F.struct("Chksum", "PostcodeDistrict", "PostalArea")).alias("_new"))
+    stale = target.select("FanID", "Chksum").join(latest, "FanID").where(F.col("_new.Chksum") != F.col("Chksum"))
+    moved = target.join(stale.select("FanID").distinct(), "FanID", "left_semi")
+    added = anti(anti(source, target, ["FanID"]), target, ["CINID"])
+    return upsert_changed(moved, semi(source, moved, ["FanID"])).unionByName(
+        added.withColumn("isNew", F.lit(1)).select(*target.columns)
+    )
+
+
+def upsert_changed_state(state: BucketedState, source: DataFrame, version: str, stage: Callable[[DataFrame, str], DataFrame]) -> list[int]:
+    """The customer table as a bucketed state by ``FanID``: only buckets with a changed or new customer are rewritten.
+
+    ``stage`` writes the changed rows, which are used twice.
+    """
+    return state.upsert(stage(changed_customers(state.read(), source), "changed-customers"), version)

@@ -17,6 +17,7 @@ from cardloom.functions.keys import (
     merchant_tuple_hash,
     without_commas,
 )
+from cardloom.sources.buckets import BucketedState
 
 
 def clean_narratives_incremental(
@@ -125,6 +126,22 @@ def upsert_merchants(target: DataFrame, source: DataFrame) -> DataFrame:
     return kept.select(*target.columns).unionByName(added.select(*target.columns))
 
 
+def changed_merchants(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The rows that :func:`upsert_merchants` adds or changes, with all rows of their ids."""
+    known = target.select("ConsumerCombinationID", F.col("BrandID").alias("_old"))
+    brands = source.groupBy("ConsumerCombinationID").agg(F.min("BrandID").alias("_brand"))
+    moved = known.join(brands, "ConsumerCombinationID").where(F.col("_brand") != F.col("_old"))
+    theirs = semi(target, moved, ["ConsumerCombinationID"])
+    wanted = source.join(known.select("ConsumerCombinationID").distinct().withColumn("_known", F.lit(True)), "ConsumerCombinationID", "left")
+    new = wanted.where(F.col("_known").isNull()).select(*source.columns)
+    return upsert_merchants(theirs, semi(source, moved, ["ConsumerCombinationID"]).unionByName(new))
+
+
+def upsert_merchants_state(state: BucketedState, source: DataFrame, version: str, stage: Callable[[DataFrame, str], DataFrame]) -> list[int]:
+    """The merchant table as a bucketed state by id: only buckets with an added or rebranded merchant are rewritten."""
+    return state.upsert(stage(changed_merchants(state.read(), source), "changed-merchants"), version)
+
+
 def merchant_scope(
     merchants: DataFrame, brands: DataFrame, sectors: DataFrame, mcc: DataFrame, scope: MerchantScope
 ) -> DataFrame:
@@ -145,6 +162,48 @@ def merchant_scope(
     return flagged.where(wanted).select(*merchants.columns).distinct()
 
 
+GRAM = 3
+
+
+def grams(text: Column, size: int = GRAM) -> Column:
+    """Distinct pieces of ``size`` characters of a text."""
+    n = F.char_length(text)
+    return F.when(n >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substring(text, i, F.lit(size)))))
+
+
+def longest_literal(pattern: Column) -> Column:
+    """The longest text without wildcards and escapes in a LIKE pattern."""
+    parts = F.split(pattern, r"\\.|[%_]")
+    return F.aggregate(parts, F.lit(""), lambda best, p: F.when(F.char_length(p) > F.char_length(best), p).otherwise(best))
+
+
+def match_rules(df: DataFrame, rules: DataFrame, column: str, key: str) -> DataFrame:
+    """(key, rule): which LIKE rules (rule, pattern) a text matches, without case, for any number of rules.
+
+    A rule is filed under the piece of its longest literal that the fewest texts have, and a text looks up its own pieces;
+    what meets there is verified by the pattern.  A rule whose literals are shorter than ``GRAM`` characters is filed under
+    the empty piece, which every text has.  The plan does not grow with the rules.  NULLs match nothing.
+    """
+    texts = df.select(F.col(key), F.lower(column).alias("_text")).where(F.col("_text").isNotNull())
+    patterns = rules.where(F.col("pattern").isNotNull()).select("rule", F.lower("pattern").alias("_pattern")).distinct()
+    none = F.array(F.lit(""))
+    filed = patterns.select("rule", "_pattern", F.explode(F.coalesce(grams(longest_literal(F.col("_pattern"))), none)).alias("_gram"))
+    wanted = filed.select("_gram").distinct()
+    pieces = texts.select(key, "_text", F.explode(F.concat(none, F.coalesce(grams(F.col("_text")), F.array().cast("array<string>")))).alias("_gram"))
+    pieces = pieces.join(wanted, "_gram", "left_semi")
+    often = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_often"))
+    place = F.struct(F.coalesce("_often", F.lit(0)).alias("n"), "_gram")
+    index = filed.join(often, "_gram", "left").groupBy("rule", "_pattern").agg(F.min(place).alias("_least"))
+    index = index.select("rule", "_pattern", F.col("_least._gram").alias("_gram"))
+    met = pieces.join(index, "_gram").where(F.like("_text", F.col("_pattern")))
+    return met.select(key, "rule").distinct()
+
+
+def without_matches(df: DataFrame, rules: DataFrame, column: str, key: str) -> DataFrame:
+    """Rows whose text matches no rule; the same as a chain of LIKE, by the index of the rules."""
+    return anti(df, match_rules(df, rules, column, key), [key])
+
+
 def narrative_rules(df: DataFrame, rules: NarrativeRules) -> DataFrame:
     """Merchants kept by the narrative rules.
 

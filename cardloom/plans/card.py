@@ -17,7 +17,7 @@ from cardloom.operators.incremental import (
     exclude_logged,
     incremental_append,
     is_purge_day,
-    log_rows,
+    log_like,
     newly_eligible,
     purge,
     save_eligible_flag,
@@ -25,12 +25,16 @@ from cardloom.operators.incremental import (
 )
 from cardloom.plans.run_log import Deliver, deliver_logged
 from cardloom.sources.files import export_feed
+from cardloom.sources.publish import publish
 from cardloom.sources.tables import append_run, empty_staged, refuse_repeat, staged, write_version
 
 
 @dataclass(frozen=True)
 class CardTables:
-    """Inputs of both card feeds; ``customers`` is the customer feed table."""
+    """Inputs of both card feeds; ``customers`` is the customer feed table.
+
+    Row logs have a row per delivered row, or are kept as runs of rows; a run appends to a log in its own form.
+    """
 
     debit_holding: DataFrame
     credit_holding: DataFrame
@@ -112,7 +116,7 @@ def run_card_feed(
 
     The backfill and the enriched rows each feed several outputs and are written
     once.  The row log comes last: a run that fails before is repeated in full, and a
-    run that is in the log is not repeated at all.  ``deliver`` sends the files off; if its output
+    run that is in the log is not repeated at all.  Readers of several outputs ask the manifest under ``published``.  ``deliver`` sends the files off; if its output
     tells of an error, the lines and a summary are kept and the rows are not logged.
     """
     name = "detailed" if detailed else "standard"
@@ -136,7 +140,9 @@ def run_card_feed(
         if is_purge_day(run.as_of):
             for kind, table in (("debit_holding", t.debit_holding), ("credit_holding", t.credit_holding)):
                 paths[kind] = write_version(purge(table), f"{out}/{kind}", run.run_id)
-    append_run(log_rows(rows), log_path, run.run_id)
+    # The files are complete: one manifest makes them visible together, and the log says that they are delivered.
+    publish(spark, f"{out}/published/{name}", run.run_id, paths, again=True)
+    append_run(log_like(t.detailed_row_log if detailed else t.row_log, rows), log_path, run.run_id)
     empty_staged(spark, f"{name}-", run.run_id, work)
     return paths
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cardloom.config import RunContext
@@ -15,7 +16,9 @@ from cardloom.functions.keys import clean_narrative
 from cardloom.operators.address import address_candidates, refresh_cohorts
 from cardloom.operators.customer import customer_feed, customer_profile
 from cardloom.operators.history import (
+    HistoryState,
     address_history,
+    advance_history,
     base_events,
     changed_rows,
     external_id_map,
@@ -30,7 +33,9 @@ from cardloom.operators.merchant import (
     merchant_keys,
     upsert_merchants,
 )
-from cardloom.sources.files import import_files
+from cardloom.plans.run_log import Deliver, deliver_logged, log_delivery
+from cardloom.sources.files import export_exact, import_files, import_split
+from cardloom.sources.publish import publish, published, refuse_published, versions
 from cardloom.sources.tables import empty_staged, empty_tables, staged, work_dir, write_version
 
 
@@ -176,6 +181,105 @@ def run_address_history(
     return path
 
 
-def run_cohort_ingest(spark: SparkSession, path: str, schema: StructType | str, run: RunContext, out: str, **options: str) -> str:
-    """Read a partner's file of hashed addresses and their cohorts, strictly, as the new cohort table."""
-    return write_version(import_files(spark, path, schema, **options), f"{out}/cohorts", run.run_id)
+def address_state(spark: SparkSession, root: str, key: str = "CustomerGUID") -> HistoryState | None:
+    """The last published state of the daily address history under ``root``; None before the first run."""
+    paths = published(spark, f"{root}/versions")
+    if not paths:
+        return None
+    closed = spark.read.parquet(*paths["closed"])
+    renewed = spark.read.parquet(*paths["renewed"]).groupBy(key).agg(F.max("_run").alias("_since"))
+    closed = closed.join(renewed, key, "left").where("_since is null or _run >= _since").drop("_run", "_since")
+    return HistoryState(spark.read.parquet(*paths["carried"]), spark.read.parquet(*paths["open"]), closed)
+
+
+def run_address_history_daily(
+    spark: SparkSession, events: DataFrame, start: date, run: RunContext, root: str, tie: Sequence[str], work: str | None = None
+) -> dict[str, list[str]]:
+    """Advance the address history by the events loaded since the last run.
+
+    Closed rows are appended; where a customer's are made anew, the run says so and readers skip the former ones.  The last
+    and the open row of every customer are a new version.  One manifest makes all of it visible at the end,
+    so a run that fails is repeated; a run that is published is refused.
+    """
+    refuse_published(spark, f"{root}/versions", run.run_id)
+    before, number = published(spark, f"{root}/versions"), len(versions(spark, f"{root}/versions")) + 1
+    stage = lambda df, what: staged(df, f"history-{what}", run.run_id, work)
+    change = advance_history(address_state(spark, root), events, start, stage, tie=tie)
+    marked = lambda df: df.withColumn("_run", F.lit(number))
+    paths = {
+        "carried": [write_version(change.carried, f"{root}/carried", run.run_id)],
+        "open": [write_version(change.open, f"{root}/open", run.run_id)],
+        "closed": [*before.get("closed", []), write_version(marked(change.closed), f"{root}/closed", run.run_id)],
+        "renewed": [*before.get("renewed", []), write_version(marked(change.renewed), f"{root}/renewed", run.run_id)],
+    }
+    publish(spark, f"{root}/versions", run.run_id, paths)
+    empty_staged(spark, "history-", run.run_id, work)
+    return paths
+
+
+def daily_address_history(t: AddressTables, state: HistoryState, sources: Sequence[str]) -> DataFrame:
+    """The address history table of a state; ``t.events`` is not read."""
+    external = external_id_map(t.external_ids, sources)
+    open_end = F.lit(None).cast(state.open.schema["UpdatedAt"].dataType)
+    rows = state.closed.unionByName(state.open.withColumn("NextUpdatedAt", open_end))
+    kept = history_rows(state.open, external, t.id_map)
+    missing = missing_from_history(t.pii, t.id_map, state.carried, kept, t.duplicates, t.excluded)
+    return address_history(history_rows(rows, external, t.id_map), missing)
+
+
+def run_cohort_ingest(spark: SparkSession, path: str, schema: StructType | str, run: RunContext, out: str, **more) -> str:
+    """Read a partner's file of hashed addresses and their cohorts as the new cohort table, see :func:`run_ingest`."""
+    return run_ingest(spark, path, schema, run, out, "cohorts", 5, **more)
+
+
+def run_default_ingest(spark: SparkSession, path: str, schema: StructType | str, run: RunContext, out: str, **more) -> str:
+    """Read a partner's file of postcodes and their default cohorts as the new table of defaults, see :func:`run_ingest`."""
+    return run_ingest(spark, path, schema, run, out, "cohort_defaults", 6, **more)
+
+
+def run_ingest(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    run: RunContext,
+    out: str,
+    name: str,
+    number: int,
+    output: str | None = None,
+    most_bad: float | None = None,
+    work: str | None = None,
+    **options: str,
+) -> str:
+    """Read partner files as a new version of table ``name`` and return its path.
+
+    ``output`` is the console output of the transfer: it becomes log lines, and an error there stops the run before a file is
+    read.  Without ``most_bad`` a single bad row fails the read; with it, bad rows are kept in ``<name>_rejects``.
+    """
+    if output is not None:
+        log_delivery(spark, output, number, run, out, work=work)
+    if most_bad is None:
+        return write_version(import_files(spark, path, schema, **options), f"{out}/{name}", run.run_id)
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    split = import_split(spark, path, schema, f"{run.run_id}/{name}", most_bad, work, **options)
+    write_version(split.rejects, f"{out}/{name}_rejects", run.run_id)
+    target = write_version(split.good, f"{out}/{name}", run.run_id)
+    empty_staged(spark, "", f"{run.run_id}/{name}", work)
+    return target
+
+
+def run_cohort_export(
+    spark: SparkSession,
+    state: DataFrame,
+    run: RunContext,
+    out: str,
+    rows_per_file: int = 2_000_000,
+    deliver: Deliver | None = None,
+    work: str | None = None,
+) -> str:
+    """Export the current cohort of every customer for the partner, in exactly as many files as it takes, and log the delivery."""
+    current = state.where(F.col("isCurrentCohort") == 1).select("CINID", "microcell_id", "HashedAddress", "loadDate")
+    target = export_exact(current, f"{out}/cohort_export/run={run.run_id}", run.today, rows_per_file, run_id=run.run_id, work=work)
+    deliver_logged(spark, deliver, target, 3, run, out, work)
+    empty_staged(spark, "export", run.run_id, work)
+    return target

@@ -21,7 +21,8 @@ from cardloom.operators.direct_debit import (
 )
 from cardloom.operators.incremental import log_rows
 from cardloom.plans.run_log import Deliver, deliver_logged
-from cardloom.sources.files import export_feed
+from cardloom.sources.files import export_exact, export_feed
+from cardloom.sources.publish import publish
 from cardloom.sources.tables import append_run, empty_staged, refuse_repeat, staged, write_version
 
 
@@ -70,7 +71,7 @@ def run_direct_debit(
     """One direct-debit run; rows are logged only after the export has succeeded.
 
     Taxonomy and merchant details share one list of masked brands, the two merchant tables the
-    other.  Details look at the transactions of the programme, not at those of the feed.
+    other.  The mapping is exported in as many files as the table of their number says.  Details look at the transactions of the programme, not at those of the feed.
     """
     log_path = f"{out}/dd_row_log"
     refuse_repeat(t.row_log.sparkSession, log_path, run.run_id)
@@ -104,8 +105,11 @@ def run_direct_debit(
         "dd_merchants_by_id": dd_merchants(t.merchants, t.brands, t.merchant_mask, keyed_by_id=True),
     }
     paths = {name: write_version(df, f"{out}/{name}", run.run_id) for name, df in tables.items()}
+    paths["proxy_mapping_export"] = export_exact(mapping, f"{out}/proxy_mapping_export/run={run.run_id}", run.today, run_id=run.run_id, work=work)
     paths["feed"] = export_feed(feed, f"{out}/dd_feed/run={run.run_id}", run.today)
     deliver_logged(t.row_log.sparkSession, deliver, paths["feed"], 4, run, out, work)
+    publish(t.row_log.sparkSession, f"{out}/published/direct_debit", run.run_id, paths, again=True)
     append_run(log_rows(feed, processed_at=run.as_of), log_path, run.run_id)
     empty_staged(t.row_log.sparkSession, "dd-", run.run_id, work)
+    empty_staged(t.row_log.sparkSession, "export", run.run_id, work)
     return paths

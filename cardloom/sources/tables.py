@@ -78,15 +78,28 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(f.getPath().toString()) for f in found or [])
 
 
+class LeftBehind(RuntimeError):
+    """Folders that could not be emptied."""
+
+
 def empty_tables(spark: SparkSession, pattern: str) -> list[str]:
-    """Replace every Parquet table that matches by one with its columns and no rows.
+    """Replace every table that matches by one without rows, whatever an interrupted write has left there.
 
-    The schema comes from a footer; no row is read.
+    The columns come from a footer, if there is one; no row is read, and all files below a folder go with the write
+    that replaces it.  A folder that cannot be emptied does not keep the others from it; the error comes at the end.
     """
-    paths = folders(spark, pattern)
+    paths, failed = folders(spark, pattern), {}
     for path in paths:
-        schema = spark.read.parquet(path).schema
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        try:
+            schema = spark.read.parquet(path).schema
+        except Exception:  # noqa: BLE001 - no table, or one cut short: it goes all the same
+            schema = "emptied string"
+        try:
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        except Exception as error:  # noqa: BLE001 - whatever it is, the other folders come first
+            failed[path] = error
+    if failed:
+        raise LeftBehind(f"not emptied: {', '.join(failed)}") from next(iter(failed.values()))
     return paths
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import DirectDebitConfig, MerchantScope, NarrativeRules
 from cardloom.operators import affinity, customer, direct_debit as dd, merchant, quarantine as q
+from cardloom.operators.merchant import match_rules, without_matches
 from tests.conftest import rows
 
 AS_OF = datetime(2024, 3, 31, 4, 0, 0)
@@ -235,3 +237,28 @@ def test_proxy_mapping_adds_customers_of_no_source(frame):
     )
     assert rows(got) == sorted([(1, "0A", "acc"), (2, None, None), (7, "N", "x")], key=repr)
     assert got.where(F.col("ProxyUserID") == 3).count() == 0
+
+
+def test_rule_index_equals_the_chain(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcAB %_") for _ in range(rnd.randint(0, 7)))
+    texts = [(i, rnd.choice([None, word(), word() + " shop " + word(), "10% off", "a\\b"])) for i in range(80)]
+    patterns = ["%" + word() + "%" for _ in range(40)] + [word() for _ in range(20)] + ["%SHOP%", "", "%", "_", "10\\% %", "%a_b%", "shop", "%zzz%"]
+    df = spark.createDataFrame(texts, "id int, Narrative string")
+    rules = spark.createDataFrame([*enumerate(patterns), (99, None)], "rule int, pattern string")
+    wanted = [r for i, p in enumerate(patterns) for r in df.where(F.col("Narrative").ilike(p)).select("id", F.lit(i)).collect()]
+    assert rows(match_rules(df, rules, "Narrative", "id")) == sorted(map(tuple, wanted), key=repr)
+    hit = {r[0] for r in wanted}
+    assert [r["id"] for r in without_matches(df, rules, "Narrative", "id").orderBy("id").collect()] == [i for i, _ in texts if i not in hit]
+
+
+def test_the_plan_does_not_grow_with_the_rules(spark, tmp_path):
+    spark.range(2_000).select("id", F.concat(F.lit("merchant "), "id").alias("Narrative")).write.parquet(f"{tmp_path}/m")
+    df, size = spark.read.parquet(f"{tmp_path}/m"), []
+    for n in (10, 10_000):
+        spark.range(n).select(F.col("id").alias("rule"), F.concat(F.lit("%ant "), F.col("id") + 1_000).alias("pattern")).write.parquet(f"{tmp_path}/r{n}")
+        found = match_rules(df, spark.read.parquet(f"{tmp_path}/r{n}"), "Narrative", "id")
+        size.append(len(found._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        assert found.count() == min(n, 1_000)
+    assert size[0] == size[1]
+

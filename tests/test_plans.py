@@ -13,13 +13,15 @@ from cardloom.config import RunContext
 from cardloom.functions.joins import in_ranges, key_ranges, within
 from cardloom.operators import direct_debit as dd
 from cardloom.operators.incremental import exclude_logged
+from cardloom.operators.row_runs import expanded, row_runs
 from cardloom.operators.run_log import flag_error_runs
 from cardloom.plans import card as card_plan
 from cardloom.plans import dimensions as dims
 from cardloom.plans import direct_debit as dd_plan
 from cardloom.plans import quarantine as q_plan
 from cardloom.plans import run_log as log_plan
-from cardloom.sources.files import export_feed, import_files, read_run_output
+from cardloom.sources.files import TooManyRejects, export_feed, exported_files, import_files, import_split, read_run_output
+from cardloom.sources.publish import published
 from cardloom.sources.tables import folders, read_table, staged, work_dir, write_version
 from tests.conftest import rows
 from workload import addresses, customers, direct_debit
@@ -257,6 +259,68 @@ def test_cohort_ingest_and_staging(spark, r, tmp_path):
     assert read_table(spark, paths["credit"]).count() == r.credit_holding.count()
 
 
+def test_bad_rows_are_put_aside(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    good = [f"h{i},{i},2024-01-{i % 28 + 1:02d}" for i in range(200)]
+    (folder / "a.csv").write_text("\n".join([*good[:50], "x,notanumber,2024-01-01", *good[50:90], "short,1", '"q,1",2,later', *good[90:]]) + "\n")
+    (folder / "b.csv").write_text('a,1,2024-01-01,more\n"ok, too",7,\n')
+    schema = spark.createDataFrame([], "hashed_address string, cohort_id int, d date").schema
+    split = import_split(spark, str(folder), schema, "one", most_bad=0.05)
+    assert split.good.count() == 201 and split.good.schema == schema
+    found = sorted((r["file"].rsplit("/", 1)[1], r["record"], r["reason"], r["line"]) for r in split.rejects.collect())
+    assert found == [
+        ("a.csv", 51, "cohort_id", "x,notanumber,2024-01-01"),
+        ("a.csv", 92, "fields", "short,1"),
+        ("a.csv", 93, "d", '"q,1",2,later'),
+        ("b.csv", 1, "fields", "a,1,2024-01-01,more"),
+    ]
+    with pytest.raises(TooManyRejects, match="4 of 205"):
+        import_split(spark, str(folder), schema, "two", most_bad=0.01)
+
+
+def test_ingest_of_both_partner_files_is_logged(spark, tmp_path):
+    folder, said, out = tmp_path / "in", tmp_path / "said", str(tmp_path / "out")
+    folder.mkdir()
+    said.mkdir()
+    (folder / "a.csv").write_text("AB1 2CD,5\nbad,x\nXY9 8ZZ,6\n")
+    (said / "a.txt").write_text("one file\n")
+    run, schema = RunContext("one", AS_OF), "Postcode_Trim string, cohort_ID int"
+    with pytest.raises(Exception):
+        dims.run_default_ingest(spark, str(folder), schema, run, out)
+    path = dims.run_default_ingest(spark, str(folder), schema, run, out, output=str(said), most_bad=0.5)
+    assert rows(read_table(spark, path)) == [("AB1 2CD", 5), ("XY9 8ZZ", 6)]
+    assert spark.read.parquet(f"{out}/cohort_defaults_rejects").first()["line"] == "bad,x"
+    assert spark.read.parquet(f"{out}/run_log").first()["Msg"] == "one file"
+    (said / "a.txt").write_text("Traceback\n")
+    with pytest.raises(log_plan.ExportFailed):
+        dims.run_cohort_ingest(spark, str(folder), schema, RunContext("two", AS_OF), out, output=str(said))
+    assert not folders(spark, f"{out}/cohorts/*")
+
+
+def test_cohorts_are_exported_for_the_partner(spark, r, tmp_path):
+    state = addresses.state(r)
+    said = tmp_path / "said"
+    said.mkdir()
+    (said / "a.txt").write_text("sent\n")
+    target = dims.run_cohort_export(spark, state, RunContext("one", AS_OF), str(tmp_path / "out"), rows_per_file=100, deliver=lambda path: str(said))
+    current = state.where("isCurrentCohort = 1").count()
+    assert spark.read.parquet(target).count() == current > 0
+    assert exported_files(spark, target).count() == -(-current // 100)
+    assert spark.read.parquet(f"{tmp_path}/out/run_log").count() == 1
+
+
+def test_a_run_with_a_log_of_runs_delivers_the_same(spark, r, tmp_path):
+    t = card_tables(r)
+    plain = card_plan.run_card_feed(spark, t, RunContext("one", AS_OF), str(tmp_path / "a"))
+    runs = dataclasses.replace(t, row_log=row_runs(t.row_log))
+    other = card_plan.run_card_feed(spark, runs, RunContext("one", AS_OF), str(tmp_path / "b"))
+    assert rows(read_table(spark, other["feed"])) == rows(read_table(spark, plain["feed"]))
+    logged = spark.read.parquet(f"{tmp_path}/b/standard_row_log").drop("run")
+    assert rows(expanded(logged)) == rows(spark.read.parquet(f"{tmp_path}/a/standard_row_log").select("FileID", F.col("RowNum").cast("long")).distinct())
+    assert published(spark, f"{tmp_path}/b/published/standard")["feed"] == [other["feed"]]
+
+
 def test_log_ids_do_not_repeat_over_files(spark, tmp_path):
     for name, text in (("a", "one\n\ntwo\n"), ("b", "three\nfour"), ("c", "five\n")):
         (tmp_path / f"{name}.txt").write_text(text)

@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.config import RunContext
 from cardloom.operators import address as a
 from cardloom.operators import history as h
-from cardloom.sources.tables import staged
+from cardloom.plans.dimensions import AddressTables, address_state, daily_address_history, run_address_history_daily
+from cardloom.sources.tables import staged, work_dir
 from workload.registry import query
 from workload.roles import AS_OF, EVENTS_FROM, Roles
 
@@ -294,3 +296,22 @@ def _(r: Roles):
 def _(r: Roles):
     rows = changed(r)
     return h.address_history(history(r, rows), missing(r, rows))
+
+
+@query(
+    "address_history_incremental_i5",
+    CHANGED
+    + """ SELECT DISTINCT CINID, CustomerAddress1, CustomerAddress2, CustomerAddress3, PostCode, UpdatedAt, NextUpdatedAt FROM history
+          UNION ALL SELECT DISTINCT CINID, Address1, Address2, NULL, PostCode, NULL, NULL FROM missing""",
+)
+def _(r: Roles):
+    """The same table from three runs, each over the events loaded since the one before."""
+    root = f"{work_dir(r.spark)}/history-{uuid.uuid4().hex}"
+    cuts = r.address_events.agg(F.percentile_approx(F.col("LoadDate").cast("timestamp"), [0.4, 0.8]).alias("q")).first()["q"]
+    loaded = F.col("LoadDate").cast("timestamp")
+    for i, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+        since = r.address_events if low is None else r.address_events.where(loaded > F.lit(low))
+        part = since if high is None else since.where(loaded <= F.lit(high))
+        run_address_history_daily(r.spark, part, EVENTS_FROM, RunContext(f"day-{i}", AS_OF), root, TIE, work=f"{root}/work")
+    t = AddressTables(r.address_events, r.external_ids, r.id_map, r.pii, r.duplicate_ids, r.excluded_ids)
+    return daily_address_history(t, address_state(r.spark, root), SOURCES)

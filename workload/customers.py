@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cardloom.config import AffinityConfig
 from cardloom.functions.keys import coded_label, postal_sector, postcode_key
 from cardloom.operators import affinity, customer as cust
 from cardloom.plans.quarantine import affinity_source
+from cardloom.sources.buckets import BucketedState
+from cardloom.sources.tables import staged, work_dir
 from workload.registry import query
 from workload.roles import Roles
 
@@ -245,3 +249,28 @@ def _(r: Roles):
         {"PostcodeDistrict": F.expr(MOVED.format("PostcodeDistrict")), "isNew": F.lit(0)}
     )
     return affinity.upsert_changed(affinity.row_checksums(earlier), source).drop("Chksum", "ProxyUserID")
+
+
+@query(
+    "change_upsert_bucketed_f5",
+    "WITH population AS ("
+    + POPULATION
+    + "), state AS ("
+    + STATE_SQL
+    + """) SELECT s.FanID, s.CompositeID, s.CINID, s.ClubID, p.PostcodeDistrict, s.SourceUID, s.rw, p.PostalArea, s.isNew
+           FROM state s JOIN population p USING (FanID)
+           UNION ALL
+           SELECT FanID, CompositeID, CINID, ClubID, PostcodeDistrict, SourceUID, rw, PostalArea, 1 FROM population p
+           WHERE FanID NOT IN (SELECT FanID FROM state) AND NOT EXISTS (SELECT 1 FROM state s WHERE s.CINID = p.CINID)""",
+)
+def _(r: Roles):
+    source = affinity_source(r.club_cards, r.id_map, r.consents, r.secondary_fans, AFFINITY)
+    earlier = source.where(F.col("ClubID").isin(11, 21)).withColumns(
+        {"PostcodeDistrict": F.expr(MOVED.format("PostcodeDistrict")), "isNew": F.lit(0)}
+    )
+    before = affinity.row_checksums(earlier)
+    name = f"customers-{uuid.uuid4().hex}"
+    state = BucketedState(r.spark, f"{work_dir(r.spark)}/{name}", before.schema, ("FanID",), buckets=16)
+    state.write(before, "before")
+    affinity.upsert_changed_state(state, source, "after", lambda df, what: staged(df, what, name))
+    return state.read().drop("Chksum", "ProxyUserID")

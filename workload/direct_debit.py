@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,8 @@ from cardloom.functions.compat import age_in_years
 from cardloom.functions.keys import dd_oin_base64, dd_tuple_key
 from cardloom.operators import direct_debit as dd
 from cardloom.plans.direct_debit import DirectDebitTables, direct_debit_rows
+from cardloom.sources.files import export_exact, exported_files
+from cardloom.sources.tables import work_dir
 from workload.customers import AGE_DETAILED as DETAILED_SQL
 from workload.registry import query
 from workload.roles import AS_OF, Roles
@@ -152,6 +155,21 @@ def _(r: Roles):
     return dd.export_file_count(mapping(r), rows_per_file=1000)
 
 
+@query(
+    "export_exact_files_h9",
+    "WITH mapping AS ("
+    + MAPPING
+    + """), n AS (SELECT count(*) AS n FROM mapping)
+       SELECT CAST(i AS INTEGER) AS file_id, CAST(least(700, n - 700 * i) AS BIGINT) AS rows, n AS read_back
+       FROM n, range((n + 699) // 700) f(i)""",
+)
+def _(r: Roles):
+    rows = mapping(r)
+    target = export_exact(rows.repartition(7), f"{work_dir(r.spark)}/mapping-export-{uuid.uuid4().hex}", AS_OF.date(), rows_per_file=700)
+    back = r.spark.read.schema(rows.schema).parquet(target).distinct().agg(F.count(F.lit(1)))
+    return exported_files(r.spark, target).select("file_id", "rows", back.scalar().alias("read_back"))
+
+
 TRANSACTIONS = """
     SELECT t.* FROM {dd_tx} t
     WHERE EXISTS (SELECT 1 FROM {people} p WHERE p.FanID = t.FanID AND t.TranDate < CASE

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cardloom.config import MerchantScope, NarrativeRules
 from cardloom.functions.keys import combo_id, combo_id_spaceless
 from cardloom.operators import merchant as m
+from cardloom.sources.buckets import BucketedState
+from cardloom.sources.tables import staged, work_dir
 from workload.registry import query
 from workload.roles import Roles
 
@@ -123,6 +127,48 @@ def _(r: Roles):
     return m.upsert_merchants(r.merchants_before, r.merchants)
 
 
+PATTERNS = """
+    SELECT DISTINCT '%' || substr(Narrative, 2, 5) || '%' AS pattern FROM {merchants} WHERE length(Narrative) > 3
+    UNION SELECT DISTINCT lower(substr(Narrative, 1, 6)) || '_%' FROM {merchants} UNION SELECT '%o%l%'"""
+
+
+@query(
+    "narrative_rule_index_d7",
+    "WITH rules AS ("
+    + PATTERNS
+    + """) SELECT ConsumerCombinationID, count(*) AS rules, min(pattern) AS first_rule
+           FROM (SELECT DISTINCT m.ConsumerCombinationID, r.pattern FROM {merchants} m JOIN rules r ON lower(m.Narrative) LIKE lower(r.pattern))
+           GROUP BY ConsumerCombinationID""",
+)
+def _(r: Roles):
+    name = F.col("Narrative")
+    patterns = (
+        r.merchants.where(F.length(name) > 3).select(F.concat(F.lit("%"), F.substring(name, 2, 5), F.lit("%")).alias("pattern"))
+        .union(r.merchants.select(F.concat(F.lower(F.substring(name, 1, 6)), F.lit("_%"))))
+        .union(r.spark.range(1).select(F.lit("%o%l%")))
+        .distinct()
+    )
+    found = m.match_rules(r.merchants, patterns.withColumn("rule", F.col("pattern")), "Narrative", "ConsumerCombinationID")
+    return found.groupBy("ConsumerCombinationID").agg(F.count(F.lit(1)).alias("rules"), F.min("rule").alias("first_rule"))
+
+
+@query(
+    "merchant_upsert_bucketed_d5",
+    """SELECT t.* REPLACE (CASE WHEN s.BrandID <> t.BrandID THEN s.BrandID ELSE t.BrandID END AS BrandID)
+       FROM {merchants_before} t LEFT JOIN {merchants} s USING (ConsumerCombinationID)
+       UNION ALL BY NAME
+       SELECT s.* REPLACE (replace(MID, ',', '') AS MID, replace(Narrative, ',', '') AS Narrative) FROM {merchants} s
+       WHERE ConsumerCombinationID NOT IN (SELECT ConsumerCombinationID FROM {merchants_before})""",
+)
+def _(r: Roles):
+    name = f"merchants-{uuid.uuid4().hex}"
+    before = r.merchants_before
+    state = BucketedState(r.spark, f"{work_dir(r.spark)}/{name}", before.schema, ("ConsumerCombinationID",), buckets=16)
+    state.write(before, "before")
+    m.upsert_merchants_state(state, r.merchants, "after", lambda df, what: staged(df, what, name))
+    return state.read()
+
+
 SCOPED = """
     SELECT c.* FROM {brands} b JOIN {sectors} s ON s.SectorID = b.SectorID JOIN {merchants} c ON c.BrandID = b.BrandID
     WHERE s.SectorGroupID = 3 OR b.BrandID IN (5, 17)
