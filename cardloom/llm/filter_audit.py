@@ -27,6 +27,8 @@ from cardloom.llm.shared import new_folder, pieces_for, same_text, staged
 COPY = "E"
 GOOD, TOXIC = 64, 128
 TEXTS_PER_STATE = 2_000
+#: State is kept in as many partitions as this asks for, not in the session's number, which a small table need not have.
+ROWS_PER_PARTITION, MOST_PARTITIONS = 50_000, 10_000
 BATCHES = 4
 
 
@@ -189,7 +191,15 @@ def count_masks(spark: SparkSession, files: Source, labels: DataFrame, key: str
     counted = rows.groupBy("state").applyInPandasWithState(keep_smallest, counters, "held binary", "append", GroupStateTimeout.NoTimeout)
     out = counted.mapInPandas(changes, counters)
     writer = out.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/changes")
-    stream = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    writer = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    # A stream takes the settings of its start; its checkpoint remembers the number of partitions.
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(MOST_PARTITIONS, pieces_for(files.rows, ROWS_PER_PARTITION))))
+    try:
+        stream = writer.start()
+    finally:
+        spark.conf.set(name, before)
     stream.awaitTermination()
     found = spark.read.schema(counters).parquet(f"{folder}/changes")
     return found.groupBy("part", "flags").agg(F.sum("n").alias("n")).where("n <> 0")

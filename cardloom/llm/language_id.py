@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.learning import Adam, labelled_sample, sigmoid
-from cardloom.llm.shared import free_name
+from cardloom.llm.shared import blocks, free_name
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -153,11 +153,11 @@ class Model:
             out[t] = h
         return out
 
-    def window_sums(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For windows (rows, time): summed probabilities of the letter positions, and how many there are."""
+    def window_sums(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For windows (rows, time): summed probabilities of the letter positions, how many there are, and sums of the best."""
         xt = np.ascontiguousarray(x.T)
         f, b = self.states("f", xt), self.states("b", xt[::-1])[::-1]
-        sums = np.zeros((len(self.languages), len(x)))
+        sums, best = np.zeros((len(self.languages), len(x))), np.zeros(len(x))
         mask = _LETTER[xt]
         for t in range(len(xt)):
             p = self.v["f"] @ f[t]
@@ -167,29 +167,32 @@ class Model:
             np.exp(p, p)
             p *= mask[t] / p.sum(0)
             sums += p
-        return sums.T, mask.sum(0)
+            best += p.max(0)
+        return sums.T, mask.sum(0), best
 
-    def probabilities(self, texts: list[str], block: int = 1024) -> np.ndarray:
-        """(texts, languages): mean probabilities over the letter positions, zeros without any."""
+    def probabilities(self, texts: list[str], block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+        """(texts, languages): mean probabilities over the letter positions, and the mean of the best there; zeros without any."""
         x, count = windows(texts)
         parts = [self.window_sums(x[i : i + block]) for i in range(0, len(x), block)]
         out = np.zeros((len(texts), len(self.languages)))
-        letters = np.zeros(len(texts))
+        letters, best = np.zeros(len(texts)), np.zeros(len(texts))
         if parts:
             owner = np.repeat(np.arange(len(texts)), count)
-            np.add.at(out, owner, np.concatenate([p for p, _ in parts]))
-            np.add.at(letters, owner, np.concatenate([n for _, n in parts]))
-        return out / np.maximum(letters, 1)[:, None]
-
-    def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text: ``und`` and 0 for NULL and texts without a letter."""
+            np.add.at(out, owner, np.concatenate([p for p, _, _ in parts]))
+            np.add.at(letters, owner, np.concatenate([n for _, n, _ in parts]))
+            np.add.at(best, owner, np.concatenate([b for _, _, b in parts]))
+        letters = np.maximum(letters, 1)
+        return out / letters[:, None], best / letters
+
+    def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and certainty of each text: ``und`` and 0 for NULL and texts without a letter."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        p = self.probabilities([t or "" for t in texts])
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+        p, certain = self.probabilities([t or "" for t in texts])
         known = [has_letter(t) for t in texts]
         best = p.argmax(1)
         names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known)]
-        return names, np.where(known, np.clip(p.max(1), 0, 1), 0.0)
+        return names, np.where(known, np.clip(p.max(1), 0, 1), 0.0), np.where(known, np.clip(certain, 0, 1), 0.0)
 
 
 def fit(sample: list[tuple[str, str]], hidden: int = HIDDEN, steps: int = STEPS, batch: int = 192, seed: int = 5) -> Model:
@@ -221,23 +224,29 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return fit(labelled_sample(docs, lang, text, key, per_language, 6, 128))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+def identify(docs: DataFrame, model: Model, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score", certainty_out: str | None = None) -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1); columns of these names are replaced.
 
+    The score is the share of the one language; ``certainty_out`` names a column for the mean probability of the best
+    language at each letter, which is high for a text in several known languages too.
+
     NULL texts, and those without a letter, get ``und`` and 0.  Rows, repeated or not, stay as they are.
     """
-    kept = [c for c in docs.columns if c not in (lang_out, score_out)]
+    kept = [c for c in docs.columns if c not in (lang_out, score_out, certainty_out)]
 
-    @F.pandas_udf("struct<lang: string, score: double>")
+    @F.pandas_udf("struct<lang: string, score: double, certainty: double>")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            names, score = [], []
-            for i in range(0, len(s), 512):
-                n, p = model.label([None if t is None else t for t in s.iloc[i : i + 512]])
+            names, score, certain = [], [], []
+            texts = s.tolist()
+            for a, b in blocks(texts):
+                n, p, c = model.label(texts[a:b])
                 names += n
                 score.append(p)
-            yield pd.DataFrame({"lang": names, "score": np.concatenate(score) if score else []})
+                certain.append(c)
+            yield pd.DataFrame({"lang": names, "score": np.concatenate([[], *score]), "certainty": np.concatenate([[], *certain])})
 
     found = free_name(docs, "_found")
     rows = docs.select(*kept, apply(F.col(text)).alias(found))
-    return rows.select(*kept, F.col(f"{found}.lang").alias(lang_out), F.col(f"{found}.score").alias(score_out))
+    out = [F.col(f"{found}.lang").alias(lang_out), F.col(f"{found}.score").alias(score_out)]
+    return rows.select(*kept, *out, *([F.col(f"{found}.certainty").alias(certainty_out)] if certainty_out else []))

@@ -25,7 +25,7 @@ from cardloom.llm.shared import chunk_pairs, components, local_components, same_
 WORDS = 4
 LIKENESS = Fraction(85, 100)
 #: The share of each set, lowest hashes first, that is counted over all documents; short sets count whole.
-SHARE = Fraction(2, 5)
+SHARE = Fraction(3, 10)
 SHORT = 32
 TASK_SHINGLES = 1_000_000
 #: DivideSkip's weight of a probe against a merge step.

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cardloom.llm.language_id import windows
 from cardloom.llm.learning import Adam, drawn, labelled_sample, sigmoid
+from cardloom.llm.shared import blocks
 
 PASSAGE = 512
 PAIRS = 2048
@@ -198,11 +199,11 @@ def fit(sample: list[tuple[int, str]], epochs: int = EPOCHS, batch: int = 64, se
     if not len(y) or y.min() == y.max():
         return Model(None, float(y.mean()) if len(y) else 0.5)
     rng = np.random.default_rng(seed)
-    # In a good document every passage is good, a few words too: short texts are rare in the sample.
-    words = [t.split(" ") for k, t in sample if k == 1 and t]
-    few = [" ".join(w[(i := int(rng.integers(len(w)))) : i + int(rng.integers(1, 12))]) for w in words[:: SHORT_EVERY]]
-    sample = [*sample, *((1, t) for t in few)]
-    y = np.append(y, np.ones(len(few), int))
+    # Short texts are rare in the sample, so a few words of every fourth text of either label stand for them.
+    words = [(int(k == 1), t.split(" ")) for k, t in sample if t][:: SHORT_EVERY]
+    few = [(k, " ".join(w[(i := int(rng.integers(len(w)))) : i + int(rng.integers(1, 12))])) for k, w in words]
+    sample = [*sample, *few]
+    y = np.append(y, [k for k, _ in few]).astype(int)
     x, count = windows([t or "" for _, t in sample], PASSAGE)
     ends = np.cumsum(count)
     w = new_weights(rng)
@@ -222,6 +223,9 @@ def fit(sample: list[tuple[int, str]], epochs: int = EPOCHS, batch: int = 64, se
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", per_label: int = PER_LABEL) -> Model:
     """Fit on about ``per_label`` labelled documents of each label (0 and 1), a bounded sample chosen by key.
 
+    Of documents of over 4,096 characters eight slices of 512 are taken.  A run of 1 to 11 words of every ``SHORT_EVERY``-th
+    document is added with the document's label.
+
     Rows of ``labels`` without a label of 0 or 1 are left out; a key labelled more than once
     takes its smallest label.  The keys are chosen first, so that no text is shuffled; they are
     bounded and broadcast.
@@ -243,7 +247,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     @F.pandas_udf("double")
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            parts = [model.score(s.iloc[i : i + 512].tolist()) for i in range(0, len(s), 512)]
+            texts = s.tolist()
+            parts = [model.score(texts[a:b]) for a, b in blocks(texts)]
             yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
     return docs.select(*kept, apply(F.col(text)).alias(out))

@@ -75,7 +75,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_secret_scans")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secret_scan.scan(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    # The ledger as former runs have left it: half of all blobs, scanned with the rules of that time.  What it lacks, the
+    # last rule for those blobs and every rule for the others, is scanned now.
+    former = secret_scan.address(docs).where("blob < '8'")
+    ledger = secret_scan.update_ledger(former, rules=secret_scan.RULES[:2])
+    found, _ = secret_scan.scan(docs, ledger)
     listed = F.array_join(
         F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ","
     )
@@ -152,7 +157,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return segmentation.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    samples = segmentation.encode(table(spark, sf_dir, "documents"), model)
+    back = segmentation.decode(F.col("ids"), model)
+    return samples.withColumn("decoded_crc32", F.crc32(F.encode(back, "UTF-8")))
 
 
 def _scan(kind: str, order: int, pattern: str, group: int, least: int) -> str:

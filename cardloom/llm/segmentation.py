@@ -14,12 +14,16 @@ import heapq
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.llm.shared import blocks
+
 SAMPLES = 2
 MOST_RUNS = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -40,11 +44,18 @@ def uniforms(seed: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
     return ((seed >> np.uint64(11)) + 0.5) * 2.0**-53
 
 
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, one range after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Lattice:
     """Edges of the lattices of runs between blanks.
 
     No piece spans a blank in its middle, so the lattice of a text falls apart into runs, and the
-    lattice of a run is built once, with many others together, and kept up to ``MOST_RUNS`` runs.  A
+    lattice of a run is built once, with many others together, and up to ``MOST_RUNS`` runs are kept; then those stay
+    that were needed since the last time.  A
     state is a place in a run; its edges stand together, shortest piece first.  A vocabulary
     whose scores are merge ranks gets weights by Zipf's law, ``-log(rank + 10)``; other scores are log
     probabilities.  Characters without a piece are their bytes.
@@ -97,6 +108,7 @@ class Lattice:
 
     def reset(self) -> None:
         self.runs: dict[str, int] = {}
+        self.recent: set[str] = set()
         self.filled = self.used = 0
         self.first = np.zeros(1 << 12, np.int64)
         self.cut, self.logp = np.zeros(1 << 14), np.zeros(1 << 14)
@@ -130,33 +142,44 @@ class Lattice:
             # A character as its bytes: the id of a single one, and minus the code, less one, for more.
             c = code[lost].astype(np.int64)
             single = np.array([self.byte[b] for b in range(128)])
-            where.append(lost)
-            widths.append(np.ones(len(lost), np.int64))
-            pieces.append(np.where(c < 128, single[np.minimum(c, 127)], -c - 1))
-            weights.append(self.per_byte * (1 + (c > 0x7F) + (c > 0x7FF).astype(int) + (c > 0xFFFF)))
-        where, widths = np.concatenate(where), np.concatenate(widths)
-        pieces, weights = np.concatenate(pieces), np.concatenate(weights)
-        order = np.lexsort((widths, where))
-        where, widths, pieces, weights = where[order], widths[order], pieces[order], weights[order]
+            where.insert(0, lost)
+            widths.insert(0, np.ones(len(lost), np.int64))
+            pieces.insert(0, np.where(c < 128, single[np.minimum(c, 127)], -c - 1))
+            weights.insert(0, self.per_byte * (1 + (c > 0x7F) + (c > 0x7FF).astype(int) + (c > 0xFFFF)))
+        # Lengths rise from list to list, so the edges of a place are put one after the other, the shortest first.
+        number = np.zeros(places, np.int32)
+        for at in where:
+            number[at] += 1
+        first = np.cumsum(number) - number
+        spot, order = first.copy(), []
+        for at in where:
+            order.append(spot[at])
+            spot[at] += 1
+        order = np.concatenate(order)
+        edges = len(order)
+        parts = where, widths, pieces, weights
+        where, widths, pieces, weights = (np.empty(edges, t) for t in (np.int64, np.int64, np.int32, np.float64))
+        for out, found in zip((where, widths, pieces, weights), parts):
+            out[order] = np.concatenate(found)
         target = where + widths
         last = target == end[where]
         # The sum over all ways to finish, from the ends of all runs backwards together.
         total = np.zeros(places + 1)
-        left = end[where] - where
-        back = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[back], np.arange(1, int(left.max()) + 2))
+        distance = np.minimum(end - np.arange(places), np.iinfo(np.int32).max).astype(np.int32)
+        back = np.argsort(distance.astype(np.int16) if distance.max() < 1 << 15 else distance, kind="stable")
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(distance)[1:])])
         goes_on = np.where(last, places, target)
         for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if i == j:
-                continue
-            e = back[i:j]
-            sums = weights[e] + total[goes_on[e]]
-            start = np.flatnonzero(np.diff(where[e], prepend=-1))
-            top = np.maximum.reduceat(sums, start)
-            count = np.diff(np.append(start, len(e)))
-            total[where[e[start]]] = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, count)), start))
+            here = back[i:j]
+            # A column per edge of a place: as many as the place with the most has, the others beyond reach.
+            sums = np.full((int(number[here].max()), len(here)), -np.inf)
+            for k in range(len(sums)):
+                has = np.flatnonzero(number[here] > k)
+                e = first[here[has]] + k
+                sums[k, has] = weights[e] + total[goes_on[e]]
+            top = sums.max(0)
+            total[here] = top + np.log(np.exp(sums - top).sum(0))
         logp = np.minimum(weights + total[goes_on] - total[where], 0.0)
-        first = np.searchsorted(where, np.arange(places))
         p = np.exp(logp)
         whole = np.cumsum(p)
         cut = whole - np.repeat((whole - p)[first], np.diff(np.append(first, len(where))))
@@ -180,14 +203,44 @@ class Lattice:
 
     def entries(self, texts: list[str]) -> Iterator[np.ndarray]:
         """For each text the states in which its runs begin."""
-        if len(self.runs) > MOST_RUNS:
-            self.reset()
         split = [_CHUNK.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
-        unseen = list(dict.fromkeys(r for runs in split for r in runs if r not in self.runs))
+        needed = set().union(*split)
+        unseen = needed.difference(self.runs)
+        if len(self.runs) + len(unseen) > MOST_RUNS:
+            self.keep(needed | self.recent)
+            self.recent = set()
+            unseen = needed.difference(self.runs)
+        self.recent |= needed
         if unseen:
-            self.learn(unseen)
-        for runs in split:
-            yield np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs))
+            self.learn(list(unseen))
+        count = [len(runs) for runs in split]
+        found = np.fromiter(map(self.runs.__getitem__, chain.from_iterable(split)), np.int64, sum(count))
+        yield from np.split(found, np.cumsum(count)[:-1])
+
+    def keep(self, runs: set[str]) -> None:
+        """Forget all runs but those of ``runs``, and these too if they alone are more than half of what may be held."""
+        kept = [r for r in self.runs if r in runs]
+        if 2 * len(kept) > MOST_RUNS:
+            self.reset()
+            return
+        at = np.array([self.runs[r] for r in kept], np.int64)
+        starts = np.append(np.sort(np.fromiter(self.runs.values(), np.int64, len(self.runs))), self.filled)
+        size = starts[np.searchsorted(starts, at) + 1] - at
+        bounds = np.append(self.first[: self.filled], self.used)
+        places = spans(at, size)
+        degree = np.diff(bounds)[places]
+        edges = spans(bounds[at], bounds[at + size] - bounds[at])
+        moved = np.cumsum(size) - size
+        by_run = bounds[at + size] - bounds[at]
+        following = self.next[edges]
+        following = np.where(following < 0, -1, following - np.repeat(at - moved, by_run)).astype(np.int32)
+        old = {"cut": self.cut[edges], "logp": self.logp[edges], "next": following, "piece": self.piece[edges]}
+        self.reset()
+        self.append("first", np.cumsum(degree) - degree, 0)
+        for name, new in old.items():
+            self.append(name, new, 0)
+        self.filled, self.used = len(places), len(edges)
+        self.runs = dict(zip(kept, moved.tolist()))
 
     def walk(self, entries: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn by their probabilities from each entry to the end of its run, in order, and their run."""
@@ -301,9 +354,11 @@ def sample_many(lattice: Lattice, entries: list[np.ndarray], keys: list[int], k:
         bounds = np.cumsum(count)
         owner = np.repeat(np.arange(len(heads)), count)
         logp = lattice.logp[every]
-        sums = np.cumsum(logp)
-        before = sums - logp
-        before -= np.repeat(np.concatenate([[0.0], sums])[bounds - count], count)
+        before = np.empty(len(logp))
+        for first, end in zip((bounds - count).tolist(), bounds.tolist()):
+            # By text, so that equal texts have equal sums wherever they stand.
+            np.cumsum(logp[first:end], out=before[first:end])
+        before -= logp
         with np.errstate(divide="ignore"):
             outside = np.where(logp > -1e-12, -np.inf, before + np.log(-np.expm1(np.minimum(logp, -1e-15))))
         values = truncated(outside, np.array([h[2] for h in heads])[owner], uniforms(own[owner], 3, np.arange(len(every)) - (bounds - count)[owner]))
@@ -356,29 +411,26 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, temperature: float = 1
     A text with fewer than ``k`` segmentations gives them all.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         held = lattice(model, temperature)
         for batch in batches:
-            rows, size = [], 0
-            texts = [t or "" for t in batch["text"]]
-            for at in range(0, len(texts), 500):
-                docs = batch["key"].iloc[at : at + 500].tolist()
-                entries = list(held.entries(texts[at : at + 500]))
-                found = sample_many(held, entries, [xxh64_intdigest(str(d), seed) for d in docs], k)
-                for doc, samples in zip(docs, found):
-                    for n, (ids, logp, value, score) in enumerate(samples):
-                        rows.append((doc, n, ids, logp, value, score))
-                        size += len(ids)
-                    if size > 1 << 20:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows, size = [], 0
-            yield pd.DataFrame(rows, columns=names)
+            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in blocks(texts):
+                entries = list(held.entries(texts[a:b]))
+                found = sample_many(held, entries, [xxh64_intdigest(str(d), seed) for d in keys[a:b]], k)
+                owner = [doc for doc, samples in zip(keys[a:b], found) for _ in samples]
+                number = [n for samples in found for n in range(len(samples))]
+                ids, logp, value, score = zip(*(sample for samples in found for sample in samples))
+                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
+                columns = [pa.array(owner, pa.string()), pa.array(number, pa.int32()), lists, *(pa.array(c, pa.float64()) for c in (logp, value, score))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", *names[1:]])
 
     names = ["key", "sample", "ids", "log_prob", "value", "inclusion"]
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-    out = rows.mapInPandas(run, "key string, sample int, ids array<int>, log_prob double, value double, inclusion double")
+    out = rows.mapInArrow(run, "key string, sample int, ids array<int>, log_prob double, value double, inclusion double")
     return out.select(F.col("key").cast(docs.schema[key].dataType).alias(key), *names[1:])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 ROWS_PER_PIECE = 20_000
 CELLS = 1 << 14
+#: What a task works on at once.
+CHARS_PER_BLOCK = 1 << 20
+ROWS_PER_BLOCK = 512
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -170,6 +173,18 @@ def key_cells(df: DataFrame, key: str, weight: Column, per_bucket: int) -> Cells
     return cells
 
 
+def blocks(texts: Sequence[str | None], chars: int = CHARS_PER_BLOCK, rows: int = ROWS_PER_BLOCK) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``chars`` characters and at most ``rows`` texts, each of one text at least."""
+    first, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= chars or i + 1 - first >= rows:
+            yield first, i + 1
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest position that each of ``n`` positions reaches over the pairs (i, j)."""
     root = np.arange(n)

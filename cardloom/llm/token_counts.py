@@ -23,12 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from cardloom.llm.remembered import Remembered
-from cardloom.llm.shared import same_text
+from cardloom.llm.shared import blocks, same_text
 
 MOST_PIECES = 400_000
 MOST_PAIRS = 500_000
-#: Texts are taken together up to so many characters.
-CHARS_PER_BLOCK = 1 << 20
 #: Code points whose class is the same in every version of the character tables; a text with others is cut by the tokenizer.
 COMMON = re.compile("[^\\u0000-\\u0557\\u1e00-\\u1eff\\u2010-\\u2064\\u20a0-\\u20bf\\u3000-\\u3029\\u3041-\\u3096\\u30a1-\\u30fa\\u4e00-\\u9fcc\\uac00-\\ud7a3]")
 
@@ -220,18 +218,6 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def blocks(texts: list[str], chars: int = CHARS_PER_BLOCK) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``chars`` characters, each of one text at least."""
-    first, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= chars:
-            yield first, i + 1
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def prefix_table(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_chars, steps): the change of the token count at every code point, a signed byte each.
 

@@ -66,8 +66,9 @@ def assign_roles(pages: DataFrame, key: str = "page_id", html: str = "html", lea
     return joined.select("page_id", "digest", "size", refers.alias("refers_to"))
 
 
-def record_id(page: int | None, copy: int = 0) -> str:
-    return f"<urn:x-page:{'none' if page is None else page}:{copy}>"
+def record_id(page: int | None, digest: str, copy: int = 0) -> str:
+    """A page's records are told apart by their payload, and those of equal payload by number."""
+    return f"<urn:x-page:{'none' if page is None else page}:{digest}:{copy}>"
 
 
 def base32(hexed: str) -> str:
@@ -84,11 +85,11 @@ def record(kind: str, headers: list[tuple[str, str]], block: bytes, date: str) -
 
 def page_record(page: int | None, copy: int, url: str | None, body: bytes, digest: str, size: int, refers_to: int | None, date: str) -> bytes:
     """A response, or a revisit that keeps the HTTP headers with the full length and no payload."""
-    target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else record_id(page)[1:-1]
+    target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else record_id(page, digest, copy)[1:-1]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (body if refers_to is None else b"")
     headers = [
-        ("WARC-Record-ID", record_id(page, copy)),
+        ("WARC-Record-ID", record_id(page, digest, copy)),
         ("WARC-Target-URI", target),
         ("Content-Type", "application/http; msgtype=response"),
         ("WARC-Block-Digest", base32(hashlib.sha1(block).hexdigest())),
@@ -96,7 +97,7 @@ def page_record(page: int | None, copy: int, url: str | None, body: bytes, diges
     ]
     if refers_to is None:
         return record("response", headers, block, date)
-    headers += [("WARC-Profile", IDENTICAL), ("WARC-Refers-To", record_id(refers_to))]
+    headers += [("WARC-Profile", IDENTICAL), ("WARC-Refers-To", record_id(refers_to, digest))]
     return record("revisit", headers, block, date)
 
 
@@ -184,8 +185,8 @@ def write_archive(
                 if kind == 0:
                     size, refers = int(batch["size"].iat[i]), targets[i]
                     continue
-                copy = copy + 1 if page == (numbers[i],) else 0
-                page = (numbers[i],)
+                copy = copy + 1 if page == (numbers[i], digest) else 0
+                page = (numbers[i], digest)
                 out.add(page_record(numbers[i], copy, link, bytes(body), digest, size, refers, date))
         if out is not None:
             out.close()
@@ -221,12 +222,16 @@ def page_of(identifier: str) -> int | None:
     return None if name == "none" else int(name)
 
 
+def digest_of(identifier: str) -> str:
+    return identifier.strip("<>").split(":")[3]
+
+
 def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """The records of the files that the manifest names, a row per page record.
 
     Columns: page_id, url, record_type, payload_bytes and payload_digest (of the full payload, for
     revisits from their headers), refers_to, html (NULL for revisits or without ``with_payload``).
-    Block and payload digests are checked; a wrong one raises.
+    Block and payload digests are checked, and that a revisit refers to a record of its own payload; what is wrong raises.
     """
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, html string"
     names = schema.replace(" long", "").replace(" string", "").split(", ")
@@ -248,6 +253,8 @@ def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) ->
                         refers = h.get("warc-refers-to")
                         if refers is None and (hashlib.sha1(body).hexdigest() != said or len(body) != size):
                             raise ValueError(f"wrong payload digest in {name}")
+                        if refers is not None and digest_of(refers) != said:
+                            raise ValueError(f"a revisit of another payload in {name}")
                         target = h["warc-target-uri"]
                         html = body.decode() if with_payload and refers is None else None
                         rows.append((page_of(h["warc-record-id"]), None if target.startswith("urn:x-page:") else target, h["warc-type"], size, said, page_of(refers) if refers else None, html))

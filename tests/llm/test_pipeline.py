@@ -42,8 +42,8 @@ def test_stages_equal_plain_python(spark, docs):
     assert texts(first) == [d for d, ok in zip(given, keep) if ok] and 0 < sum(keep) < len(keep)
 
     second = pipe.keep_language(spark, first, SF)
-    names, score = language_id.train(first.where(remainder("doc_id", 4) != 2)).label([t for _, t in texts(first)])
-    assert texts(second) == [d for d, n, s in zip(texts(first), names, score) if n != "und" and s >= pipe.LEAST_LANGUAGE]
+    names, _, score = language_id.train(first.where(remainder("doc_id", 4) != 2)).label([t for _, t in texts(first)])
+    assert texts(second) == [d for d, n, s in zip(texts(first), names, score) if n != "und" and s >= pipe.LEAST_CERTAINTY]
 
     third = pipe.keep_one_of_group(spark, second, SF)
     groups = brute(texts(second), pipe.LIKENESS, pipe.WORDS)
