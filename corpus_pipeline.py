@@ -1,7 +1,8 @@
 """From raw documents to packed token sequences: five stages, each on all that the one before kept.
 
 1. quality: documents with a score below 0.3 go.
-2. language: documents without a language, or with a score below 0.5, go; a missing ``lang`` is filled in.
+2. language: documents without a letter, or whose letters are on average of no language with a certainty of 0.5, go; a
+   missing ``lang`` is filled in.
    Where no language can be learned, documents without a letter go.
 3. near copies: of each group of documents linked by a Jaccard likeness of 0.8 of their five-word shingles
    the one with the smallest id stays.
@@ -25,7 +26,7 @@ from cardloom.llm.shared import free_name, same_text, staged
 from cardloom.llm.shipping import ship
 
 LEAST_QUALITY = 0.3
-LEAST_LANGUAGE = 0.5
+LEAST_CERTAINTY = 0.5
 LIKENESS = Fraction(4, 5)
 WORDS = 5
 
@@ -40,17 +41,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that is told with a score of at least ``LEAST_LANGUAGE``.
+    """Documents whose letters are told to be of known languages with a certainty of at least ``LEAST_CERTAINTY``.
 
-    Where no row to learn from has a language, none can be told: all documents with a letter stay as they are.
+    The certainty is the mean, over the letters, of the best language's probability there, so a text in several
+    languages is kept.  Where no row to learn from has a language, none can be told: all documents with a letter stay as they are.
     """
     ship(spark)
     model = language_id.train(docs.where(remainder("doc_id", 4) != 2))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    lang, score = free_name(docs, "_lang"), free_name(docs, "_score")
-    rows = language_id.identify(docs, model, lang_out=lang, score_out=score)
-    rows = rows.where((F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE))
+    lang, score, certain = free_name(docs, "_lang"), free_name(docs, "_score"), free_name(docs, "_certain")
+    rows = language_id.identify(docs, model, lang_out=lang, score_out=score, certainty_out=certain)
+    rows = rows.where((F.col(lang) != language_id.UNKNOWN) & (F.col(certain) >= LEAST_CERTAINTY))
     filled = F.coalesce("lang", lang).alias("lang")
     return rows.select(*[filled if c == "lang" else F.col(c) for c in docs.columns])
 
