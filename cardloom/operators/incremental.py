@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.config import load_date
-from cardloom.functions.joins import anti, semi, union_all, within
+from cardloom.functions.joins import anti, in_ranges, key_ranges, semi, union_all, within
 from cardloom.operators.row_runs import exclude_runs, holds_runs, row_runs
 
 ROW_KEY = ("FileID", "RowNum")
@@ -99,16 +99,20 @@ def history_start(as_of: datetime, years: int = 5) -> date:
     return date(as_of.year - years, as_of.month, 1)
 
 
-def eligible_history(debit: DataFrame, credit: DataFrame, eligible: DataFrame, as_of: datetime) -> DataFrame:
+def eligible_history(debit: DataFrame, credit: DataFrame, eligible: DataFrame, as_of: datetime, prune_ids: bool = False) -> DataFrame:
     """History of newly eligible customers: debit as type 1, credit as type 2.
 
-    The date bound is a literal, so it prunes partitions and reaches the scan.
+    The date bound is a literal, so it prunes partitions and reaches the scan.  ``prune_ids`` adds the ranges of the ids, at
+    most 64, as literals: of a history in order of customers (``write_clustered``) a handful of customers then
+    reads a handful of row groups.  It runs a small job over ``eligible``, which should be stored.
     """
     both = union_all(
         debit.withColumn("PaymentTypeID", F.lit(1)),
         credit.withColumn("PaymentTypeID", F.lit(2)),
     )
     recent = both.where(F.col("TranDate") > F.lit(history_start(as_of)))
+    if prune_ids:
+        recent = in_ranges(recent, "CINID", key_ranges(eligible, "cinid"))
     return semi(recent, eligible.select(F.col("cinid").alias("CINID")), ["CINID"])
 
 

@@ -61,8 +61,8 @@ def backfill_rows(t: CardTables, run: RunContext, eligible: DataFrame) -> DataFr
 
 
 def run_backfill(t: CardTables, run: RunContext, eligible: DataFrame, stage) -> DataFrame:
-    """The same rows, with the log cut to the file ranges of the history that is asked for."""
-    theirs = stage(eligible_history(t.debit_history, t.credit_history, eligible, run.as_of), "history")
+    """The same rows, with the history cut to the ranges of the customers and the log to the file ranges of that history."""
+    theirs = stage(eligible_history(t.debit_history, t.credit_history, eligible, run.as_of, prune_ids=True), "history")
     return stage(exclude_logged(theirs, in_ranges(t.row_log, "FileID", key_ranges(theirs, "FileID"))), "backfill")
 
 

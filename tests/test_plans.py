@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cardloom.config import RunContext
 from cardloom.functions.joins import in_ranges, key_ranges, within
-from cardloom.operators import direct_debit as dd
+from cardloom.operators import direct_debit as dd, incremental as inc
 from cardloom.operators.incremental import exclude_logged
 from cardloom.operators.row_runs import expanded, row_runs
 from cardloom.operators.run_log import flag_error_runs
@@ -22,7 +22,7 @@ from cardloom.plans import quarantine as q_plan
 from cardloom.plans import run_log as log_plan
 from cardloom.sources.files import TooManyRejects, export_feed, exported_files, import_files, import_split, read_run_output
 from cardloom.sources.publish import published
-from cardloom.sources.tables import folders, read_table, staged, work_dir, write_version
+from cardloom.sources.tables import folders, read_table, staged, work_dir, write_clustered, write_version
 from tests.conftest import rows
 from workload import addresses, customers, direct_debit
 from workload.card import tables as card_tables
@@ -231,6 +231,32 @@ def test_a_backfill_over_years_reads_its_own_files_only(spark, files, frame):
     assert len(found) <= 64 and in_ranges(many, "FileID", found).count() == 5000
 
 
+def test_a_history_in_order_of_customers_is_read_by_ranges(spark, frame, tmp_path):
+    n = 60_000
+    tx = spark.range(n).select(
+        (F.col("id") % 3_000).cast("int").alias("CINID"),
+        F.expr("date_add(date'2023-01-01', cast(id % 300 as int))").alias("TranDate"),
+        F.lit(1).alias("FileID"),
+        F.col("id").cast("int").alias("RowNum"),
+        F.xxhash64("id").alias("Amount"),
+    )
+    path = write_clustered(tx, f"{tmp_path}/tx", "CINID", tasks=8, group_bytes=1 << 14)
+    debit = read_table(spark, path)
+    none, as_of = debit.where("false"), datetime(2024, 3, 1)
+    read = []
+    for ids in ([5], [5, 1700, 2990]):
+        eligible = frame("cinid int", *[(i,) for i in ids])
+        plain = inc.eligible_history(debit, none, eligible, as_of)
+        cut = inc.eligible_history(debit, none, eligible, as_of, prune_ids=True)
+        assert rows(cut) == rows(plain) and cut.count() == 20 * len(ids)
+        read.append(scanned(cut) - scanned(inc.eligible_history(none, none, eligible, as_of)))
+    assert read[0] < read[1] < n / 2
+    monthly = write_clustered(tx, f"{tmp_path}/months", "CINID", tasks=4, months_of="TranDate")
+    assert rows(read_table(spark, monthly).drop("month").limit(5).select("CINID").distinct()) and len(folders(spark, f"{monthly}/month=*")) == 10
+    assert inc.eligible_history(read_table(spark, monthly).drop("month"), none, frame("cinid int", (7,)), as_of, prune_ids=True).count() == 20
+    assert inc.eligible_history(debit, none, frame("cinid int"), as_of, prune_ids=True).count() == 0
+
+
 def test_text_survives_csv(spark, frame, tmp_path):
     odd = ["", "line1\nline2", " pad ", None, "\\N", "\\n", 'quo"te,comma', '"', "a\\", "\r", "\\b\n\\"]
     df = frame("i int, t string, u string", *[(i if i else None, t, t) for i, t in enumerate(odd)])

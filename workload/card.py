@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from cardloom.functions.joins import union_all
 from cardloom.functions.keys import tran_sequence_id
 from cardloom.operators import card, incremental as inc, row_runs
 from cardloom.plans import card as plan
+from cardloom.sources.tables import staged, work_dir, write_clustered
 from workload.registry import query
 from workload.roles import AS_OF, Roles
 
@@ -146,6 +148,19 @@ def _(r: Roles):
     return inc.backfill_history(r.debit_history, r.credit_history, eligible, [r.row_log], AS_OF)
 
 
+@query("history_backfill_pruned_a7", "WITH eligible AS (" + ELIGIBLE + ")" + HISTORY)
+def _(r: Roles):
+    """The same rows from a history in order of customers, cut to the ranges of the eligible ones."""
+    root, name = work_dir(r.spark), uuid.uuid4().hex
+    eligible = staged(inc.newly_eligible(r.programme, r.archive, AS_OF), "eligible", f"backfill-{name}")
+    kept = {}
+    for kind in ("debit_history", "credit_history"):
+        path = write_clustered(getattr(r, kind), f"{root}/{kind}-{name}", "CINID", tasks=8, months_of="TranDate")
+        kept[kind] = r.spark.read.parquet(path).drop("month")
+    found = inc.eligible_history(kept["debit_history"], kept["credit_history"], eligible, AS_OF, prune_ids=True)
+    return inc.exclude_logged(found, r.row_log)
+
+
 @query(
     "extra_backfill_a8",
     "WITH eligible AS (" + ELIGIBLE + "), base AS (" + HISTORY + ")"
