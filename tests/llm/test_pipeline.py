@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import inspect
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,29 @@ def test_odd_rows_pass_through_all_stages(spark, docs):
         assert nothing.count() == 0
         if "doc_tokens" in nothing.columns:
             break
+
+
+def test_the_language_cut_keeps_clean_texts_however_short_or_mixed(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang is not null and length(text) > 600")
+    train, held = (rows.where(remainder("doc_id", 4) != 2), rows.where(remainder("doc_id", 4) == 2))
+    model = language_id.train(train)
+    rnd, by = random.Random(1), {}
+    for r in held.select("lang", "text").collect():
+        by.setdefault(r["lang"], []).append(r["text"].split())
+
+    def words(lang, n):
+        found = rnd.choice(by[lang])
+        at = rnd.randrange(max(1, len(found) - n))
+        return found[at : at + n]
+
+    def mixed():
+        a, b, c = rnd.sample(sorted(by), 3)
+        return " ".join(words(a, 40) + words(b, 27) + words(c, 23))
+
+    def lost(made):
+        _, _, certain = model.label(made)
+        return sum(c < pipe.LEAST_CERTAINTY for c in certain) / len(made)
+
+    assert lost([mixed() for _ in range(300)]) < 0.02
+    assert lost([" ".join(words(rnd.choice(sorted(by)), 2)) for _ in range(300)]) < 0.05
+    assert lost([" ".join(w) for v in by.values() for w in v[:100]]) == 0
