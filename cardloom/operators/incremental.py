@@ -24,6 +24,7 @@ def exclude_logged(
     *logs: DataFrame,
     keys: Sequence[str] = ROW_KEY,
     prune_by: str | None = None,
+    colocated: bool = False,
 ) -> DataFrame:
     """Rows whose key is in none of the logs.
 
@@ -32,11 +33,17 @@ def exclude_logged(
     rises over time, such as the file id, and cuts the logs to its range in ``df``
     before they are shuffled (two scalars, no join).  Logs kept as runs of rows
     (:mod:`cardloom.operators.row_runs`) are told by their columns and need the row key as ``keys``.
+    ``colocated`` is for logs in buckets of the key (``write_bucketed``): each is joined as it lies, since a union of
+    them would have to be shuffled.
     """
     cut = list(logs) if prune_by is None else [within(log, df, prune_by) for log in logs]
     runs, rows = [log for log in cut if holds_runs(log)], [log for log in logs if not holds_runs(log)]
     if runs:
         df = exclude_runs(df, *runs)
+    if colocated:
+        for log in rows:
+            df = anti(df, log if prune_by is None else within(log, df, prune_by), keys)
+        return df
     if not rows:
         return df
     seen = union_all(*[log.select(*keys) for log in rows])

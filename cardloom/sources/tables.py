@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,17 @@ def write_clustered(df: DataFrame, path: str, by: str, tasks: int, months_of: st
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Write a table of the catalog in hash buckets of ``keys``, sorted within them, and read it.
+
+    Tables in equally many buckets of the same keys, such as staged rows, their times and the row log, are joined on
+    them without a shuffle.  Rows are brought to their bucket before they are written, so a bucket is one file.
+    """
+    rows = df.repartition(buckets, *keys)
+    rows.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
     """Add the rows of one run to an accumulating table such as a row log.
 

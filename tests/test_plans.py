@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cardloom.config import RunContext
 from cardloom.functions.joins import in_ranges, key_ranges, within
 from cardloom.operators import direct_debit as dd, incremental as inc
+from cardloom.operators.card import attach_time
 from cardloom.operators.incremental import exclude_logged
 from cardloom.operators.row_runs import expanded, row_runs
 from cardloom.operators.run_log import flag_error_runs
@@ -22,7 +23,7 @@ from cardloom.plans import quarantine as q_plan
 from cardloom.plans import run_log as log_plan
 from cardloom.sources.files import TooManyRejects, export_feed, exported_files, import_files, import_split, read_run_output
 from cardloom.sources.publish import published
-from cardloom.sources.tables import folders, read_table, staged, work_dir, write_clustered, write_version
+from cardloom.sources.tables import folders, read_table, staged, work_dir, write_bucketed, write_clustered, write_version
 from tests.conftest import rows
 from workload import addresses, customers, direct_debit
 from workload.card import tables as card_tables
@@ -257,6 +258,25 @@ def test_a_history_in_order_of_customers_is_read_by_ranges(spark, frame, tmp_pat
     assert inc.eligible_history(debit, none, frame("cinid int"), as_of, prune_ids=True).count() == 0
 
 
+def test_tables_in_the_same_buckets_are_not_shuffled(spark, r, tmp_path):
+    keys = ["FileID", "RowNum"]
+    tables = {"b_tx": r.debit_holding, "b_log": r.row_log, "b_detailed": r.row_log_detailed, "b_times": r.tran_time}
+    held = {k: write_bucketed(df, k, f"{tmp_path}/{k}", keys, 8) for k, df in tables.items()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = exclude_logged(held["b_tx"], held["b_log"], held["b_detailed"], colocated=True)
+        timed = attach_time(fresh, held["b_times"], round_down=False)
+        plain = attach_time(exclude_logged(r.debit_holding, r.row_log, r.row_log_detailed), r.tran_time, round_down=False)
+        assert rows(timed) == rows(plain) and timed.count() > 0
+        plan = timed._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Scan parquet spark_catalog.default.b_") >= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in held:
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_text_survives_csv(spark, frame, tmp_path):
     odd = ["", "line1\nline2", " pad ", None, "\\N", "\\n", 'quo"te,comma', '"', "a\\", "\r", "\\b\n\\"]
     df = frame("i int, t string, u string", *[(i if i else None, t, t) for i, t in enumerate(odd)])

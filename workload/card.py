@@ -13,7 +13,7 @@ from cardloom.functions.joins import union_all
 from cardloom.functions.keys import tran_sequence_id
 from cardloom.operators import card, incremental as inc, row_runs
 from cardloom.plans import card as plan
-from cardloom.sources.tables import staged, work_dir, write_clustered
+from cardloom.sources.tables import staged, work_dir, write_bucketed, write_clustered
 from workload.registry import query
 from workload.roles import AS_OF, Roles
 
@@ -73,6 +73,21 @@ def _(r: Roles):
     return inc.exclude_logged(tx, r.row_log, r.row_log_detailed, prune_by="FileID")
 
 
+@query(
+    "exclude_logged_bucketed_a2",
+    """SELECT t.FileID, t.RowNum, CINID, Amount, TranTime FROM {card_tx} t LEFT JOIN {tran_time} n ON n.FileID = t.FileID AND n.RowNum = t.RowNum
+       WHERE NOT EXISTS (SELECT 1 FROM {row_log} l WHERE l.FileID = t.FileID AND l.RowNum = t.RowNum)
+         AND NOT EXISTS (SELECT 1 FROM {row_log_detailed} l WHERE l.FileID = t.FileID AND l.RowNum = t.RowNum)""",
+)
+def _(r: Roles):
+    """Rows, both logs and the times in the same buckets of the row key."""
+    root, name = work_dir(r.spark), uuid.uuid4().hex
+    tables = {"tx": r.card_tx.select(*KEYS, "CINID", "Amount"), "log": r.row_log, "detailed": r.row_log_detailed, "times": r.tran_time}
+    held = {k: write_bucketed(df, f"{k}_{name}", f"{root}/{k}-{name}", KEYS, 8) for k, df in tables.items()}
+    fresh = inc.exclude_logged(held["tx"], held["log"], held["detailed"], colocated=True)
+    return card.attach_time(fresh, held["times"], round_down=False)
+
+
 @query(
     "exclude_logged_runs_a2",
     """SELECT FileID, RowNum, CINID, Amount FROM {card_tx} t
