@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.learning import Adam, labelled_sample, sigmoid
-from cardloom.llm.shared import blocks, free_name
+from cardloom.llm.shared import blocks, free_name, spare_memory
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -165,9 +165,11 @@ class Model:
             p += self.c
             p -= p.max(0)
             np.exp(p, p)
-            p *= mask[t] / p.sum(0)
+            # The best language has the exponential 1.
+            scale = mask[t] / p.sum(0)
+            p *= scale
             sums += p
-            best += p.max(0)
+            best += scale
         return sums.T, mask.sum(0), best
 
     def probabilities(self, texts: list[str], block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
@@ -245,6 +247,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang_out: str =
                 score.append(p)
                 certain.append(c)
             yield pd.DataFrame({"lang": names, "score": np.concatenate([[], *score]), "certainty": np.concatenate([[], *certain])})
+        spare_memory()
 
     found = free_name(docs, "_found")
     rows = docs.select(*kept, apply(F.col(text)).alias(found))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.shared import chunk_pairs, components, local_components, same_text, staged
+from cardloom.llm.shared import chunk_pairs, components, local_components, same_text, spare_memory, staged
 
 WORDS = 4
 LIKENESS = Fraction(85, 100)
@@ -141,6 +141,7 @@ def sets_of(docs: DataFrame, words: int, likeness: Fraction, whole: bool) -> Dat
                     ],
                     ["doc", "n", "counted", "least", "class", "shingles"],
                 )
+        spare_memory()
 
     return docs.mapInArrow(run, schema)
 

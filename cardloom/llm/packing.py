@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm.remembered import Remembered
-from cardloom.llm.shared import blocks, gapless, pieces_for, same_text, staged
+from cardloom.llm.shared import blocks, gapless, pieces_for, same_text, spare_memory, staged
 
 WINDOW = 2048
 END_ID = 1
@@ -100,16 +100,6 @@ class WordEncoder:
             yield from np.split(ids, np.cumsum(size)[:-1])
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process, kept over its tasks; what it remembers is bounded."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents cut into whole windows and a rest: (key, start, length, ids_crc32, doc_tokens, marks).
 
@@ -119,7 +109,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
+        enc = WordEncoder(tokenizer)
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["key"].astype("Int64")
             for a, b in blocks(texts):
@@ -142,6 +132,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str
                     marks.append(np.array(sums[1:-1], "<u4").tobytes())
                 key = keys.iloc[a:b].iloc[owner].reset_index(drop=True)
                 yield pd.DataFrame({"key": key, "start": start, "length": length, "ids_crc32": crc, "doc_tokens": size[owner], "marks": marks})
+        # The encoder lives as long as its task.
+        del enc
+        spare_memory()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), same_text(text).alias("text"))
     rows = rows.mapInPandas(cut, "key long, start long, length long, ids_crc32 long, doc_tokens long, marks binary")

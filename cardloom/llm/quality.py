@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cardloom.llm.language_id import windows
 from cardloom.llm.learning import Adam, drawn, labelled_sample, sigmoid
-from cardloom.llm.shared import blocks
+from cardloom.llm.shared import blocks, spare_memory
 
 PASSAGE = 512
 PAIRS = 2048
@@ -250,5 +250,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
             texts = s.tolist()
             parts = [model.score(texts[a:b]) for a, b in blocks(texts)]
             yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+        spare_memory()
 
     return docs.select(*kept, apply(F.col(text)).alias(out))

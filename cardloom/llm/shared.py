@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import uuid
 from collections.abc import Iterator, Sequence
@@ -185,6 +187,15 @@ def blocks(texts: Sequence[str | None], chars: int = CHARS_PER_BLOCK, rows: int
         yield first, len(texts)
 
 
+def spare_memory() -> None:
+    """Give memory that a finished task has freed back to the system: worker processes outlive their tasks and stages."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest position that each of ``n`` positions reaches over the pairs (i, j)."""
     root = np.arange(n)
