@@ -172,7 +172,11 @@ class Model:
             best += scale
         return sums.T, mask.sum(0), best
 
-    def probabilities(self, texts: list[str], block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    def probabilities(self, texts: list[str]) -> np.ndarray:
+        """(texts, languages): mean probabilities over the letter positions, zeros without any."""
+        return self.judged(texts)[0]
+
+    def judged(self, texts: list[str], block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
         """(texts, languages): mean probabilities over the letter positions, and the mean of the best there; zeros without any."""
         x, count = windows(texts)
         parts = [self.window_sums(x[i : i + block]) for i in range(0, len(x), block)]
@@ -190,7 +194,7 @@ class Model:
         """Language, score and certainty of each text: ``und`` and 0 for NULL and texts without a letter."""
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        p, certain = self.probabilities([t or "" for t in texts])
+        p, certain = self.judged([t or "" for t in texts])
         known = [has_letter(t) for t in texts]
         best = p.argmax(1)
         names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known)]
