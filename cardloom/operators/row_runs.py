@@ -1,7 +1,9 @@
 """The row log as runs: (FileID, FirstRow, LastRow) in place of a row per delivered row.
 
 Files are delivered nearly whole, so a file is one run for ever, however many rows it has.  Runs are handled in
-blocks of row numbers: a file is never in one task, and a row meets the runs of its own block only.
+blocks of row numbers: a file is never in one task, and a row meets the runs of its own block only.  Many runs
+are dealt to as many tasks as their number asks for, since the planner sizes tasks by bytes on disk, and row keys are
+many times larger in memory.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ RUN = (FILE, FIRST, LAST)
 BLOCK = 4096
 #: Blocks for joining rows to runs are wider, since what lies inside one is sorted, not compared.
 WIDE_BLOCK = 1 << 20
+#: Rows or cut runs of a task.
+ROWS_PER_TASK = 400_000
+#: Up to so many runs the planner is left to broadcast them.
+FEW = 100_000
 
 
 def holds_runs(log: DataFrame) -> bool:
@@ -47,26 +53,42 @@ def in_blocks(runs: DataFrame, size: int) -> DataFrame:
     return cut.select(FILE, "_block", F.greatest(FIRST, low).alias(FIRST), F.least(LAST, high).alias(LAST))
 
 
+def cut_count(runs: DataFrame, size: int) -> int:
+    """How many runs :func:`in_blocks` makes."""
+    held = runs.where(F.col(FIRST) <= F.col(LAST))
+    blocks = block_of(F.col(LAST), size) - block_of(F.col(FIRST), size) + 1
+    return int(held.agg(F.coalesce(F.sum(blocks), F.lit(0))).first()[0])
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
 def joined(runs: DataFrame, by: Sequence[str]) -> DataFrame:
     """Overlapping and touching runs of equal ``by`` as one each."""
-    before = Window.partitionBy(*by).orderBy(FIRST, LAST)
-    reach = F.max(LAST).over(before.rowsBetween(Window.unboundedPreceding, -1))
-    begins = F.when(F.col(FIRST) <= reach + 1, 0).otherwise(1)
-    island = F.sum("_begins").over(before.rowsBetween(Window.unboundedPreceding, 0))
-    marked = runs.withColumn("_begins", begins).withColumn("_island", island)
-    found = marked.groupBy(*by, "_island").agg(F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST))
-    return found.select(*by, FIRST, LAST)
+    order = Window.partitionBy(*by).orderBy(FIRST, LAST)
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(LAST).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.withColumns({"_begins": F.coalesce(F.col(FIRST) > reach + 1, F.lit(True)), "_upto": F.max(LAST).over(so_far)})
+    first = F.last(F.when(F.col("_begins"), F.col(FIRST)), ignorenulls=True).over(so_far)
+    # What ends is known from the next run, so that no run waits in a hash table for others of its island.
+    ends = F.lead("_begins", 1, True).over(order)
+    found = marked.withColumns({"_first": first, "_ends": ends}).where("_ends")
+    return found.select(*by, F.col("_first").alias(FIRST), F.col("_upto").alias(LAST))
 
 
-def merge_runs(*runs: DataFrame, block: int = WIDE_BLOCK) -> DataFrame:
-    """The fewest runs that cover the same rows, (FileID, FirstRow, LastRow).
+def merge_runs(*runs: DataFrame, block: int = WIDE_BLOCK, tasks: int | None = None) -> DataFrame:
+    """The fewest runs that cover the same rows, (FileID, FirstRow, LastRow), made in ``tasks`` tasks.
 
     Runs are joined inside blocks first.  Only those that reach the edge of a block, two a block
-    at most, are then joined over a whole file.
+    at most, are then joined over a whole file.  Without ``tasks`` the runs are counted.
     """
-    cut = joined(in_blocks(union_all(*[r.select(*RUN) for r in runs]), block), [FILE, "_block"])
+    every = union_all(*[r.select(*RUN) for r in runs])
+    tasks = tasks or tasks_for(cut_count(every, block))
+    cut = joined(in_blocks(every, block).repartition(tasks, FILE, "_block"), [FILE, "_block"])
     edge = (F.pmod(FIRST, F.lit(block)) == 0) | (F.pmod(LAST, F.lit(block)) == block - 1)
-    return cut.where(~edge).select(*RUN).unionByName(joined(cut.where(edge).select(*RUN), [FILE]))
+    over = joined(cut.where(edge).select(*RUN).repartition(tasks, FILE), [FILE])
+    return cut.where(~edge).select(*RUN).unionByName(over)
 
 
 def row_runs(*delivered: DataFrame) -> DataFrame:
@@ -76,10 +98,14 @@ def row_runs(*delivered: DataFrame) -> DataFrame:
 
 def append_runs(log: DataFrame, *delivered: DataFrame) -> DataFrame:
     """The log of runs after a delivery, merged; files without new rows pass as they are."""
-    new = row_runs(*delivered)
+    new = union_all(*[as_runs(d.select(FILE, ROW)) for d in delivered])
+    log, rows = log.select(*RUN), new.count()
+    tasks = tasks_for(cut_count(log, WIDE_BLOCK) + rows)
     files = new.select(FILE).distinct()
-    touched = log.select(*RUN).join(files, FILE, "left_semi")
-    return log.select(*RUN).join(files, FILE, "left_anti").unionByName(merge_runs(touched, new))
+    if rows > FEW:
+        log, files = log.repartition(tasks, FILE), new.select(FILE).repartition(tasks, FILE).distinct()
+    touched = log.join(files, FILE, "left_semi")
+    return log.join(files, FILE, "left_anti").unionByName(merge_runs(touched, new, tasks=tasks))
 
 
 def expanded(runs: DataFrame) -> DataFrame:
