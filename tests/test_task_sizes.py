@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardloom.operators import row_runs as rr
+from cardloom.operators.incremental import exclude_logged
 from tests.conftest import rows
 
 
@@ -25,3 +26,11 @@ def test_runs_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
     want = sparse(spark, 5000).union(sparse(spark, 5000, 11)).distinct()
     assert rows(rr.expanded(after)) == rows(want)
     assert most_in_a_task(after) < 600
+
+
+def test_a_log_of_runs_to_exclude_is_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(rr, "ROWS_PER_TASK", 200, raising=False)
+    tx, log = sparse(spark, 3000, 14), sparse(spark, 3000)
+    held = rr.row_runs(log)
+    assert held.rdd.getNumPartitions() >= 15
+    assert rows(exclude_logged(tx, held)) == rows(tx.exceptAll(tx.intersect(log)))
