@@ -163,6 +163,10 @@ def merchant_scope(
 
 
 GRAM = 3
+#: Texts of a task that looks up rules; a text has many pieces.
+TEXTS_PER_TASK = 20_000
+#: Up to so many rules the index goes to every task.
+FEW_RULES = 100_000
 
 
 def grams(text: Column, size: int = GRAM) -> Column:
@@ -183,19 +187,24 @@ def match_rules(df: DataFrame, rules: DataFrame, column: str, key: str) -> DataF
     A rule is filed under the piece of its longest literal that the fewest texts have, and a text looks up its own pieces;
     what meets there is verified by the pattern.  A rule whose literals are shorter than ``GRAM`` characters is filed under
     the empty piece, which every text has.  The plan does not grow with the rules.  NULLs match nothing.
+    Texts are dealt to tasks by their number, and which side is broadcast follows from the number of rules, since
+    a file, by whose size the planner goes, is small beside the pieces of its texts.
     """
     texts = df.select(F.col(key), F.lower(column).alias("_text")).where(F.col("_text").isNotNull())
+    tasks = max(1, -(-texts.count() // TEXTS_PER_TASK))
+    texts = texts.repartition(tasks, key, "_text").distinct()
     patterns = rules.where(F.col("pattern").isNotNull()).select("rule", F.lower("pattern").alias("_pattern")).distinct()
     none = F.array(F.lit(""))
     filed = patterns.select("rule", "_pattern", F.explode(F.coalesce(grams(longest_literal(F.col("_pattern"))), none)).alias("_gram"))
-    wanted = filed.select("_gram").distinct()
+    side = F.broadcast if patterns.count() <= FEW_RULES else lambda df: df.hint("merge")
+    wanted = side(filed.select("_gram").distinct())
     pieces = texts.select(key, "_text", F.explode(F.concat(none, F.coalesce(grams(F.col("_text")), F.array().cast("array<string>")))).alias("_gram"))
     pieces = pieces.join(wanted, "_gram", "left_semi")
     often = pieces.groupBy("_gram").agg(F.count(F.lit(1)).alias("_often"))
     place = F.struct(F.coalesce("_often", F.lit(0)).alias("n"), "_gram")
     index = filed.join(often, "_gram", "left").groupBy("rule", "_pattern").agg(F.min(place).alias("_least"))
     index = index.select("rule", "_pattern", F.col("_least._gram").alias("_gram"))
-    met = pieces.join(index, "_gram").where(F.like("_text", F.col("_pattern")))
+    met = pieces.join(side(index), "_gram").where(F.like("_text", F.col("_pattern")))
     return met.select(key, "rule").distinct()
 
 
