@@ -3,7 +3,7 @@
 Each pass hashes every vector, less the mean of its group, to the signs of random projections, read as one number, and
 sorts by it: vectors at a small angle tend to stand near each other.  Within the order each vector is compared with a
 bounded window of followers, by a signature of 128 further signs; vectors themselves do not travel with the passes.  The number of
-passes of a group follows from a sample of it, for a stated recall.  What the passes of all kinds bring together is then
+passes of a group follows from a trial pass over all of its vectors, for a stated recall.  What the passes of all kinds bring together is then
 compared exactly, in blocks, and the verified links are united.
 """
 
@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -33,7 +32,8 @@ ROWS_PER_TASK = 2_000
 MOST_PER_CHUNK = 20_000
 #: Groups that would need more passes are compared in full.
 MOST_PASSES = 96
-SAMPLE = 1_000
+#: Steps in which the chance of a differing sign is counted.
+STEPS = 512
 
 
 @lru_cache(8)
@@ -60,63 +60,127 @@ def units(vectors) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-class Plan(NamedTuple):
-    """``passes`` of a group (None: compare it in full) and the most signs in which a pair may differ."""
+def agreement(square: np.ndarray, cosine: float) -> np.ndarray:
+    """The chance that a sign agrees in two vectors at ``cosine``, from their squared distance to the mean: the angle there over pi."""
+    return 1 - np.arccos(np.clip(1 - (1 - cosine) / np.maximum(square, 1e-300), -1, 1)) / np.pi
 
-    passes: int | None
-    differ: int
 
+def most_differing(apart: float) -> int:
+    """The most signs in which a pair may differ, from the chance that one differs."""
+    return min(SIGNATURE, int(np.ceil(SIGNATURE * apart + SLACK * np.sqrt(SIGNATURE * apart * (1 - apart)))))
 
-def passes_needed(x: np.ndarray, rows: int, cosine: float, neighbours: int, recall: float, most: int) -> Plan:
-    """Passes that find ``recall`` of the pairs at ``cosine`` in a group of ``rows`` rows with the unit vectors ``x`` as a sample.
 
-    A bit tells two vectors apart with a chance of their angle (less the mean) over pi.  For each vector that gives the bits
-    after which the others agreeing in all of them, linked ones aside, fill half a window, and the chance that a
-    neighbour agrees in these too.
+def depths(code: np.ndarray, signs: np.ndarray, linked: np.ndarray, reach: int) -> np.ndarray:
+    """For sorted codes the bits in which no vector beyond ``reach`` places agrees, linked ones aside.
+
+    A vector beyond that differs in at most ``linked`` signs counts as linked: the window is full of linked ones then.
     """
-    y = x - x.mean(0)
-    square = (y * y).sum(1)
-    length = np.sqrt(np.maximum(square, 1e-300))
-    agree = 1 - np.arccos(np.clip((y @ y.T) / length / length[:, None], -1, 1)) / np.pi
-    agree[x @ x.T >= cosine] = 0.0
-    np.fill_diagonal(agree, 0.0)
-    close = 1 - np.arccos(np.clip(1 - (1 - cosine) / np.maximum(square, 1e-300), -1, 1)) / np.pi
-    apart = float(np.quantile(1 - close, 0.99))
-    differ = min(SIGNATURE, int(np.ceil(SIGNATURE * apart + SLACK * np.sqrt(SIGNATURE * apart * (1 - apart)))))
-    found, power = np.zeros(len(x)), (agree > 0).astype(float)
-    todo = np.ones(len(x), bool)
-    for bits in range(BITS + 1):
-        full = todo & (power.sum(1) * rows / max(1, len(x) - 1) <= neighbours / 2)
-        found[full] = close[full] ** bits
-        todo &= ~full
-        power *= agree
-    passes = 1
-    while (1 - (1 - found) ** passes).mean() < recall:
-        passes += 1
-        if passes > most:
-            return Plan(None, differ)
-    return Plan(passes, differ)
+    deep = np.zeros(len(code), np.int64)
+    n = len(code) - reach - 1
+    if n > 0:
+        shared = BITS - np.frexp((code[:n] ^ code[-n:]).astype(np.float64))[1]
+        apart = np.bitwise_count(signs[:n] ^ signs[-n:]).sum(1)
+        deep[:n] = np.where(apart > linked[:n], shared + 1, 0)
+        deep[-n:] = np.maximum(deep[-n:], np.where(apart > linked[-n:], shared + 1, 0))
+    return np.minimum(deep, BITS)
+
+
+def centres(rows: DataFrame) -> DataFrame:
+    """(group, centre): the mean of all unit vectors of each group, for rows (group, vec)."""
+    sums = "group string, n long, sums array<double>"
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, list] = {}
+        for batch in batches:
+            for group, part in batch.groupby("group"):
+                own = held.setdefault(group, [0, 0.0])
+                own[0] += len(part)
+                own[1] = own[1] + units(part["vec"]).sum(0)
+        yield pd.DataFrame({"group": list(held), "n": [n for n, _ in held.values()], "sums": [x for _, x in held.values()]})
+
+    def mean(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Rounded, so that the order of the parts does not matter.
+        centre = np.round(np.sum(np.stack(pdf["sums"]), 0) / pdf["n"].sum(), 9)
+        return pd.DataFrame({"group": pdf["group"].iloc[:1], "centre": [centre]})
+
+    return rows.select("group", "vec").mapInPandas(add, sums).groupBy("group").applyInPandas(mean, "group string, centre array<double>")
 
 
 def planned(reps: DataFrame, cosine: float, neighbours: int, recall: float) -> DataFrame:
     """(group, n, passes, differ, centre) of all groups; passes is NULL where a group is compared in full.
 
-    A group that fits into one window has one pass, in which all of it is looked at.
+    A group that fits into one window has one pass, in which all of it is looked at.  All vectors of a larger one are sorted in a
+    trial pass: each has a number of bits after which those that agree in all of them, linked ones aside, fill
+    half a window, and so a chance that a neighbour at the cosine agrees in these too.  The passes make the mean chance of
+    all vectors at least ``recall``; ``differ`` holds for 99 of 100 vectors.
     """
     sizes = staged(reps.groupBy("group").agg(F.count(F.lit(1)).alias("n")), "vectors-sizes")
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(7), "id"), 11) / F.lit(float(2**53))
-    large = sizes.where(F.col("n") > neighbours)
-    drawn = reps.join(large, "group").where(draw < F.lit(float(SAMPLE)) / F.col("n"))
-    most = MOST_PASSES
+    small, most, reach = F.col("n") <= neighbours, MOST_PASSES, neighbours // 4
+    large = sizes.where(~small).select("group")
+    rows = reps.join(large, "group")
+    middle = staged(centres(rows), "vectors-centres")
+    found = {"seen": "long", "missed": "array<double>", "steps": "array<long>"}
+    fields = ", ".join(f"{k} {v}" for k, v in found.items())
+
+    def trial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for group, part in batch.groupby("group"):
+                x = units(part["vec"]) - np.asarray(part["centre"].iat[0])
+                signs = signatures(x).view(np.int64)
+                yield pd.DataFrame({"group": group, "code": codes(x, 1, BITS)[:, 0], "s0": signs[:, 0], "s1": signs[:, 1], "square": (x * x).sum(1)})
+
+    def tallied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, list] = {}
+        waiting, before = None, 0
+
+        def take(part: pd.DataFrame, known: int, upto: int) -> None:
+            """Count the rows from ``known`` to ``upto`` of rows of one group."""
+            close = agreement(part["square"].to_numpy(), cosine)
+            signs = part[["s0", "s1"]].to_numpy().view(np.uint64)
+            deep = depths(part["code"].to_numpy(), signs, np.where(close > 0.6, SIGNATURE * (1 - close), -1), reach)[known:upto]
+            close = close[known:upto]
+            own = held.setdefault(part["group"].iat[0], [0, np.zeros(most), np.zeros(STEPS + 1, np.int64)])
+            own[0] += upto - known
+            missed = 1 - close**deep
+            left = missed.copy()
+            for p in range(most):
+                own[1][p] += left.sum()
+                left *= missed
+            own[2] += np.bincount(np.ceil((1 - close) * STEPS).astype(np.int64), minlength=STEPS + 1)
 
-    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, n = units(pdf["vec"]), int(pdf["n"].iat[0])
-        found = passes_needed(x, n, cosine, neighbours, recall, most)
-        out = {"group": pdf["group"].iloc[:1], "passes": pd.array([found.passes], "Int32"), "differ": [found.differ], "centre": [x.mean(0)]}
-        return pd.DataFrame(out)
+        for batch in batches:
+            if batch.empty:
+                continue
+            whole = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+            group = whole["group"].to_numpy()
+            edges = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(whole)]
+            for first, end in zip(edges[:-2], edges[1:-1]):
+                take(whole.iloc[first:end], before, end - first)
+                before = 0
+            # The last rows of what is here wait for their followers; those before them are kept for these.
+            last = whole.iloc[edges[-2] :]
+            upto = max(before, len(last) - reach - 1)
+            if upto > before:
+                take(last, before, upto)
+            start = max(0, upto - reach - 1)
+            waiting, before = last.iloc[start:], upto - start
+        if waiting is not None and before < len(waiting):
+            take(waiting, before, len(waiting))
+        names = list(held)
+        yield pd.DataFrame({"group": names} | {k: [held[g][i] for g in names] for i, k in enumerate(found)})
 
-    plans = drawn.select("group", "n", "vec").groupBy("group").applyInPandas(plan, "group string, passes int, differ int, centre array<double>")
-    small = F.col("n") <= neighbours
+    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
+        seen, missed = pdf["seen"].sum(), np.sum(np.stack(pdf["missed"]), 0)
+        enough = np.flatnonzero(np.round(missed / seen, 9) <= 1 - recall)
+        steps = np.cumsum(np.sum(np.stack(pdf["steps"]), 0))
+        apart = int(np.searchsorted(steps, 0.99 * seen)) / STEPS
+        passes = pd.array([int(enough[0]) + 1 if len(enough) else None], "Int32")
+        return pd.DataFrame({"group": pdf["group"].iloc[:1], "passes": passes, "differ": [most_differing(apart)]})
+
+    hashed = rows.join(middle, "group").select("group", "vec", "centre").mapInPandas(trial, "group string, code long, s0 long, s1 long, square double")
+    tasks = pieces_for(int(sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), 200_000)
+    tallies = hashed.repartitionByRange(max(tasks, 8), "group", "code", "s0").sortWithinPartitions("group", "code", "s0", "s1").mapInPandas(tallied, f"group string, {fields}")
+    plans = tallies.groupBy("group").applyInPandas(plan, "group string, passes int, differ int").join(middle, "group")
     return staged(
         sizes.join(plans, "group", "left").select(
             "group",
