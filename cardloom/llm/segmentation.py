@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -25,9 +26,12 @@ from pyspark.sql import functions as F
 from cardloom.llm.shared import blocks
 
 SAMPLES = 2
-MOST_RUNS = 200_000
+#: Runs kept, and their edges: each takes 24 bytes.
+MOST_RUNS, MOST_EDGES = 120_000, 2_500_000
+#: Characters searched side by side; some hundred bytes each.
+CHARS_AT_ONCE = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK = re.compile("▁+[^▁]*|[^▁]+")
+_BLANK = ord("▁")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,56 +54,91 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+class Trie:
+    """The beginnings of words as nodes, found by (node, next character) in a table of slots.  Node 0 is empty."""
+
+    def __init__(self, words: list[str], ids: list[int], weights: list[float]):
+        nodes = {"": 0}
+        for word in words:
+            for n in range(1, len(word) + 1):
+                nodes.setdefault(word[:n], len(nodes))
+        self.id, self.weight = np.full(len(nodes), -1, np.int32), np.zeros(len(nodes))
+        at = [nodes[w] for w in words]
+        self.id[at], self.weight[at] = ids, weights
+        self.depth = max(map(len, words))
+        bits = (4 * len(nodes)).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
+        self.key, self.child = np.full(1 << bits, ~np.uint64(0)), np.zeros(1 << bits, np.int32)
+        key = np.array([nodes[x[:-1]] << 21 | ord(x[-1]) for x in nodes if x], np.uint64)
+        child, slot = np.arange(1, len(nodes), dtype=np.int32), self.slots(key)
+        while len(key):
+            # Of those that want a free slot one gets it, the others go on to the next.
+            free = np.flatnonzero(self.key[slot] == ~np.uint64(0))
+            self.key[slot[free]] = key[free]
+            placed = self.key[slot] == key
+            self.child[slot[placed]] = child[placed]
+            key, child, slot = key[~placed], child[~placed], (slot[~placed] + 1) & self.mask
+
+    def slots(self, key: np.ndarray) -> np.ndarray:
+        return ((key * _BASE) >> self.shift).astype(np.int64)
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The nodes one character on, 0 where there is none."""
+        key = node.astype(np.uint64) << np.uint64(21) | code
+        slot = self.slots(key)
+        held = self.key[slot]
+        out = np.where(held == key, self.child[slot], np.int32(0))
+        at = np.flatnonzero((held != key) & (held != ~np.uint64(0)))
+        while len(at):
+            spot = slot[at] = (slot[at] + 1) & self.mask
+            held = self.key[spot]
+            hit = held == key[at]
+            out[at[hit]] = self.child[spot[hit]]
+            at = at[~hit & (held != ~np.uint64(0))]
+        return out
+
+
+@lru_cache(2)
+def vocabulary(path: str) -> tuple[list[tuple[str, int, float]], dict[int, int], list[bytes], bool, int]:
+    """Pieces with ids and scores, the ids of bytes, the bytes of every id, whether scores are ranks, and the number of ids."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    size = sp.get_piece_size()
+    named, byte, raw = [], {}, []
+    for i in range(size):
+        name = sp.id_to_piece(i)
+        if sp.is_byte(i):
+            byte[int(name[3:5], 16)] = i
+            raw.append(bytes([int(name[3:5], 16)]))
+        elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
+            raw.append(b"")
+        else:
+            named.append((name, i, sp.get_score(i)))
+            raw.append(name.replace("▁", " ").encode())
+    return named, byte, raw, all(float(sp.get_score(i)).is_integer() for i in range(size)), size
+
+
 class Lattice:
     """Edges of the lattices of runs between blanks.
 
     No piece spans a blank in its middle, so the lattice of a text falls apart into runs, and the
-    lattice of a run is built once, with many others together, and up to ``MOST_RUNS`` runs are kept; then those stay
-    that were needed since the last time.  A
+    lattice of a run is built once, with many others together.  Runs are known by a 64-bit hash.  When more than
+    ``MOST_RUNS`` or ``MOST_EDGES`` would be held, those needed in most calls stay.  A
     state is a place in a run; its edges stand together, shortest piece first.  A vocabulary
     whose scores are merge ranks gets weights by Zipf's law, ``-log(rank + 10)``; other scores are log
     probabilities.  Characters without a piece are their bytes.
     """
 
     def __init__(self, path: str, temperature: float = 1.0):
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = sp.get_piece_size()
-        ranked = all(float(sp.get_score(i)).is_integer() for i in range(size))
-        names, weights, kept = [], [], []
-        self.byte, self.raw = {}, []
-        for i in range(size):
-            name = sp.id_to_piece(i)
-            if sp.is_byte(i):
-                self.byte[int(name[3:5], 16)] = i
-                self.raw.append(bytes([int(name[3:5], 16)]))
-            elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
-                self.raw.append(b"")
-            else:
-                score = sp.get_score(i)
-                # Runs of blanks have no rank: they stand behind all others.
-                weights.append((-math.log(min(-score, size) + 10) if ranked else score) / temperature)
-                names.append(name)
-                kept.append(i)
-                self.raw.append(name.replace("▁", " ").encode())
+        named, self.byte, self.raw, ranked, size = vocabulary(path)
+        names = [name for name, _, _ in named]
         if any("▁" in name.lstrip("▁") for name in names):
             raise ValueError("a piece spans a blank")
+        # Runs of blanks have no rank: they stand behind all others.
+        weights = [(-math.log(min(-score, size) + 10) if ranked else score) / temperature for _, _, score in named]
         self.per_byte = -math.log(size) / temperature
-        # For each length all beginnings of pieces, which of them are pieces, and their weights.
-        self.by_length = []
-        for n in range(1, max(map(len, names)) + 1):
-            begun = {name[:n]: (-1, 0.0) for name in names if len(name) >= n}
-            begun |= {name: (i, weight) for name, i, weight in zip(names, kept, weights) if len(name) == n}
-            code = self.codes("".join(begun)).reshape(-1, n)
-            hashed = np.zeros(len(begun), np.uint64)
-            for k in range(n):
-                hashed = hashed * _BASE + code[:, k]
-            order = np.argsort(hashed)
-            if len(np.unique(hashed)) < len(hashed):
-                raise ValueError("two pieces share a hash")
-            ids, of = zip(*begun.values())
-            self.by_length.append((hashed[order], np.array(ids)[order], np.array(of)[order]))
+        self.trie = Trie(names, [i for _, i, _ in named], weights)
         self.reset()
 
     @staticmethod
@@ -107,36 +146,35 @@ class Lattice:
         return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
     def reset(self) -> None:
-        self.runs: dict[str, int] = {}
-        self.recent: set[str] = set()
+        # The runs by rising hash: where each begins, how long it is, and in how many calls it was needed lately.
+        self.hashes, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.size, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.filled = self.used = 0
         self.first = np.zeros(1 << 12, np.int64)
         self.cut, self.logp = np.zeros(1 << 14), np.zeros(1 << 14)
         self.next, self.piece = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
-    def learn(self, runs: list[str]) -> None:
-        """Lattices of all the runs, with the exact probability of each edge given its state."""
-        size = np.array([len(r) for r in runs])
-        code = self.codes("".join(runs))
+    def learn(self, code: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Lattices of runs that stand one after the other, with the exact probability of each edge given its state."""
         places = len(code)
         end = np.repeat(np.cumsum(size), size)
         where, widths, pieces, weights = [], [], [], []
-        here, hashed = np.arange(places), np.zeros(places, np.uint64)
+        here, node = np.arange(places), np.zeros(places, np.int32)
         alone = np.ones(places, bool)
-        for n, (known, ids, weight) in enumerate(self.by_length, 1):
-            fits = here + n <= end[here]
-            here, hashed = here[fits], hashed[fits]
-            hashed = hashed * _BASE + code[here + n - 1]
-            spot = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-            begun = known[spot] == hashed
-            here, hashed, spot = here[begun], hashed[begun], spot[begun]
-            hit = ids[spot] >= 0
+        for n in range(1, self.trie.depth + 1):
+            fits = np.flatnonzero(here + n <= end[here])
+            here = here[fits]
+            node = self.trie.step(node[fits], code[here + n - 1])
+            begun = np.flatnonzero(node)
+            here, node = here[begun], node[begun]
+            ids = self.trie.id[node]
+            hit = np.flatnonzero(ids >= 0)
             if n == 1:
                 alone[here[hit]] = False
             where.append(here[hit])
-            widths.append(np.full(int(hit.sum()), n))
-            pieces.append(ids[spot[hit]])
-            weights.append(weight[spot[hit]])
+            widths.append(np.full(len(hit), n))
+            pieces.append(ids[hit])
+            weights.append(self.trie.weight[node[hit]])
         lost = np.flatnonzero(alone)
         if len(lost):
             # A character as its bytes: the id of a single one, and minus the code, less one, for more.
@@ -169,16 +207,16 @@ class Lattice:
         back = np.argsort(distance.astype(np.int16) if distance.max() < 1 << 15 else distance, kind="stable")
         bounds = np.concatenate([[0], np.cumsum(np.bincount(distance)[1:])])
         goes_on = np.where(last, places, target)
+        # Edges in the order in which their places are summed.
+        by_place = number[back]
+        by_edge = np.concatenate([[0], np.cumsum(by_place)])
+        order = spans(first[back], by_place)
+        ahead, upto = weights[order], goes_on[order]
         for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            here = back[i:j]
-            # A column per edge of a place: as many as the place with the most has, the others beyond reach.
-            sums = np.full((int(number[here].max()), len(here)), -np.inf)
-            for k in range(len(sums)):
-                has = np.flatnonzero(number[here] > k)
-                e = first[here[has]] + k
-                sums[k, has] = weights[e] + total[goes_on[e]]
-            top = sums.max(0)
-            total[here] = top + np.log(np.exp(sums - top).sum(0))
+            low, high = by_edge[i], by_edge[j]
+            sums, starts = ahead[low:high] + total[upto[low:high]], by_edge[i:j] - low
+            top = np.maximum.reduceat(sums, starts)
+            total[back[i:j]] = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, by_place[i:j])), starts))
         logp = np.minimum(weights + total[goes_on] - total[where], 0.0)
         p = np.exp(logp)
         whole = np.cumsum(p)
@@ -189,58 +227,83 @@ class Lattice:
         self.append("logp", logp, self.used)
         self.append("next", np.where(last, -1, self.filled + target), self.used)
         self.append("piece", pieces, self.used)
-        for run, at in zip(runs, (self.filled + np.cumsum(size) - size).tolist()):
-            self.runs[run] = at
+        at = self.filled + np.cumsum(size) - size
         self.filled += places
         self.used += len(where)
+        return at
 
     def append(self, name: str, new: np.ndarray, at: int) -> None:
         array = getattr(self, name)
         if at + len(new) > len(array):
-            array = np.resize(array, max(at + len(new), 2 * len(array)))
+            array = np.empty(max(at + len(new), len(array) * 3 // 2), array.dtype)
+            array[:at] = getattr(self, name)[:at]
             setattr(self, name, array)
         array[at : at + len(new)] = new
 
     def entries(self, texts: list[str]) -> Iterator[np.ndarray]:
         """For each text the states in which its runs begin."""
-        split = [_CHUNK.findall("▁" + t.replace(" ", "▁")) if t else [] for t in texts]
-        needed = set().union(*split)
-        unseen = needed.difference(self.runs)
-        if len(self.runs) + len(unseen) > MOST_RUNS:
-            self.keep(needed | self.recent)
-            self.recent = set()
-            unseen = needed.difference(self.runs)
-        self.recent |= needed
-        if unseen:
-            self.learn(list(unseen))
-        count = [len(runs) for runs in split]
-        found = np.fromiter(map(self.runs.__getitem__, chain.from_iterable(split)), np.int64, sum(count))
-        yield from np.split(found, np.cumsum(count)[:-1])
-
-    def keep(self, runs: set[str]) -> None:
-        """Forget all runs but those of ``runs``, and these too if they alone are more than half of what may be held."""
-        kept = [r for r in self.runs if r in runs]
-        if 2 * len(kept) > MOST_RUNS:
+        marked = ["▁" + t.replace(" ", "▁") if t else "" for t in texts]
+        code = self.codes("".join(marked))
+        if not len(code):
+            yield from [np.zeros(0, np.int64)] * len(texts)
+            return
+        # A run begins with blanks, or with its text.
+        begins = code == _BLANK
+        begins[1:] &= ~begins[:-1]
+        upto = np.cumsum([len(t) for t in marked])
+        begins[upto[upto < len(code)]] = True
+        start = np.flatnonzero(begins)
+        size = np.diff(np.append(start, len(code)))
+        # Every character is mixed with its place in the run, so the sums have no structure.
+        place = (np.arange(len(code)) - np.repeat(start, size)).astype(np.uint64)
+        hashed, index, which = np.unique(np.add.reduceat(mix((place << np.uint64(21)) + code + np.uint64(1)), start), return_index=True, return_inverse=True)
+        spot, known = self.find(hashed)
+        # At most as many edges as a place has beginnings; most have a third.
+        if len(self.hashes) + np.count_nonzero(~known) > MOST_RUNS or self.used > MOST_EDGES:
+            self.keep(spot[known])
+            spot, known = self.find(hashed)
+        self.uses[spot[known]] += 1
+        if not known.all():
+            new = index[~known]
+            at = self.learn(code[spans(start[new], size[new])], size[new])
+            for name, value in {"hashes": hashed[~known], "at": at, "size": size[new], "uses": 1}.items():
+                setattr(self, name, np.insert(getattr(self, name), spot[~known], value))
+            spot = np.searchsorted(self.hashes, hashed)
+        yield from np.split(self.at[spot][which], np.searchsorted(start, upto)[:-1])
+
+    def find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs stand or would stand, and which are known."""
+        spot = np.searchsorted(self.hashes, hashed)
+        known = spot < len(self.hashes)
+        known[known] = self.hashes[spot[known]] == hashed[known]
+        return spot, known
+
+    def keep(self, needed: np.ndarray) -> None:
+        """Forget all runs but ``needed`` and those used most, and these too if they are more than half of what may be held."""
+        ends = np.append(self.first[: self.filled], self.used)
+        edges = ends[self.at + self.size] - ends[self.at]
+        for least in (2, 3, 5, 9, np.iinfo(np.int32).max):
+            chosen = self.uses >= least
+            chosen[needed] = True
+            if fits := 2 * np.count_nonzero(chosen) <= MOST_RUNS and 2 * edges[chosen].sum() <= MOST_EDGES:
+                break
+        if not fits:
             self.reset()
             return
-        at = np.array([self.runs[r] for r in kept], np.int64)
-        starts = np.append(np.sort(np.fromiter(self.runs.values(), np.int64, len(self.runs))), self.filled)
-        size = starts[np.searchsorted(starts, at) + 1] - at
-        bounds = np.append(self.first[: self.filled], self.used)
-        places = spans(at, size)
-        degree = np.diff(bounds)[places]
-        edges = spans(bounds[at], bounds[at + size] - bounds[at])
+        at, size, edges = self.at[chosen], self.size[chosen], edges[chosen]
+        degree = np.diff(ends)[spans(at, size)]
+        kept = spans(ends[at], edges)
         moved = np.cumsum(size) - size
-        by_run = bounds[at + size] - bounds[at]
-        following = self.next[edges]
-        following = np.where(following < 0, -1, following - np.repeat(at - moved, by_run)).astype(np.int32)
-        old = {"cut": self.cut[edges], "logp": self.logp[edges], "next": following, "piece": self.piece[edges]}
+        following = self.next[kept]
+        following = np.where(following < 0, -1, following - np.repeat(at - moved, edges)).astype(np.int32)
+        old = {"cut": self.cut[kept], "logp": self.logp[kept], "next": following, "piece": self.piece[kept]}
+        runs = self.hashes[chosen], moved, size, self.uses[chosen] // 2
         self.reset()
         self.append("first", np.cumsum(degree) - degree, 0)
         for name, new in old.items():
             self.append(name, new, 0)
-        self.filled, self.used = len(places), len(edges)
-        self.runs = dict(zip(kept, moved.tolist()))
+        self.filled, self.used = len(degree), len(kept)
+        self.hashes, self.at, self.size, self.uses = runs
 
     def walk(self, entries: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn by their probabilities from each entry to the end of its run, in order, and their run."""
@@ -303,20 +366,21 @@ class _Text:
         for v, i in open_:
             heapq.heappush(self.queue, (-v, len(self.paths), i, (int(edges[i]),)))
 
-    def split(self, lattice: Lattice, number: int) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
-        """Take the best open set apart: the path so far with its runs, its value, and where it goes on."""
+    def split(self, lattice: Lattice, u: float, v: float) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+        """Take the best open set apart by two uniform numbers: the path so far with its runs, its value, and where it goes on."""
         negative, path, i, taken = heapq.heappop(self.queue)
         edges, run, before = self.paths[path - 1]
         left = [e for e in lattice.options(taken[0]) if e not in taken]
-        p = np.exp(lattice.logp[left])
-        seed = np.array([self.key], np.uint64)
-        spot = int(np.searchsorted(np.cumsum(p), float(uniforms(seed, 1, number)[0]) * p.sum(), "right"))
-        chosen = left[min(spot, len(left) - 1)]
-        if len(left) > 1:
-            others = sum(math.exp(lattice.logp[e]) for e in left if e != chosen)
-            if others > 0:
-                v = float(truncated(before[i] + math.log(others), -negative, float(uniforms(seed, 2, number)[0])))
-                heapq.heappush(self.queue, (-v, path, i, (*taken, chosen)))
+        p = [math.exp(x) for x in lattice.logp[left].tolist()]
+        sums = list(accumulate(p))
+        spot = min(bisect_right(sums, u * sums[-1]), len(left) - 1)
+        chosen = left[spot]
+        others = sum(p[:spot]) + sum(p[spot + 1 :])
+        if others > 0:
+            place = float(before[i]) + math.log(others)
+            far = place + negative
+            value = place - math.log(math.exp(far) - math.log(v)) if far < 700 else -math.inf
+            heapq.heappush(self.queue, (-value, path, i, (*taken, chosen)))
         target = int(lattice.next[chosen])
         rest = self.entries[run[i] + 1 :]
         ahead = rest if target < 0 else np.concatenate([[target], rest])
@@ -379,9 +443,10 @@ def sample_many(lattice: Lattice, entries: list[np.ndarray], keys: list[int], k:
             texts[t].add(whole[d], runs[d], before[part], float(logp[part].sum()), h[2], best[d])
         todo = [t for t in todo if texts[t].queue]
         if number + 1 < k:
-            heads = [texts[t].split(lattice, number) for t in todo]
-            if not heads:
+            if not todo:
                 break
+            drawn = uniforms(seeds[todo], 1, number).tolist(), uniforms(seeds[todo], 2, number).tolist()
+            heads = [texts[t].split(lattice, u, v) for t, u, v in zip(todo, *drawn)]
     out = []
     for text in texts:
         bound = -text.queue[0][0] if text.queue else -math.inf
@@ -417,7 +482,7 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, temperature: float = 1
         held = lattice(model, temperature)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, CHARS_AT_ONCE):
                 entries = list(held.entries(texts[a:b]))
                 found = sample_many(held, entries, [xxh64_intdigest(str(d), seed) for d in keys[a:b]], k)
                 owner = [doc for doc, samples in zip(keys[a:b], found) for _ in samples]
@@ -442,9 +507,9 @@ def decode(ids: Column, model: str) -> Column:
 
     @F.pandas_udf("string")
     def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        raw = lattice(model, 1.0).raw
+        raw = np.array(vocabulary(model)[2], object)
         for s in batches:
-            data = [None if x is None else b"".join([raw[i] for i in x]).decode("utf-8", "replace") for x in s]
+            data = [None if x is None else b"".join(raw[x].tolist()).decode("utf-8", "replace") for x in s]
             yield pd.Series([t[1:] if t and t[0] == " " else t for t in data], dtype="object")
 
     return join(ids)

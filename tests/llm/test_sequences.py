@@ -281,3 +281,23 @@ def test_encoding_and_decoding(spark, pieces):
     again = segmentation.encode(rows.repartition(3), PIECES, k=3)
     assert sorted((r["doc_id"], r["sample"], tuple(r["ids"])) for r in again.collect() if r["doc_id"] is not None) == sorted((k, s, ids) for k, s, _, ids, _ in back if k is not None)
     assert segmentation.encode(rows.limit(0), PIECES).count() == 0
+
+
+def test_lattices_stay_small_and_common_runs_are_kept(pieces, monkeypatch):
+    monkeypatch.setattr(segmentation, "MOST_EDGES", 6000, raising=False)
+    small = segmentation.Lattice(PIECES)
+    first = int(next(small.entries(["common"]))[0])
+    learned = []
+    learn = small.learn
+    monkeypatch.setattr(small, "learn", lambda code, *size: learned.append(len(code)) or learn(code, *size))
+    for i in range(60):
+        text = " ".join(["common", *(f"w{i}x{j}" for j in range(50))])
+        got, want = next(small.entries([text])), next(pieces.entries([text]))
+        assert [segmentations(small, int(e)) for e in got[:4]] == [
+            [(ids, pytest.approx(p)) for ids, p in segmentations(pieces, int(e))] for e in want[:4]
+        ]
+        assert small.used <= 9000
+    assert first >= 0 and len(learned) == 60
+    before = len(learned)
+    next(small.entries(["common"]))
+    assert len(learned) == before
