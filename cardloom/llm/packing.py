@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.remembered import Remembered
+from cardloom.llm.remembered import Remembered, codes, hashes, spans
 from cardloom.llm.shared import blocks, gapless, pieces_for, same_text, spare_memory, staged
 
 WINDOW = 2048
@@ -33,19 +33,29 @@ GRAIN = 16
 MOST_WORDS = 250_000
 #: A tokenizer may be asked word by word if these texts come out alike.
 _PROBES = ("The quick,brown  FOX\n\n jumps-over 12 dogs!? \u00c4rger \u00e9t\u00e9 na\u00efve", "don't we'll \u4f60\u597d \U0001f600 x", "a1b2..c", "")
-_BLANKS = re.compile("[ \t\r\n]+")
 #: What makes a text odd for the fast path (marks, scripts beyond Latin, a capital that becomes two
 #: characters, apostrophes, which begin contractions, and control tokens), and Latin small letters.
 _ODD = re.compile("[\u02b0-\U0010ffff\u0130']|<\\|")
 _LETTERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u012f\u0131-\u02af"
-_UNITS = re.compile(f"[{_LETTERS}]+|[^ \\t\\r\\n{_LETTERS}]+")
 _WORD = re.compile(f"[{_LETTERS}]+")
+#: By code: 0 for blanks, 1 for small letters, 2 for all else.
+_KIND = np.full(0x110000, 2, np.uint8)
+_KIND[[i for i in range(0x2B0) if _WORD.match(chr(i))]] = 1
+_KIND[[ord(c) for c in " \t\r\n"]] = 0
+
+
+def odd(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _ODD.search(text) is not None
+    return "'" in text or "<|" in text
 
 
 class WordEncoder:
     """Token ids of texts by a tokenizer that lower-cases and never joins pieces across white space or the end of a word.
 
-    Every unit is encoded once and remembered, about ``MOST_WORDS`` units in each of two generations.  Units are
+    Every unit is encoded once and remembered by a 64-bit hash, about ``MOST_WORDS`` units in each of two generations.  Units are
     words and what stands between them, or, in texts that are odd, whatever stands between blanks.  A tokenizer that does
     not cut a probe text so is given whole texts.
     """
@@ -55,38 +65,66 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.held = Remembered(self.learn, np.uint32, MOST_WORDS)
+        self.held = Remembered(self.learn_hashed, np.uint32, MOST_WORDS)
         whole = self.tokenizer.encode_batch(list(_PROBES), add_special_tokens=False)
         self.by_word = [e.ids for e in whole] == [x.tolist() for x in self.by_unit(list(_PROBES))]
         if not self.by_word:
-            self.held = Remembered(self.learn, np.uint32, MOST_WORDS)
+            self.held = Remembered(self.learn_hashed, np.uint32, MOST_WORDS)
 
     def learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units and their numbers; words are sent many at once, and the tokens tell which word they are of."""
         words = [k for k, u in enumerate(units) if _WORD.fullmatch(u)]
+        rest = np.setdiff1d(np.arange(len(units)), words).tolist()
         groups = [words[i : i + 400] for i in range(0, len(words), 400)]
-        found: list = [None] * len(units)
-        batch = self.tokenizer.encode_batch([" ".join(units[k] for k in g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, batch):
-            ids = np.array(e.ids, np.uint32)
-            ends = np.cumsum(np.bincount(e.word_ids, minlength=len(group)))
-            for k, part in zip(group, np.split(ids, ends[:-1])):
-                found[k] = part
-        rest = [k for k, u in enumerate(found) if u is None]
-        for k, e in zip(rest, self.tokenizer.encode_batch([units[k] for k in rest], add_special_tokens=False)):
-            found[k] = np.array(e.ids, np.uint32)
-        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+        batch = self.tokenizer.encode_batch([" ".join([units[k] for k in g]) for g in groups], add_special_tokens=False)
+        size = [np.bincount(e.word_ids, minlength=len(g)) for g, e in zip(groups, batch)]
+        ids = [np.array(e.ids, np.uint32) for e in batch]
+        batch = self.tokenizer.encode_batch([units[k] for k in rest], add_special_tokens=False)
+        found = [e.ids for e in batch]
+        size = np.concatenate([*size, np.fromiter(map(len, found), np.int64, len(found))]).astype(np.int64)
+        ids = np.concatenate([*ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        # They stand as sent, words first; put them in the order of the units.
+        at = np.argsort(np.concatenate([words, rest]).astype(np.int64))
+        return ids[spans((np.cumsum(size) - size)[at], size[at])], size[at]
+
+    def learn_hashed(self, wanted: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        text, hashed, start, size = self.now
+        at = np.searchsorted(hashed, np.array(wanted, np.uint64))
+        return self.learn([text[i : i + n] for i, n in zip(start[at].tolist(), size[at].tolist())])
 
     def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after the other, and how many each has."""
         if not self.by_word:
             found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
-        split = [_BLANKS.split(t) if _ODD.search(t) else _UNITS.findall(t.lower()) for t in texts]
-        table = self.held.ensure(set().union(*split))
-        count = np.fromiter(map(len, split), np.int64, len(split))
-        ids, size = table.gather(table.rows(chain.from_iterable(split), int(count.sum())))
-        before = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+        strange = [odd(t) for t in texts]
+        parts = [t if o else t.lower() for t, o in zip(texts, strange)]
+        text, width = "".join(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(width)
+        code = codes(text)
+        kind = _KIND[code]
+        for k in np.flatnonzero(strange).tolist():
+            part = kind[ends[k] - width[k] : ends[k]]
+            part[part > 0] = 2
+        begins = kind > 0
+        begins[1:] &= kind[1:] != kind[:-1]
+        first = (ends - width)[width > 0]
+        begins[first] = kind[first] > 0
+        start = np.flatnonzero(begins)
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        # A unit ends where the kind changes or the next text begins.
+        change = np.ones(len(code) + 1, bool)
+        change[1:-1] = kind[1:] != kind[:-1]
+        change[first] = True
+        bounds = np.flatnonzero(change)
+        unit = np.diff(bounds)[kind[bounds[:-1]] > 0]
+        hashed, index, which = np.unique(hashes(code, start, unit), return_index=True, return_inverse=True)
+        self.now = text, hashed, start[index], unit[index]
+        keys = hashed.tolist()
+        table = self.held.ensure(set(keys))
+        ids, size = table.gather(table.rows(keys, len(keys))[which])
+        before = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, np.concatenate([[0], ends]))]
         return ids, np.diff(before)
 
     def by_unit(self, texts: list[str]) -> list[np.ndarray]:

@@ -2,22 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Hashable, Iterable
 
 import numpy as np
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """Well-mixed bits of 64-bit counters."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of ranges, one range after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def hashes(code: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of parts of a text, given by characters.  Each is mixed with its place, so the sums have no structure."""
+    code = code[spans(start, size)].astype(np.uint64)
+    place = spans(np.zeros(len(size), np.int64), size).astype(np.uint64)
+    return np.add.reduceat(mix((place << np.uint64(21)) + code + np.uint64(1)), np.cumsum(size) - size)
+
+
 class Table:
-    """Rows of numbers by word, in one flat array."""
+    """Rows of numbers by word, or by the hash of a word, in one flat array."""
 
     def __init__(self, dtype):
-        self.index: dict[str, int] = {}
+        self.index: dict[Hashable, int] = {}
         self.start = np.zeros(1 << 10, np.int64)
         self.size = np.zeros(1 << 10, np.int64)
         self.flat = np.zeros(1 << 12, dtype)
         self.used = 0
 
-    def add(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> None:
+    def add(self, words: list[Hashable], flat: np.ndarray, size: np.ndarray) -> None:
         first, last, need = len(self.index), len(self.index) + len(words), self.used + len(flat)
         if need > len(self.flat):
             self.flat = np.resize(self.flat, max(need, 2 * len(self.flat)))
@@ -30,15 +54,13 @@ class Table:
         self.index.update(zip(words, range(first, last)))
         self.used = need
 
-    def rows(self, words: Iterable[str], count: int) -> np.ndarray:
+    def rows(self, words: Iterable[Hashable], count: int) -> np.ndarray:
         return np.fromiter(map(self.index.__getitem__, words), np.int64, count)
 
     def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of ``rows`` one after the other, and how many each has."""
         size = self.size[rows]
-        ends = np.cumsum(size)
-        places = np.repeat(self.start[rows] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        return self.flat[places], size
+        return self.flat[spans(self.start[rows], size)], size
 
 
 class Remembered:
@@ -48,11 +70,11 @@ class Remembered:
     generation began stay; a word that comes again in the next generation is copied, not learned.
     """
 
-    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], dtype, most: int):
+    def __init__(self, learn: Callable[[list], tuple[np.ndarray, np.ndarray]], dtype, most: int):
         self.learn, self.dtype, self.most = learn, dtype, most
         self.now, self.before = Table(dtype), Table(dtype)
 
-    def ensure(self, words: set[str]) -> Table:
+    def ensure(self, words: set) -> Table:
         """The table with all of ``words``."""
         unseen = words.difference(self.now.index)
         if not unseen:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.llm.remembered import codes, hashes, mix, spans
 from cardloom.llm.shared import blocks
 
 SAMPLES = 2
@@ -34,13 +35,6 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = ord("▁")
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Well-mixed bits of 64-bit counters."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def uniforms(seed: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
     """Numbers in (0, 1) that depend on a seed and counters alone."""
     for c in counters:
@@ -48,12 +42,6 @@ def uniforms(seed: np.ndarray, *counters: np.ndarray | int) -> np.ndarray:
     return ((seed >> np.uint64(11)) + 0.5) * 2.0**-53
 
 
-def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The numbers of ranges, one range after the other."""
-    ends = np.cumsum(size)
-    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-
-
 class Trie:
     """The beginnings of words as nodes, found by (node, next character) in a table of slots.  Node 0 is empty."""
 
@@ -141,10 +129,6 @@ class Lattice:
         self.trie = Trie(names, [i for _, i, _ in named], weights)
         self.reset()
 
-    @staticmethod
-    def codes(text: str) -> np.ndarray:
-        return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-
     def reset(self) -> None:
         # The runs by rising hash: where each begins, how long it is, and in how many calls it was needed lately.
         self.hashes, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -243,7 +227,7 @@ class Lattice:
     def entries(self, texts: list[str]) -> Iterator[np.ndarray]:
         """For each text the states in which its runs begin."""
         marked = ["▁" + t.replace(" ", "▁") if t else "" for t in texts]
-        code = self.codes("".join(marked))
+        code = codes("".join(marked)).astype(np.uint64)
         if not len(code):
             yield from [np.zeros(0, np.int64)] * len(texts)
             return
@@ -254,9 +238,7 @@ class Lattice:
         begins[upto[upto < len(code)]] = True
         start = np.flatnonzero(begins)
         size = np.diff(np.append(start, len(code)))
-        # Every character is mixed with its place in the run, so the sums have no structure.
-        place = (np.arange(len(code)) - np.repeat(start, size)).astype(np.uint64)
-        hashed, index, which = np.unique(np.add.reduceat(mix((place << np.uint64(21)) + code + np.uint64(1)), start), return_index=True, return_inverse=True)
+        hashed, index, which = np.unique(hashes(code, start, size), return_index=True, return_inverse=True)
         spot, known = self.find(hashed)
         # At most as many edges as a place has beginnings; most have a third.
         if len(self.hashes) + np.count_nonzero(~known) > MOST_RUNS or self.used > MOST_EDGES:

@@ -301,3 +301,17 @@ def test_lattices_stay_small_and_common_runs_are_kept(pieces, monkeypatch):
     before = len(learned)
     next(small.entries(["common"]))
     assert len(learned) == before
+
+
+def test_units_are_looked_up_once_a_block(monkeypatch):
+    from cardloom.llm.remembered import Table
+
+    looked, rows_of = [], Table.rows
+    monkeypatch.setattr(Table, "rows", lambda self, words, count: looked.append(count) or rows_of(self, words, count))
+    enc = packing.WordEncoder(WORDS)
+    looked.clear()
+    texts = ["The cat, the dog; THE cat! " * 200, "", " \n", "don't  the <|x|> ", "Ärger é ŉ " * 50, "日本 the\tcat"]
+    ids, size = enc.flat(texts)
+    want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == [i for x in want for i in x] and size.tolist() == [len(x) for x in want]
+    assert sum(looked) < 40
