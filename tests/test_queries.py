@@ -42,3 +42,9 @@ def test_query_equals_sql(spark, duck, name):
     assert sorted(columns) == sorted(df.columns)
     expected = Counter(result.fetchall())
     assert Counter(tuple(r) for r in df.select(*columns).collect()) == expected
+
+
+def test_the_debit_feed_makes_its_transactions_once(spark):
+    feed = QUERIES["dd_feed_h15"](spark, SF)
+    read = feed.inputFiles()
+    assert any("/dd-tx/" in f for f in read) and not any("lineitem" in f for f in read)

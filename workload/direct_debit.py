@@ -15,7 +15,7 @@ from cardloom.functions.keys import dd_oin_base64, dd_tuple_key
 from cardloom.operators import direct_debit as dd
 from cardloom.plans.direct_debit import DirectDebitTables, direct_debit_rows
 from cardloom.sources.files import export_exact, exported_files
-from cardloom.sources.tables import work_dir
+from cardloom.sources.tables import staged, work_dir
 from workload.customers import AGE_DETAILED as DETAILED_SQL
 from workload.registry import query
 from workload.roles import AS_OF, Roles
@@ -286,4 +286,6 @@ def _(r: Roles):
         historic_mapping=r.historic_accounts,
         mapping_overrides=r.id_overrides,
     )
-    return direct_debit_rows(tables, transactions(r), CONFIG, RunContext("check", AS_OF))
+    # As in a run: written once, since the customers and the feed both ask for them.
+    tx = staged(transactions(r), "dd-tx", f"feed-{uuid.uuid4().hex}")
+    return direct_debit_rows(tables, tx, CONFIG, RunContext("check", AS_OF))
