@@ -254,6 +254,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang_out: str =
         spare_memory()
 
     found = free_name(docs, "_found")
-    rows = docs.select(*kept, apply(F.col(text)).alias(found))
+    # A filter on the results would else work them out once for itself and once more for what is selected, in workers of its own.
+    rows = docs.select(*kept, apply.asNondeterministic()(F.col(text)).alias(found))
     out = [F.col(f"{found}.lang").alias(lang_out), F.col(f"{found}.score").alias(score_out)]
     return rows.select(*kept, *out, *([F.col(f"{found}.certainty").alias(certainty_out)] if certainty_out else []))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.llm.remembered import Remembered, codes, hashes, spans
+from cardloom.llm.remembered import RememberedHashes, codes, hashes, spans
 from cardloom.llm.shared import blocks, gapless, pieces_for, same_text, spare_memory, staged
 
 WINDOW = 2048
@@ -31,6 +31,8 @@ END_ID = 1
 #: Pieces are cut at multiples of so many tokens only.
 GRAIN = 16
 MOST_WORDS = 250_000
+#: Characters encoded side by side, and units sent to the tokenizer at once: a unit it answers takes some hundred bytes.
+CHARS_AT_ONCE, UNITS_AT_ONCE = 1 << 18, 4_000
 #: A tokenizer may be asked word by word if these texts come out alike.
 _PROBES = ("The quick,brown  FOX\n\n jumps-over 12 dogs!? \u00c4rger \u00e9t\u00e9 na\u00efve", "don't we'll \u4f60\u597d \U0001f600 x", "a1b2..c", "")
 #: What makes a text odd for the fast path (marks, scripts beyond Latin, a capital that becomes two
@@ -65,11 +67,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.held = Remembered(self.learn_hashed, np.uint32, MOST_WORDS)
+        self.held = RememberedHashes(np.uint32, MOST_WORDS)
         whole = self.tokenizer.encode_batch(list(_PROBES), add_special_tokens=False)
         self.by_word = [e.ids for e in whole] == [x.tolist() for x in self.by_unit(list(_PROBES))]
         if not self.by_word:
-            self.held = Remembered(self.learn_hashed, np.uint32, MOST_WORDS)
+            self.held = RememberedHashes(np.uint32, MOST_WORDS)
 
     def learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of units and their numbers; words are sent many at once, and the tokens tell which word they are of."""
@@ -87,10 +89,14 @@ class WordEncoder:
         at = np.argsort(np.concatenate([words, rest]).astype(np.int64))
         return ids[spans((np.cumsum(size) - size)[at], size[at])], size[at]
 
-    def learn_hashed(self, wanted: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        text, hashed, start, size = self.now
-        at = np.searchsorted(hashed, np.array(wanted, np.uint64))
-        return self.learn([text[i : i + n] for i, n in zip(start[at].tolist(), size[at].tolist())])
+    def learn_parts(self, text: str, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of a text and their numbers, ``UNITS_AT_ONCE`` parts after the other."""
+        found = []
+        for i in range(0, len(start), UNITS_AT_ONCE):
+            some = slice(i, i + UNITS_AT_ONCE)
+            found.append(self.learn([text[a : a + n] for a, n in zip(start[some].tolist(), size[some].tolist())]))
+        ids, count = zip(*found)
+        return np.concatenate(ids), np.concatenate(count)
 
     def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after the other, and how many each has."""
@@ -120,10 +126,8 @@ class WordEncoder:
         bounds = np.flatnonzero(change)
         unit = np.diff(bounds)[kind[bounds[:-1]] > 0]
         hashed, index, which = np.unique(hashes(code, start, unit), return_index=True, return_inverse=True)
-        self.now = text, hashed, start[index], unit[index]
-        keys = hashed.tolist()
-        table = self.held.ensure(set(keys))
-        ids, size = table.gather(table.rows(keys, len(keys))[which])
+        shelf, spot = self.held.ensure(hashed, lambda new: self.learn_parts(text, start[index[new]], unit[index[new]]))
+        ids, size = shelf.gather(spot[which])
         before = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, np.concatenate([[0], ends]))]
         return ids, np.diff(before)
 
@@ -133,7 +137,7 @@ class WordEncoder:
         return np.split(ids, np.cumsum(size)[:-1])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for a, b in blocks(texts):
+        for a, b in blocks(texts, CHARS_AT_ONCE):
             ids, size = self.flat(texts[a:b])
             yield from np.split(ids, np.cumsum(size)[:-1])
 
@@ -150,7 +154,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, key: str
         enc = WordEncoder(tokenizer)
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["key"].astype("Int64")
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, CHARS_AT_ONCE):
                 ids, size = enc.flat(texts[a:b])
                 size = size + 1
                 with_end = np.full(int(size.sum()), END_ID, "<u4")
@@ -432,6 +436,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, key: str = "doc_id") -> DataFr
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield place_parts(batch, lookup, window, GRAIN)
+        spare_memory()
 
     rows = numbered.withColumnRenamed(key, "key")
     rows = rows.mapInPandas(place, "key long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipe
 from cardloom.llm import language_id, quality
 from cardloom.llm.queries import ORACLES, QUERIES, remainder
+from cardloom.llm.shipping import ship
 from tests.llm.test_native import spans_of
 from tests.llm.test_sequences import check_packed
 from tests.llm.test_sets import brute
@@ -117,3 +118,13 @@ def test_the_language_cut_keeps_clean_texts_however_short_or_mixed(spark):
     assert lost([mixed() for _ in range(300)]) < 0.02
     assert lost([" ".join(words(rnd.choice(sorted(by)), 2)) for _ in range(300)]) < 0.05
     assert lost([" ".join(w) for v in by.values() for w in v[:100]]) == 0
+
+
+def test_languages_are_told_once_though_filtered_and_filled_in(spark):
+    ship(spark)
+    rows = spark.createDataFrame([(1, "Guten Tag ihr", "de"), (2, "the good day", "en"), (3, "the day", None)], "doc_id long, text string, lang string")
+    model = language_id.fit([("de", "Guten Tag ihr Leute " * 9), ("en", "the good day of people " * 9)], steps=1)
+    out = language_id.identify(rows, model, certainty_out="certain").where("lang_pred <> 'und' and certain >= 0")
+    out = out.select("doc_id", F.coalesce("lang", "lang_pred").alias("lang"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1
+    assert {r["doc_id"] for r in out.collect() if r["lang"]} == {1, 2, 3}

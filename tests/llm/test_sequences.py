@@ -315,3 +315,31 @@ def test_units_are_looked_up_once_a_block(monkeypatch):
     want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert ids.tolist() == [i for x in want for i in x] and size.tolist() == [len(x) for x in want]
     assert sum(looked) < 40
+
+
+def test_units_are_hashed_learned_and_remembered_in_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    from cardloom.llm import remembered
+
+    text = "abcd" * 500_000
+    code, size = remembered.codes(text), np.full(500_000, 4)
+    tracemalloc.start()
+    hashed = remembered.hashes(code, np.cumsum(size) - size, size)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(hashed.tolist())) == 1 and peak < 5 * hashed.nbytes
+    long = remembered.hashes(code, np.array([0, 4, 0]), np.array([4, 1_900_000, 4]))
+    assert long[0] == long[2] == hashed[0] != long[1]
+    monkeypatch.setattr(packing, "UNITS_AT_ONCE", 50, raising=False)
+    monkeypatch.setattr(packing, "MOST_WORDS", 900)
+    enc, asked = packing.WordEncoder(WORDS), []
+    learn = enc.learn
+    monkeypatch.setattr(enc, "learn", lambda units: asked.append(len(units)) or learn(units))
+    whole = Tokenizer.from_file(WORDS)
+    for i in range(30):
+        texts = [f"common, q{i}x{j}! common" for j in range(100)]
+        for t, ids in zip(texts, enc.encode(texts)):
+            assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids
+        assert len(enc.held.now.hashes) <= 900 and len(enc.held.before.hashes) <= 900
+    assert max(asked) <= 50
