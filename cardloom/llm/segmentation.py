@@ -10,7 +10,9 @@ each its inclusion score.  The random numbers depend on the key of the row alone
 
 from __future__ import annotations
 
+import base64
 import heapq
+import json
 import math
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -18,7 +20,6 @@ from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ SAMPLES = 2
 MOST_RUNS, MOST_EDGES = 120_000, 2_500_000
 #: Characters searched side by side; some hundred bytes each.
 CHARS_AT_ONCE = 1 << 19
+MOST_CHARS = 2**31 - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = ord("▁")
 
@@ -484,14 +486,11 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, temperature: float = 1
 def decode(ids: Column, model: str) -> Column:
     """The text of an array of ids; the blank put before a text is taken off, control ids say nothing.
 
-    NULL stays NULL; bytes that are no UTF-8 become replacement characters.
+    NULL stays NULL; bytes that are no UTF-8 become replacement characters.  Spark joins the bytes itself, so no Python
+    worker stands beside the one that encodes.
     """
-
-    @F.pandas_udf("string")
-    def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        raw = np.array(vocabulary(model)[2], object)
-        for s in batches:
-            data = [None if x is None else b"".join(raw[x].tolist()).decode("utf-8", "replace") for x in s]
-            yield pd.Series([t[1:] if t and t[0] == " " else t for t in data], dtype="object")
-
-    return join(ids)
+    raw = json.dumps([base64.b64encode(b).decode() for b in vocabulary(model)[2]])
+    pieces = F.from_json(F.lit(raw), "array<binary>").cast("array<string>")
+    whole = F.make_valid_utf8(F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1)), ""))
+    # In an array of its own the text is worked out once.
+    return F.transform(F.array(whole), lambda t: F.when(t.startswith(" "), F.substring(t, 2, MOST_CHARS)).otherwise(t))[0]

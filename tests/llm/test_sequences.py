@@ -343,3 +343,13 @@ def test_units_are_hashed_learned_and_remembered_in_bounded_memory(monkeypatch):
             assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids
         assert len(enc.held.now.hashes) <= 900 and len(enc.held.before.hashes) <= 900
     assert max(asked) <= 50
+
+
+def test_decoding_needs_no_python_worker(spark, pieces):
+    raw = [b"\xe6\x97", b"\xf0\x9f\x98", b"a\xffb", b"\xc0\xaf", b"\xed\xa0\x80", b" \xe6\x97\xa5", b"\xf4\x90\x80\x80z", b"  b", b" ", b"\0", b""]
+    rows = spark.createDataFrame([(i, [pieces.byte[x] for x in b]) for i, b in enumerate(raw)] + [(99, None)], "i int, ids array<int>")
+    out = rows.withColumn("t", segmentation.decode(F.col("ids"), PIECES))
+    want = {i: t[1:] if t[:1] == " " else t for i, t in enumerate(b.decode("utf-8", "replace") for b in raw)} | {99: None}
+    assert {r["i"]: r["t"] for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "from_json" not in plan
