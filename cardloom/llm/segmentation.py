@@ -32,6 +32,10 @@ SAMPLES = 2
 MOST_RUNS, MOST_EDGES = 120_000, 2_500_000
 #: Characters searched side by side; some hundred bytes each.
 CHARS_AT_ONCE = 1 << 19
+#: Sums of ways whose log may lie below minus this are not added up as they are.
+LONGEST_WAY = 600.0
+#: Where a text's path has this much less log probability than at its beginning, the sets that leave it are looked at only if those before give too small values.
+FAR = 64.0
 MOST_CHARS = 2**31 - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = ord("▁")
@@ -53,12 +57,18 @@ class Trie:
             for n in range(1, len(word) + 1):
                 nodes.setdefault(word[:n], len(nodes))
         self.id, self.weight = np.full(len(nodes), -1, np.int32), np.zeros(len(nodes))
+        self.length = np.array([len(x) for x in nodes])
         at = [nodes[w] for w in words]
         self.id[at], self.weight[at] = ids, weights
         self.depth = max(map(len, words))
         bits = (4 * len(nodes)).bit_length()
         self.shift, self.mask = np.uint64(64 - bits), np.int64((1 << bits) - 1)
         self.key, self.child = np.full(1 << bits, ~np.uint64(0)), np.zeros(1 << bits, np.int32)
+        # The nodes of single characters stand by code, the others in the table.
+        self.single = np.zeros(max(map(ord, "".join(words))) + 2, np.int32)
+        for x in nodes:
+            if len(x) == 1:
+                self.single[ord(x)] = nodes[x]
         key = np.array([nodes[x[:-1]] << 21 | ord(x[-1]) for x in nodes if x], np.uint64)
         child, slot = np.arange(1, len(nodes), dtype=np.int32), self.slots(key)
         while len(key):
@@ -72,6 +82,10 @@ class Trie:
     def slots(self, key: np.ndarray) -> np.ndarray:
         return ((key * _BASE) >> self.shift).astype(np.int64)
 
+    def begin(self, code: np.ndarray) -> np.ndarray:
+        """The nodes of single characters, 0 where there is none."""
+        return self.single[np.minimum(code, np.uint64(len(self.single) - 1)).astype(np.int64)]
+
     def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
         """The nodes one character on, 0 where there is none."""
         key = node.astype(np.uint64) << np.uint64(21) | code
@@ -129,6 +143,11 @@ class Lattice:
         weights = [(-math.log(min(-score, size) + 10) if ranked else score) / temperature for _, _, score in named]
         self.per_byte = -math.log(size) / temperature
         self.trie = Trie(names, [i for _, i, _ in named], weights)
+        # Room for all that is held and for what one call adds; the system gives it as it is used.
+        room = MOST_EDGES * 5 // 4
+        self.first = np.empty(room // 2, np.int64)
+        self.cut, self.logp = np.empty(room), np.empty(room)
+        self.next, self.piece = np.empty(room, np.int32), np.empty(room, np.int32)
         self.reset()
 
     def reset(self) -> None:
@@ -136,88 +155,108 @@ class Lattice:
         self.hashes, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.size, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.filled = self.used = 0
-        self.first = np.zeros(1 << 12, np.int64)
-        self.cut, self.logp = np.zeros(1 << 14), np.zeros(1 << 14)
-        self.next, self.piece = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
     def learn(self, code: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Lattices of runs that stand one after the other, with the exact probability of each edge given its state."""
         places = len(code)
-        end = np.repeat(np.cumsum(size), size)
-        where, widths, pieces, weights = [], [], [], []
-        here, node = np.arange(places), np.zeros(places, np.int32)
-        alone = np.ones(places, bool)
+        ends = np.cumsum(size)
+        end = np.repeat(ends, size)
+        here, node = np.arange(places), self.trie.begin(code)
+        left = end - here
+        where, found = [], []
         for n in range(1, self.trie.depth + 1):
-            fits = np.flatnonzero(here + n <= end[here])
-            here = here[fits]
-            node = self.trie.step(node[fits], code[here + n - 1])
+            if n > 1:
+                fits = np.flatnonzero(left[here] >= n)
+                here = here[fits]
+                node = self.trie.step(node[fits], code[here + (n - 1)])
             begun = np.flatnonzero(node)
             here, node = here[begun], node[begun]
-            ids = self.trie.id[node]
-            hit = np.flatnonzero(ids >= 0)
-            if n == 1:
-                alone[here[hit]] = False
+            hit = np.flatnonzero(self.trie.id[node] >= 0)
             where.append(here[hit])
-            widths.append(np.full(len(hit), n))
-            pieces.append(ids[hit])
-            weights.append(self.trie.weight[node[hit]])
-        lost = np.flatnonzero(alone)
+            found.append(node[hit])
+            if n == 1:
+                alone = np.ones(places, bool)
+                alone[where[0]] = False
+                lost = np.flatnonzero(alone)
+        where.insert(0, lost)
+        found.insert(0, np.zeros(len(lost), np.int32))
+        # Lengths rise from list to list, so the edges of a place are put one after the other, the shortest first.
+        number = np.bincount(np.concatenate(where), minlength=places)
+        spot = np.cumsum(number)
+        edges = int(spot[-1])
+        spot -= number
+        first = spot.copy()
+        node = np.empty(edges, np.int32)
+        for at, nodes in zip(where, found):
+            order = spot[at]
+            node[order] = nodes
+            spot[at] = order + 1
+        widths, pieces, weights = self.trie.length[node], self.trie.id[node], self.trie.weight[node]
         if len(lost):
             # A character as its bytes: the id of a single one, and minus the code, less one, for more.
-            c = code[lost].astype(np.int64)
+            c, at = code[lost].astype(np.int64), first[lost]
             single = np.array([self.byte[b] for b in range(128)])
-            where.insert(0, lost)
-            widths.insert(0, np.ones(len(lost), np.int64))
-            pieces.insert(0, np.where(c < 128, single[np.minimum(c, 127)], -c - 1))
-            weights.insert(0, self.per_byte * (1 + (c > 0x7F) + (c > 0x7FF).astype(int) + (c > 0xFFFF)))
-        # Lengths rise from list to list, so the edges of a place are put one after the other, the shortest first.
-        number = np.zeros(places, np.int32)
-        for at in where:
-            number[at] += 1
-        first = np.cumsum(number) - number
-        spot, order = first.copy(), []
-        for at in where:
-            order.append(spot[at])
-            spot[at] += 1
-        order = np.concatenate(order)
-        edges = len(order)
-        parts = where, widths, pieces, weights
-        where, widths, pieces, weights = (np.empty(edges, t) for t in (np.int64, np.int64, np.int32, np.float64))
-        for out, found in zip((where, widths, pieces, weights), parts):
-            out[order] = np.concatenate(found)
-        target = where + widths
-        last = target == end[where]
-        # The sum over all ways to finish, from the ends of all runs backwards together.
-        total = np.zeros(places + 1)
-        distance = np.minimum(end - np.arange(places), np.iinfo(np.int32).max).astype(np.int32)
-        back = np.argsort(distance.astype(np.int16) if distance.max() < 1 << 15 else distance, kind="stable")
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(distance)[1:])])
+            widths[at] = 1
+            pieces[at] = np.where(c < 128, single[np.minimum(c, 127)], -c - 1)
+            weights[at] = self.per_byte * (1 + (c > 0x7F) + (c > 0x7FF).astype(int) + (c > 0xFFFF))
+        target = np.repeat(np.arange(places), number) + widths
+        last = target == np.repeat(end, number)
         goes_on = np.where(last, places, target)
-        # Edges in the order in which their places are summed.
-        by_place = number[back]
-        by_edge = np.concatenate([[0], np.cumsum(by_place)])
-        order = spans(first[back], by_place)
-        ahead, upto = weights[order], goes_on[order]
-        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            low, high = by_edge[i], by_edge[j]
-            sums, starts = ahead[low:high] + total[upto[low:high]], by_edge[i:j] - low
-            top = np.maximum.reduceat(sums, starts)
-            total[back[i:j]] = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, by_place[i:j])), starts))
-        logp = np.minimum(weights + total[goes_on] - total[where], 0.0)
+        total = self.finishes(ends, size, first, number, weights, goes_on)
+        logp = np.minimum(weights + total[goes_on] - np.repeat(total[:-1], number), 0.0)
         p = np.exp(logp)
         whole = np.cumsum(p)
-        cut = whole - np.repeat((whole - p)[first], np.diff(np.append(first, len(where))))
-        cut[np.append(first[1:], len(where)) - 1] = 1.0
+        cut = whole - np.repeat((whole - p)[first], number)
+        cut[first + number - 1] = 1.0
         self.append("first", self.used + first, self.filled)
         self.append("cut", np.minimum(cut, 1.0), self.used)
         self.append("logp", logp, self.used)
         self.append("next", np.where(last, -1, self.filled + target), self.used)
         self.append("piece", pieces, self.used)
-        at = self.filled + np.cumsum(size) - size
+        at = self.filled + ends - size
         self.filled += places
-        self.used += len(where)
+        self.used += edges
         return at
 
+    def finishes(self, ends: np.ndarray, size: np.ndarray, first: np.ndarray, number: np.ndarray, weights: np.ndarray, goes_on: np.ndarray) -> np.ndarray:
+        """The log of the sum over all ways to finish from every place, and 0 for the end, from the ends of all runs backwards together.
+
+        The sums themselves are added up, but in runs so long that they could leave the range of numbers: there their logs.
+        """
+        total = np.ones(len(number) + 1)
+        # The way of shortest pieces bounds a sum from below.
+        tiny = np.add.reduceat(weights[first], ends - size) < -LONGEST_WAY
+        for runs, logs in ((np.flatnonzero(~tiny), False), (np.flatnonzero(tiny), True)):
+            if not len(runs):
+                continue
+            # Places by their distance from the end of their run.
+            runs = runs[np.argsort(-size[runs], kind="stable")]
+            count = np.searchsorted(-size[runs], -np.arange(1, size[runs[0]] + 1), "right")
+            back = ends[runs][spans(np.zeros(len(count), np.int64), count)] - np.repeat(np.arange(1, len(count) + 1), count)
+            by_place = number[back]
+            by_edge = np.concatenate([[0], np.cumsum(by_place)])
+            order = spans(first[back], by_place)
+            ahead, upto = weights[order], goes_on[order]
+            if logs:
+                total[back], total[-1] = 0.0, 0.0
+            else:
+                ahead = np.exp(ahead)
+            j = 0
+            for n in count.tolist():
+                i, j = j, j + n
+                low, high = by_edge[i], by_edge[j]
+                starts, ways = by_edge[i:j] - low, total[upto[low:high]]
+                if logs:
+                    sums = ahead[low:high] + ways
+                    top = np.maximum.reduceat(sums, starts)
+                    total[back[i:j]] = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, by_place[i:j])), starts))
+                else:
+                    total[back[i:j]] = np.add.reduceat(ahead[low:high] * ways, starts)
+            if not logs:
+                total[back] = np.log(total[back])
+        total[-1] = 0.0
+        return total
+
     def append(self, name: str, new: np.ndarray, at: int) -> None:
         array = getattr(self, name)
         if at + len(new) > len(array):
@@ -240,7 +279,12 @@ class Lattice:
         begins[upto[upto < len(code)]] = True
         start = np.flatnonzero(begins)
         size = np.diff(np.append(start, len(code)))
-        hashed, index, which = np.unique(hashes(code, start, size), return_index=True, return_inverse=True)
+        every = hashes(code, start, size)
+        order = np.argsort(every)
+        hashed = every[order]
+        new = np.append(True, hashed[1:] != hashed[:-1])
+        hashed, index, which = hashed[new], order[new], np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
         spot, known = self.find(hashed)
         # At most as many edges as a place has beginnings; most have a third.
         if len(self.hashes) + np.count_nonzero(~known) > MOST_RUNS or self.used > MOST_EDGES:
@@ -371,6 +415,46 @@ class _Text:
         return np.append(edges[:i], chosen), run[: i + 1], -negative, ahead
 
 
+def best_open(
+    logp: np.ndarray, before: np.ndarray, first: np.ndarray, count: np.ndarray, fresh: np.ndarray, most: np.ndarray, own: np.ndarray, k: int
+) -> list[list[tuple[float, int]]]:
+    """For each text the ``k`` largest values, with their places, of the sets that leave its path at ``fresh`` or later.
+
+    No value exceeds the log probability of the path before it by more than 37, minus the log of the smallest ``-log(u)``.  So
+    places further than ``FAR`` down a text are valued only where those before them do not settle it.
+    """
+    # An edge that is certain leaves no others.
+    splits = logp <= -1e-12
+    far = before <= -FAR
+    at = np.flatnonzero(splits & ~far)
+    hidden = np.append(0, np.cumsum(splits & far))
+    best: list[list[tuple[float, int]]] = [[] for _ in range(len(count))]
+    for near in (True, False):
+        owner = np.searchsorted(first + count, at, "right")
+        place = at - first[owner]
+        new = place >= fresh[owner]
+        at, owner, place = at[new], owner[new], place[new]
+        outside = before[at] + np.log(-np.expm1(logp[at]))
+        values = truncated(outside, most[owner], uniforms(own[owner], 3, place))
+        begins = np.flatnonzero(np.diff(owner, prepend=-1))
+        for _ in range(k if len(at) else 0):
+            top = np.full(len(count), -np.inf)
+            top[owner[begins]] = np.maximum.reduceat(values, begins)
+            hit = np.flatnonzero((values == top[owner]) & (values > -np.inf))
+            docs, one = np.unique(owner[hit], return_index=True)
+            for d, i in zip(docs.tolist(), hit[one].tolist()):
+                best[d].append((float(values[i]), int(place[i])))
+            values[hit] = -np.inf
+        open_ = [d for d in np.flatnonzero(hidden[first + count] > hidden[first]).tolist() if len(best[d]) < k or best[d][-1][0] < 37 - FAR] if near else []
+        if not open_:
+            break
+        for d in open_:
+            best[d] = []
+        at = spans(first[open_], count[open_])
+        at = at[splits[at]]
+    return best
+
+
 def sample_many(lattice: Lattice, entries: list[np.ndarray], keys: list[int], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text up to ``k`` distinct segmentations of the runs that begin at its entries, best value first.
 
@@ -400,28 +484,14 @@ def sample_many(lattice: Lattice, entries: list[np.ndarray], keys: list[int], k:
         every = np.concatenate([none, *whole])
         count = np.array([len(w) for w in whole], np.int64)
         bounds = np.cumsum(count)
-        owner = np.repeat(np.arange(len(heads)), count)
         logp = lattice.logp[every]
         before = np.empty(len(logp))
         for first, end in zip((bounds - count).tolist(), bounds.tolist()):
             # By text, so that equal texts have equal sums wherever they stand.
             np.cumsum(logp[first:end], out=before[first:end])
         before -= logp
-        with np.errstate(divide="ignore"):
-            outside = np.where(logp > -1e-12, -np.inf, before + np.log(-np.expm1(np.minimum(logp, -1e-15))))
-        values = truncated(outside, np.array([h[2] for h in heads])[owner], uniforms(own[owner], 3, np.arange(len(every)) - (bounds - count)[owner]))
         fresh = np.array([len(h[0]) for h in heads], np.int64)
-        values[np.arange(len(every)) < (bounds - count + fresh)[owner]] = -np.inf
-        best: list[list[tuple[float, int]]] = [[] for _ in heads]
-        some = np.flatnonzero(count)
-        for _ in range(k - number if len(some) else 0):
-            top = np.full(len(heads), -np.inf)
-            top[some] = np.maximum.reduceat(values, (bounds - count)[some])
-            at = np.flatnonzero((values == top[owner]) & (values > -np.inf))
-            docs, one = np.unique(owner[at], return_index=True)
-            for d, i in zip(docs.tolist(), at[one].tolist()):
-                best[d].append((float(values[i]), i - int(bounds[d] - count[d])))
-            values[at] = -np.inf
+        best = best_open(logp, before, bounds - count, count, fresh, np.array([h[2] for h in heads]), own, k - number)
         for d, (h, t, end, n) in enumerate(zip(heads, todo, bounds.tolist(), count.tolist())):
             part = slice(end - n, end)
             texts[t].add(whole[d], runs[d], before[part], float(logp[part].sum()), h[2], best[d])
@@ -490,7 +560,10 @@ def decode(ids: Column, model: str) -> Column:
     worker stands beside the one that encodes.
     """
     raw = json.dumps([base64.b64encode(b).decode() for b in vocabulary(model)[2]])
-    pieces = F.from_json(F.lit(raw), "array<binary>").cast("array<string>")
-    whole = F.make_valid_utf8(F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1)), ""))
+    pieces = F.from_json(F.lit(raw), "array<binary>")
+    # Bytes, since a lambda copies every string that it gives.
+    whole = F.array_join(F.transform(ids, lambda i: pieces[i]).cast("array<string>"), "").cast("binary")
     # In an array of its own the text is worked out once.
-    return F.transform(F.array(whole), lambda t: F.when(t.startswith(" "), F.substring(t, 2, MOST_CHARS)).otherwise(t))[0]
+    blank = F.lit(bytearray(b" "))
+    text = F.transform(F.array(whole), lambda b: F.when(F.substring(b, 1, 1) == blank, F.substring(b, 2, MOST_CHARS)).otherwise(b))[0]
+    return F.make_valid_utf8(text.cast("string"))

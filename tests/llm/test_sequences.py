@@ -353,3 +353,35 @@ def test_decoding_needs_no_python_worker(spark, pieces):
     assert {r["i"]: r["t"] for r in out.collect()} == want
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "from_json" not in plan
+
+
+def test_a_long_path_is_valued_no_further_than_it_can_matter(pieces, monkeypatch):
+    texts = ["the quick brown fox jumps over a lazy dog 日本 " * n for n in (1, 30, 1000)] + ["", "a", "▁ x"]
+    entries, keys = list(pieces.entries(texts)), list(range(len(texts)))
+    valued = []
+    truncated = segmentation.truncated
+    monkeypatch.setattr(segmentation, "truncated", lambda place, *rest: valued.append(np.size(place)) or truncated(place, *rest))
+
+    def samples():
+        found = segmentation.sample_many(pieces, entries, keys, 3)
+        return [[(ids.tolist(), logp, value, score) for ids, logp, value, score in rows] for rows in found]
+
+    short = samples()
+    total = sum(len(ids) for rows in short for ids, *_ in rows)
+    assert total > 10_000 and sum(valued) < total / 10
+    # As when every place is valued, from the first or after those before it did not settle it.
+    for far in (1e9, 1.0):
+        monkeypatch.setattr(segmentation, "FAR", far, raising=False)
+        assert samples() == short
+
+
+def test_sums_over_ways_are_equal_with_and_without_logs(monkeypatch):
+    texts = ["hello wörld 日本語テキスト 😀😀😀 a\tb " + "x" * 30, "", "  two  blanks ", "日" * 3000 + " end", "e" * 5000]
+    logs = []
+    for longest in (600.0, -1.0):
+        monkeypatch.setattr(segmentation, "LONGEST_WAY", longest, raising=False)
+        lattice = segmentation.Lattice(PIECES)
+        entries = list(lattice.entries(texts))
+        assert [len(e) for e in entries] == [6, 0, 3, 2, 1]
+        logs.append((lattice.logp[: lattice.used].copy(), lattice.cut[: lattice.used].copy(), lattice.next[: lattice.used].copy()))
+    assert all(np.allclose(a, b, rtol=0, atol=1e-9) and np.isfinite(a).all() for a, b in zip(*logs))
