@@ -143,11 +143,9 @@ class Lattice:
         weights = [(-math.log(min(-score, size) + 10) if ranked else score) / temperature for _, _, score in named]
         self.per_byte = -math.log(size) / temperature
         self.trie = Trie(names, [i for _, i, _ in named], weights)
-        # Room for all that is held and for what one call adds; the system gives it as it is used.
-        room = MOST_EDGES * 5 // 4
-        self.first = np.empty(room // 2, np.int64)
-        self.cut, self.logp = np.empty(room), np.empty(room)
-        self.next, self.piece = np.empty(room, np.int32), np.empty(room, np.int32)
+        self.first = np.empty(1 << 12, np.int64)
+        self.cut, self.logp = np.empty(1 << 14), np.empty(1 << 14)
+        self.next, self.piece = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
         self.reset()
 
     def reset(self) -> None:
